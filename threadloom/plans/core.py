@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.operators import delivery
+from threadloom.operators import delivery, instants
+from threadloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,3 +57,8 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = delivery.keep_first_delivery(spark, f"{sf_dir}/chat_events.parquet")
     return kept.select("row_id", "batch_id", "group_id", "msg_id", "role", "text")
+
+
+@query("p2_found")
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return instants.instants(table(spark, sf_dir, "chat_events"), table(spark, sf_dir, "chat_groups"))
