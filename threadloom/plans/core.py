@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from threadloom.operators import delivery, instants
+from threadloom.operators import delivery, forest, instants
 from threadloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +63,40 @@ def p1_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("p2_found")
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instants.instants(table(spark, sf_dir, "chat_events"), table(spark, sf_dir, "chat_groups"))
+
+
+_SQL_FOREST = f"""
+    WITH RECURSIVE m AS (
+      SELECT id, parent, row_id FROM (
+        SELECT id, parent, row_id, row_number() OVER (PARTITION BY id ORDER BY row_id) AS rn FROM (
+          SELECT {sql_id('msg_id')} AS id, nullif({sql_id('parent_id')}, '0') AS parent, row_id FROM chat_events
+        ) x WHERE id IS NOT NULL
+      ) y WHERE rn = 1
+    ), up AS (
+      SELECT id, id AS root_id, 0 AS depth FROM m WHERE parent IS NULL OR parent NOT IN (SELECT id FROM m)
+      UNION ALL
+      SELECT m.id, up.root_id, up.depth + 1 FROM m JOIN up ON m.parent = up.id
+    )
+"""
+
+
+@query(
+    "p5_found",
+    _SQL_FOREST
+    + """
+    SELECT m.id AS msg_id, coalesce(up.root_id, 'cycle') AS root_id, coalesce(up.depth, -1) AS depth
+    FROM m LEFT JOIN up ON m.id = up.id
+    """,
+)
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.hierarchy(table(spark, sf_dir, "chat_events"))
+
+
+@query("p5_paths")
+def p5_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.paths(table(spark, sf_dir, "chat_events")).withColumn("path", F.array_join("path", "/"))
+
+
+@query("p5_descendants")
+def p5_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.descendants(table(spark, sf_dir, "chat_events"))
