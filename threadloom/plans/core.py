@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.operators import delivery, forest, instants
+from threadloom.operators import delivery, forest, instants, shredding
 from threadloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,16 @@ def p5_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("p5_descendants")
 def p5_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.descendants(table(spark, sf_dir, "chat_events"))
+
+
+@query("p3_found")
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shredding.nested_objects(table(spark, sf_dir, "thread_items"), table(spark, sf_dir, "trajectory"))
+    return rows.select("table_name", "owner_key", "child_path", "parent_path")
+
+
+@query("p3_tables")
+def p3_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat child tables: every object with its plain members."""
+    rows = shredding.nested_objects(table(spark, sf_dir, "thread_items"), table(spark, sf_dir, "trajectory"), leaves=True)
+    return rows.withColumn("members", F.to_json("members"))
