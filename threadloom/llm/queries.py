@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import tokens
+from threadloom.llm import quality, tokens
 from threadloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +34,19 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text decoded from its tokens."""
     return tokens.decode(tokens.encode(table(spark, sf_dir, "documents")))
+
+
+def _statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = quality.common_word_list(table(spark, sf_dir, "common_words"))
+    return quality.statistics(table(spark, sf_dir, "documents"), words)
+
+
+@query("p9_found")
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _statistics(spark, sf_dir).where("kind <> 'prose'").select("doc_id", "kind")
+
+
+@query("p9_statistics")
+def p9_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All statistics and the rules that each document fails."""
+    return _statistics(spark, sf_dir).withColumn("failures", F.array_join("failures", ","))
