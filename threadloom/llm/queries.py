@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import quality, tokens
+from threadloom.llm import pii, quality, tokens
 from threadloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,14 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All statistics and the rules that each document fails."""
     return _statistics(spark, sf_dir).withColumn("failures", F.array_join("failures", ","))
+
+
+@query("p6_found")
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "chat_events"))
+
+
+@query("p6_redacted")
+def p6_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text and name with placeholders."""
+    return pii.redacted(table(spark, sf_dir, "chat_events").select("row_id", "text", "name"))
