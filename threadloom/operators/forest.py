@@ -74,7 +74,7 @@ def _contract(ids: np.ndarray, targets: np.ndarray, kinds: np.ndarray, hops: np.
     return pointer, step, most, segment, ~done
 
 
-def _first_level(with_path: bool):
+def _first_level(with_path: bool, keep: tuple[str, ...] = ()):
     def run(block: pa.Table) -> pa.Table:
         ids = block["id"].to_numpy(zero_copy_only=False)
         parents = block["parent"].to_numpy(zero_copy_only=False)
@@ -95,6 +95,8 @@ def _first_level(with_path: bool):
             "kind": pa.array(np.where(cyclic, CYCLE, kinds[top]), pa.string()),
             "pos": block["pos"].cast(pa.int64()).combine_chunks(),
         }
+        for name in keep:
+            out[name] = block[name].combine_chunks()
         if with_path:
             out["path"] = pa.array([[ids[t], *s] for t, s in zip(top, segment, strict=True)], pa.list_(pa.string()))
         return pa.table(out)
@@ -144,20 +146,22 @@ def _double(links: DataFrame, with_path: bool) -> DataFrame:
     return links.where("kind is not null").unionByName(moved)
 
 
-def resolve(nodes: DataFrame, with_path: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(id, root, depth, most, kind[, path]) of each node of ``nodes``.
+def resolve(nodes: DataFrame, with_path: bool = False, block_rows: int = BLOCK_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, root, depth, most, kind[, path], keep...) of each node of ``nodes``.
 
     ``nodes`` has unique ``id``, ``parent`` (null: none), ``pos`` (whose blocks
     hold at most ``block_rows`` rows where it is unique) and may have ``value``,
     of which ``most`` is the largest on the way from the root. ``kind`` is
     root, orphan (the root's own parent does not exist) or cycle, where root
-    is null and depth -1. Paths run from the root to the node.
+    is null and depth -1. Paths run from the root to the node. Columns named
+    in ``keep`` come along unchanged.
     """
     if "value" not in nodes.columns:
         nodes = nodes.withColumn("value", F.lit(LOWEST))
-    nodes = nodes.select("id", "parent", "pos", F.coalesce(F.col("value").cast("bigint"), F.lit(LOWEST)).alias("value"))
+    kept = "".join(f", `{n}` {nodes.schema[n].dataType.simpleString()}" for n in keep)
+    nodes = nodes.select("id", "parent", "pos", F.coalesce(F.col("value").cast("bigint"), F.lit(LOWEST)).alias("value"), *keep)
     tail = ", path array<string>" if with_path else ""
-    local = _by_block(nodes, block_rows, _first_level(with_path), f"id string, top string, hops bigint, most bigint, link string, kind string, pos bigint{tail}")
+    local = _by_block(nodes, block_rows, _first_level(with_path, keep), f"id string, top string, hops bigint, most bigint, link string, kind string, pos bigint{kept}{tail}")
     local = materialise(local, "local")
 
     tops = local.where("kind is null and id = top").select("top", "link", "pos", F.col("most").alias("own"))
@@ -196,14 +200,14 @@ def resolve(nodes: DataFrame, with_path: bool = False, block_rows: int = BLOCK_R
     links = links.withColumn("kind", F.coalesce("kind", F.lit(CYCLE)))
 
     ended = local.where("kind is not null").select(
-        "id", F.col("top").alias("root"), F.col("hops").alias("depth"), "most", "kind", *(["path"] if with_path else [])
+        "id", F.col("top").alias("root"), F.col("hops").alias("depth"), "most", "kind", *keep, *(["path"] if with_path else [])
     )
     up = links.select(
         F.col("top").alias("l_top"), F.col("to").alias("root"), F.col("hops").alias("l_hops"), F.col("most").alias("l_most"), F.col("kind").alias("l_kind"),
         *([F.col("path").alias("l_path")] if with_path else []),
     )
     waiting = local.where("kind is null").join(up, F.col("top") == F.col("l_top")).select(
-        "id", "root", (F.col("hops") + F.col("l_hops")).alias("depth"), F.greatest("most", "l_most").alias("most"), F.col("l_kind").alias("kind"),
+        "id", "root", (F.col("hops") + F.col("l_hops")).alias("depth"), F.greatest("most", "l_most").alias("most"), F.col("l_kind").alias("kind"), *keep,
         *([F.concat("l_path", "path").alias("path")] if with_path else []),
     )
     out = ended.unionByName(waiting)
