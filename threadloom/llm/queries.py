@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import pii, quality, tokens
+from threadloom.llm import conversations, pii, quality, tokens
 from threadloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,8 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text and name with placeholders."""
     return pii.redacted(table(spark, sf_dir, "chat_events").select("row_id", "text", "name"))
+
+
+@query("p4_found")
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.conversations(table(spark, sf_dir, "chat_events"), table(spark, sf_dir, "chat_groups"))
