@@ -25,7 +25,7 @@ OTHER, USER, BOT = 0, 1, 2
 # How the speakers are written.
 USERS, BOTS = ("user", "human"), ("bot", "assistant", "agent")
 # White space and characters without width.
-_NO_TEXT = r"^[\s\u001c-\u001f\u0085 ­ ᠎ -‏    -⁤　﻿]*$"
+_NO_TEXT = r"^[\s\x1c-\x1f\x85\xa0\xad\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}-\x{2064}\x{3000}\x{feff}]*$"
 
 
 def speaker(role: Column) -> Column:

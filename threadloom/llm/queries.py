@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import conversations, pii, quality, tokens
+from threadloom.llm import conversations, packing, pii, quality, tokens
 from threadloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,13 @@ def p6_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("p4_found")
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.conversations(table(spark, sf_dir, "chat_events"), table(spark, sf_dir, "chat_groups"))
+
+
+@query("p8_packed")
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("p8_utilisation")
+def p8_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.utilisation(packing.pack(table(spark, sf_dir, "documents")))
