@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -29,11 +30,12 @@ def local_session(cores: int = 8, partitions: int = 8) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share; a temporary one only where none is configured."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="threadloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+
+
+@functools.cache
+def _own_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="threadloom-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
