@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from threadloom.functions.ids import identifier, parent_identifier
 from threadloom.session import materialise
 
-BLOCK_ROWS = 65536
+BLOCK_ROWS = 16384
 """Most rows that one task contracts at once."""
 ROOT, ORPHAN, CYCLE = "root", "orphan", "cycle"
 LOWEST = -(1 << 62)
