@@ -1,4 +1,4 @@
-from conftest import EVENTS, event
+from helpers import EVENTS, event
 
 from threadloom.operators import delivery
 

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import EVENTS, event
+from helpers import EVENTS, event
 
 from threadloom.operators import forest
 

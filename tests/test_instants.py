@@ -2,7 +2,7 @@ import datetime as dt
 import zoneinfo
 
 import pytest
-from conftest import EVENTS, GROUPS, event
+from helpers import EVENTS, GROUPS, event
 
 from threadloom.operators import instants
 

@@ -2,7 +2,7 @@
 
 import pytest
 from compare import assert_same, database
-from conftest import SMALL
+from helpers import SMALL
 
 import __spark_entry__  # noqa: F401 - registers all queries
 from threadloom.plans import core
