@@ -107,7 +107,7 @@ def with_pseudonyms(col: Column, pattern: str, tag: str) -> Column:
 def rendered(template: Column, row: Column) -> Column:
     """``{column}`` replaced from a map; doubled braces are literal ones."""
     opened, closed = "\x01", "\x02"
-    hidden = F.replace(F.replace(template, F.lit("{{"), F.lit(opened)), F.lit("}}"), F.lit(closed))
+    hidden = F.regexp_replace(F.replace(template, F.lit("{{"), F.lit(opened)), r"\}\}(?!\})", closed)
     filled = F.aggregate(F.map_entries(row), hidden, lambda acc, e: F.replace(acc, F.concat(F.lit("{"), e["key"], F.lit("}")), F.coalesce(e["value"], F.lit(""))))
     return F.replace(F.replace(filled, F.lit(opened), F.lit("{")), F.lit(closed), F.lit("}"))
 
