@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +27,9 @@ def reanchored(rows: DataFrame, pairs: DataFrame, keys: list[str], is_human: Col
     by_pos = rows.select(*(F.col(k).alias(f"h_{k}") for k in keys), F.col("pos").alias("h_pos"), F.col("id").alias("nearest"))
     on = [F.col(f"c_{k}") == F.col(f"h_{k}") for k in keys]
     p = p.join(by_pos, [*on, F.col("found_pos") == F.col("h_pos")], "left")
-    said = rows.where(is_human).select(F.col("parent").alias("r_parent"), F.col("pos").alias("r_pos"), F.col("id").alias("r_id"))
-    hits = p.join(said, (F.col("anchor") == F.col("r_parent")) & (F.col("r_pos") > F.col("a_pos")) & (F.col("r_pos") < F.col("c_pos")), "left")
+    said = rows.where(is_human).select(F.col("parent").alias("r_parent"), F.col("pos").alias("r_pos"), F.col("id").alias("r_id"), *(F.col(k).alias(f"r_{k}") for k in keys))
+    session = [F.col(f"c_{k}") == F.col(f"r_{k}") for k in keys]
+    hits = p.join(said, reduce(lambda a, b: a & b, session) & (F.col("anchor") == F.col("r_parent")) & (F.col("r_pos") > F.col("a_pos")) & (F.col("r_pos") < F.col("c_pos")), "left")
     last = hits.groupBy("corrector", "anchor").agg(F.max(F.struct("r_pos", "r_id"))["r_id"].alias("reply"), F.max(F.when(F.col("found_pos") > F.col("a_pos"), F.col("nearest"))).alias("nearest"))
     return last.select("corrector", "anchor", F.coalesce("reply", "nearest").alias("human"))
 

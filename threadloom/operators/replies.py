@@ -124,3 +124,16 @@ def reopened(frozen: DataFrame, new_events: DataFrame) -> DataFrame:
 def last_bot_before(window: int = 4):
     """The rows before, for conditions on what a bot asked for."""
     return Window.partitionBy("thread").orderBy("pos").rowsBetween(-window, -1)
+
+
+def tree_components(messages: DataFrame) -> DataFrame:
+    """As ``components`` of the reply edges. A tree is a component, labelled by its smallest identifier.
+
+    Only what hangs on a cycle goes through label rounds. Messages without any
+    reply edge are left out.
+    """
+    r = materialise(roots(messages), "roots")
+    smallest = r.where("root is not null").groupBy("root").agg(F.min("id").alias("component"), F.count("*").alias("n")).where("n > 1")
+    trees = r.where("root is not null").join(smallest, "root").select("id", "component")
+    cyclic = messages.join(r.where("root is null").select("id"), "id", "left_semi")
+    return trees.unionByName(components(edges(cyclic).where("child <> parent")))

@@ -43,8 +43,7 @@ def corrector_reanchor(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = rows.select(F.col("id").alias("corrector"), F.col("parent").alias("up"), F.col("thread").alias("ct"), F.col("pos").alias("cp"))
     a = rows.select(F.col("id").alias("anchor"), F.col("thread").alias("at"), F.col("pos").alias("ap"))
     pairs = c.join(a, (F.col("up") == F.col("anchor")) & (F.col("ct") == F.col("at")) & (F.col("ap") < F.col("cp"))).select("corrector", "anchor")
-    # Replies count within the session of the pair, so positions compare.
-    return anchors.reanchored(rows.withColumn("parent", F.when(F.col("parent").isNotNull(), F.col("parent"))), pairs, ["thread"], T.is_user(F.col("role")))
+    return anchors.reanchored(rows, pairs, ["thread"], T.is_user(F.col("role")))
 
 
 @query(
