@@ -226,7 +226,7 @@ _NAME_LEFT = {
     "这个归": r"\s*管", "这个归 ": r"\s*管", "请 @": r"\s*看", "请@": r"\s*看", "bitte mit ": r"\sklären", "lo pidió ": _END,
     "gruß, ": "", "grüße, ": "", "gracias, ": "", "regards, ": "", "cheers, ": "", "merci, ": _END, "danke, ": r"!", "saludos, ": "",
 }
-_NAME_RIGHT = (" asked for it", " hat danach gefragt", "'s card is", " 说先不要动", "说先不要动", " wants to know", " lo pidió")
+_NAME_RIGHT = (" asked for it", " hat danach gefragt", "'s card is", " 说先不要动", "说先不要动", " wants to know")
 _PASSPORT_CUES = ("passport", "reisepass", "pasaporte", "passaporte", "passeport", "护照号码", "护照号", "护照")
 _TAX_CUES = ("tax id", "taxpayer id", "tax number", "tax no", "tin:", "steuer-id", "steuer-idnr", "steueridentifikationsnummer", "idnr", "nif", "cpf", "税号", "纳税人识别号")
 _SOCIAL_CUES = ("ssn", "social security")

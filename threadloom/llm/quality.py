@@ -39,7 +39,7 @@ MAX_SYMBOLS = 0.4
 MIN_SALAD_WORDS = 10
 MIN_COMMON_SHARE = 0.08
 MAX_REPEATS = 0.5
-FULL_LINE = 0.7
+FULL_LINE = 0.6
 """Lines this near to the longest count as wrapped, not as items."""
 
 PROSE, LIST, TABLE, JUNK = 0, 1, 2, 3
@@ -202,7 +202,10 @@ class Scorer:
         structured = (quotes / full > 0.12) & (quotes >= 6) & (others / full > 0.25)
         garbled = (mojibake / full > MAX_MOJIBAKE) & (vis >= 8)
         symbols = (others / full > MAX_SYMBOLS) & ~row & ~ruled & ~marked & (wides == 0) & (words < 6)
-        salad = (words >= MIN_SALAD_WORDS) & (commons / np.maximum(1, words) < MIN_COMMON_SHARE) & (wides * 3 < vis)
+        rare = commons / np.maximum(1, words)
+        salad = (words >= MIN_SALAD_WORDS) & (rare < MIN_COMMON_SHARE) & (wides * 3 < vis)
+        # Short lines of bare words, without marks between them.
+        salad |= (words >= 7) & (words < 16) & (rare < 0.12) & (others * 10 <= words) & (wides * 3 < vis)
         salad |= (wides >= 20) & (pieces >= 8) & (wide_commas == 0) & (enders == 0) & (wides / np.maximum(1, pieces) < 8)
         junk = log | (navigation & ~row) | hexadecimal | (structured & ~row) | garbled | symbols | (encoded & ~row)
         junk |= salad & ~row & ~marked & (tabs + semicolons < 2)
@@ -215,19 +218,18 @@ class Scorer:
         klass[junk & (klass != TABLE)] = JUNK
         # What is left is prose if its lines are long or wrapped, and items if they are short and uneven.
         left = visible & (klass == PROSE) & (lead[:, 0] != 35)
-        cells = np.diff(np.append(line_at, n)) - 1
         widest = np.zeros(docs)
-        np.maximum.at(widest, line_doc[left], cells[left])
+        np.maximum.at(widest, line_doc[left], vis[left])
         next_left = np.append(left[1:] & (line_doc[1:] == line_doc[:-1]), False)
         inner = left & next_left
-        wrapped = by_doc(line_doc[inner & (cells >= FULL_LINE * widest[line_doc])]) / np.maximum(1, by_doc(line_doc[inner]))
-        n_left, left_chars = by_doc(line_doc[left]), by_doc(line_doc[left], cells[left])
+        wrapped = by_doc(line_doc[inner & (vis >= FULL_LINE * widest[line_doc])]) / np.maximum(1, by_doc(line_doc[inner]))
+        n_left, left_chars = by_doc(line_doc[left]), by_doc(line_doc[left], vis[left])
         left_enders = by_doc(line_doc[left], enders[left])
         left_words = by_doc(line_doc[left], words[left] + wides[left] / 2)
         left_common = by_doc(line_doc[left], (commons + wide_common)[left]) / np.maximum(1, left_words)
         mean_line = left_chars / np.maximum(1, n_left)
         wide_doc = by_doc(line_doc, wides) * 3 > by_doc(line_doc, vis)
-        long_line = np.where(wide_doc, 34, 85)
+        long_line = np.where(wide_doc, 33, 72)
         sentence = left_words / np.maximum(1, left_enders)
         even = (wrapped >= 0.6) & (left_enders > 0) & (sentence <= 60) & (left_common >= 0.12)
         short = (n_left >= 3) & (mean_line < long_line) & ~even & (by_doc(line_doc[inner]) >= 2)
