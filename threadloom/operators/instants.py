@@ -223,7 +223,7 @@ def instants(events: DataFrame, groups: DataFrame, dictionary: InstantDictionary
     own = dictionary or InstantDictionary(events.sparkSession)
     numbers = events.select("row_id", F.lit("ts").alias("field_name"), number_to_us(F.col("ts")).alias("instant_us")).where("instant_us is not null")
     texts = with_zone(events.select("row_id", "group_id", F.col("created_at").alias("raw")).where("raw is not null"), groups)
-    # A text without four digits in it denotes no instant and needs no look-up.
+    # A date takes eight characters at least; shorter texts denote no instant and need no look-up.
     texts = texts.where(F.length("raw") >= 8).select("row_id", "raw", "zone", "month_first")
     own.update(texts)
     found = own.lookup(texts).select("row_id", F.lit("created_at").alias("field_name"), "instant_us")

@@ -58,7 +58,9 @@ def partition_faults(rows: DataFrame, segmented: DataFrame, keys: list[str], row
     spans = segmented.groupBy(*keys, "segment").agg(F.min(seconds).alias("lo"), F.max(seconds).alias("hi"))
     w = Window.partitionBy(*keys).orderBy("segment")
     disorder = spans.withColumn("before", F.lag("hi").over(w)).agg(F.count_if(F.col("lo") < F.col("before")).alias("unordered"))
-    return cover.crossJoin(disorder)  # one row each
+    names = ("lost", "invented", "doubled", "unordered")
+    zero = lambda df: df.select(*(F.col(n) if n in df.columns else F.lit(0).cast("bigint").alias(n) for n in names))
+    return zero(cover).unionByName(zero(disorder)).agg(*(F.sum(n).alias(n) for n in names))
 
 
 def epochs(rows: DataFrame, keys: list[str], order: list[str], is_history: Column) -> DataFrame:

@@ -128,10 +128,10 @@ def confirmation_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     real = (user | bot) & (F.length(F.coalesce("text", F.lit(""))) >= 3)
     tail = F.max(F.when(real, F.struct("ts_us", "row_id", F.when(user, "user").otherwise("bot").alias("by"), "text")))
     c = rows.groupBy(F.coalesce("task_id", F.lit("-")).alias("task")).agg(tail.alias("tail"), F.max("ts_us").alias("last_ts"))
-    top = c.agg(F.max("last_ts").alias("top"))
+    top = c.agg(F.lit(1).alias("one"), F.max("last_ts").alias("top"))  # one row
     closing = F.col("tail.text").rlike("(?i)(thanks|gracias|danke|谢谢)")
     status = trajectories.confirmation(F.col("last_ts") < F.col("top"), F.col("tail.by"), closing, F.lit(None).cast("string"))
-    return c.crossJoin(F.broadcast(top)).select("task", status.alias("status"))  # top is one row
+    return c.withColumn("one", F.lit(1)).join(F.broadcast(top), "one").select("task", status.alias("status"))
 
 
 @query(
