@@ -78,7 +78,7 @@ def structure_or_text(col: Column) -> Column:
 def merged_items(*cols: Column, joiner: str = "; ") -> Column:
     """The distinct items of lists written with semicolons, in order of first sight."""
     text = F.concat_ws(";", *cols)
-    items = F.filter(F.transform(F.split(text, "[;；]"), F.trim), lambda x: x != "")
+    items = F.filter(F.transform(F.split(text, "[;；]"), lambda x: F.trim(x)), lambda x: x != "")
     return F.array_join(F.array_distinct(items), joiner)
 
 
