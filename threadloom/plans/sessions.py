@@ -69,12 +69,12 @@ def segment_partition_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "history_epochs",
-    _W + """, n AS (SELECT *, row_number() OVER w AS turn, kind IS NOT DISTINCT FROM 'codex-lane' AS h FROM t WINDOW w AS (PARTITION BY thread ORDER BY ts_us, row_id))
+    _W + """, n AS (SELECT *, row_number() OVER w AS turn, kind IS NOT DISTINCT FROM 'helper' AS h FROM t WINDOW w AS (PARTITION BY thread ORDER BY ts_us, row_id))
     SELECT id, turn, CAST(sum(CASE WHEN h THEN 1 ELSE 0 END) OVER w AS BIGINT) AS epoch, max(CASE WHEN h THEN turn END) OVER w AS history_at FROM n
     WINDOW w AS (PARTITION BY thread ORDER BY ts_us, row_id)""",
 )
 def history_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    is_history = F.coalesce(F.col("kind") == "codex-lane", F.lit(False))
+    is_history = F.coalesce(F.col("kind") == "helper", F.lit(False))
     return segments.epochs(threaded(spark, sf_dir), ["thread"], ORDER, is_history).select("id", "turn", "epoch", "history_at")
 
 
@@ -299,14 +299,14 @@ def root_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "lane_assignment",
-    _W + _ROOTS + """, real AS (SELECT id, CASE WHEN kind = 'codex-lane' THEN coalesce(task_id, 'main') ELSE 'main' END AS lane FROM m WHERE kind IS NOT NULL)
+    _W + _ROOTS + """, real AS (SELECT id, CASE WHEN kind = 'helper' THEN coalesce(task_id, 'main') ELSE 'main' END AS lane FROM m WHERE kind IS NOT NULL)
       SELECT m.id, CASE WHEN o.lane IS NOT NULL THEN o.lane WHEN m.parent IS NOT NULL AND q.lane IS NOT NULL AND q.lane <> 'main' THEN q.lane ELSE 'main' END AS lane,
         CASE WHEN o.lane IS NOT NULL THEN 'real' WHEN m.parent IS NOT NULL AND q.lane IS NOT NULL AND q.lane <> 'main' THEN 'root' ELSE 'main' END AS provenance
       FROM m LEFT JOIN up ON m.id = up.id LEFT JOIN real o ON o.id = m.id LEFT JOIN real q ON q.id = up.root""",
 )
 def lane_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = messages(spark, sf_dir)
-    real = m.where("kind is not null").select("id", F.when(F.col("kind") == "codex-lane", F.coalesce("task_id", F.lit("main"))).otherwise("main").alias("lane"))
+    real = m.where("kind is not null").select("id", F.when(F.col("kind") == "helper", F.coalesce("task_id", F.lit("main"))).otherwise("main").alias("lane"))
     return replies.lanes(m, real)
 
 
