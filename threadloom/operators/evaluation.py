@@ -103,3 +103,10 @@ def containment(old: DataFrame, new: DataFrame) -> DataFrame:
     size = old.groupBy("old").agg(F.count_distinct("id").alias("size"))
     shared = old.distinct().join(new.distinct(), "id").groupBy("old", "new").agg(F.count("*").alias("shared"))
     return shared.join(size, "old").select("old", "new", "shared", F.round(F.col("shared") / F.col("size"), 6).alias("containment"))
+
+
+def majority_labels(rows: DataFrame, by: list[str], label: str, order: str) -> DataFrame:
+    """The most frequent label of each group; the one seen first wins a tie."""
+    counts = rows.where(F.col(label).isNotNull()).groupBy(*by, label).agg(F.count("*").alias("n"), F.min(order).alias("first"))
+    best = counts.groupBy(*by).agg(F.min(F.struct((-F.col("n")).alias("m"), "first", label)).alias("b"))
+    return best.select(*by, F.col(f"b.{label}").alias(label), (-F.col("b.m")).alias("n"))

@@ -63,3 +63,38 @@ def leaks(context: DataFrame, limits: DataFrame) -> DataFrame:
 def reasons(validated: DataFrame) -> DataFrame:
     """How many rows each reason dropped; ``kept`` for the rest."""
     return validated.groupBy(F.coalesce(F.substring_index("drop_reason", "(", 1), F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+def is_noise(text: Column) -> Column:
+    """Receipts, cards and placeholders."""
+    return F.coalesce(text.rlike(PLACEHOLDER) | text.startswith("[card]") | F.contains(text, F.lit("<at>")), F.lit(True))
+
+
+def asks_more(text: Column) -> Column:
+    """A new demand that corrects nothing."""
+    return F.coalesce(text.rlike(DEMAND) & ~text.rlike(OVERRIDE), F.lit(False))
+
+
+def troubleshooting(rows: DataFrame, keys: list[str], feedback: Column, asked: Column) -> DataFrame:
+    """Adds ``is_feedback``: a text that answers a bot which asked for output within the four rows before."""
+    from threadloom.operators import context
+
+    near = context.last_before(rows, keys, asked, 4)
+    return near.withColumn("is_feedback", F.coalesce(feedback, F.lit(False)) & F.col("found_pos").isNotNull()).drop("found_pos")
+
+
+def validate_picks(picks: DataFrame, rows: DataFrame) -> DataFrame:
+    """(t0, b, c, quote, verdict) with ``drop_reason``: verdict, missing ids, roles, order, quote."""
+    side = lambda p: rows.select(F.col("id").alias(f"{p}_id"), F.col("role").alias(f"{p}_role"), F.col("pos").alias(f"{p}_pos"), F.col("text").alias(f"{p}_text"))
+    j = picks
+    for k in ("t0", "b", "c"):
+        j = j.join(side(f"x{k}"), F.col(k) == F.col(f"x{k}_id"), "left")
+    quote = T.without_space(F.col("quote"))
+    missing = F.array_join(F.array_compact(F.array(*(F.when(F.col(f"x{k}_id").isNull(), F.lit(k)) for k in ("t0", "b", "c")))), ",")
+    reason = (
+        F.when(F.coalesce(F.col("verdict"), F.lit("")) != "ACCEPT", "not_accepted").when(missing != "", F.concat(F.lit("missing("), missing, F.lit(")")))
+        .when(~T.is_user(F.col("xt0_role")), "t0_not_user").when(~T.is_bot(F.col("xb_role")), "b_not_bot").when(~T.is_user(F.col("xc_role")), "c_not_user")
+        .when(~((F.col("xt0_pos") < F.col("xb_pos")) & (F.col("xb_pos") < F.col("xc_pos"))), "order").when(quote.isNull() | (F.length(quote) < 4), "quote_short")
+        .when(~F.coalesce(F.contains(T.without_space(F.col("xb_text")), quote), F.lit(False)), "quote_absent")
+    )
+    return j.select(*picks.columns, reason.alias("drop_reason"))

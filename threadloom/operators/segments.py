@@ -105,3 +105,20 @@ def unique_ids(rows: DataFrame, id_col: str, order: list[str]) -> DataFrame:
     named = n.withColumn("__base", F.when(F.trim(F.coalesce(F.col(id_col), F.lit(""))) == "", F.concat(F.lit("row-"), F.col("__row").cast("bigint").cast("string"))).otherwise(F.col(id_col)))
     k = running(named, ["__base"], ["__row"], {"__k": (COUNT, F.lit(1))})
     return k.withColumn("unique_id", F.when(F.col("__k") == 1, F.col("__base")).otherwise(F.concat("__base", F.lit("-"), F.col("__k").cast("bigint").cast("string")))).drop("__row", "__base", "__k")
+
+
+def atomic_segments(rows: DataFrame, keys: list[str], order: list[str], seconds: Column, topic: str, gap: int = GAP_SECONDS) -> DataFrame:
+    """Adds ``settled`` and ``segment``: as ``topic_segments``, but a lone row of another topic changes nothing.
+
+    A topic settles where two rows on end have it; until the next one settles
+    all rows belong to it. The first row of a key settles its own.
+    """
+    reverse = [f"__r{i}" for i in range(len(order))]
+    placed = running(rows, keys, order, {"__before": (LAG, seconds), "__n": (COUNT, F.lit(1))})
+    flipped = placed.withColumns({r: -F.col(o).cast("double") for r, o in zip(reverse, order, strict=True)})
+    flipped = running(flipped, keys, reverse, {"__next": (LAG, F.col(topic))}).drop(*reverse)
+    sure = F.coalesce(F.col("__next") == F.col(topic), F.lit(False)) | (F.col("__n") == 1)
+    filled = running(flipped, keys, order, {"settled": (LAST, F.when(sure, F.col(topic)))})
+    previous = running(filled, keys, order, {"__settled": (LAG, F.col("settled"))})
+    cut = F.coalesce(seconds - F.col("__before") >= gap, F.lit(False)) | F.coalesce(F.col("settled") != F.col("__settled"), F.lit(False))
+    return running(previous, keys, order, {"segment": (SUM, cut.cast("int"))}).drop("__before", "__n", "__next", "__settled").withColumn("segment", F.col("segment").cast("bigint"))

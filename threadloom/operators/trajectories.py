@@ -144,3 +144,25 @@ def legs(hint: Column, base: Column, placebo: Column, treated: Column) -> Column
     """Reading of a three-leg replay; unknown legs stay unknown."""
     passed = hint & F.coalesce(base, F.lit(False)) & F.coalesce(~treated, F.lit(False))
     return F.when(passed & F.coalesce(placebo, F.lit(False)), "isolated").when(passed & F.coalesce(~placebo, F.lit(False)), "confounded").when(passed, "passed").when(F.coalesce(base, F.lit(False)), "reproduced").otherwise("note")
+
+
+def assistant_text(output: Column) -> Column:
+    """The text of an answer given as JSON messages whose content is a string or a list of parts."""
+    v = F.try_parse_json(output)
+    flat = F.from_json(F.when(output.startswith("["), output), "array<struct<role:string,content:string>>")
+    said = F.filter(flat, lambda m: (m["role"] == "assistant") & m["content"].isNotNull())
+    texts = F.transform(said, lambda m: F.coalesce(F.array_join(F.transform(F.from_json(F.when(m["content"].startswith("["), m["content"]), "array<struct<type:string,text:string>>"), lambda p: p["text"]), ""), m["content"]))
+    return F.when(v.isNotNull(), F.array_join(texts, "\n")).otherwise(output)
+
+
+def hard_example(status: Column, errors: Column, reworked: Column) -> Column:
+    """Why a sample is hard: a correction before a tool error before rework; null when it is not."""
+    return F.when(F.coalesce(status == "corrected", F.lit(False)), "corrected").when(F.size(errors) > 0, "tool_error").when(F.coalesce(reworked, F.lit(False)), "rework")
+
+
+def chat_steps(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """(…, id, step, loss): messages as steps from 0; what users say is not trained on."""
+    from threadloom.operators.ordered import numbered
+
+    placed = numbered(rows, by, order, "__n")
+    return placed.select(*by, "id", (F.col("__n") - 1).alias("step"), F.when(T.is_user(F.col("role")), 0).otherwise(1).alias("loss"))

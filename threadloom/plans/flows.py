@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as T
-from threadloom.operators import anchors, folds, ordered, providers, replies, segments
+from threadloom.operators import anchors, evaluation, folds, guards, ordered, providers, replies, segments, trajectories
 from threadloom.plans.core import query
 from threadloom.plans.views import SQL_BOT, SQL_MESSAGES, SQL_USER, messages, threaded
 from threadloom.session import scratch_path, table
@@ -173,3 +173,69 @@ def reply_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     up = vectors.select(F.col("id").alias("p"), F.col("embedding").alias("up"))
     j = vectors.join(up, F.col("parent") == F.col("p")).where("embedding is not null and up is not null")
     return j.select("id", F.round(providers.cosine(F.col("embedding"), F.col("up")), 4).alias("similarity"))
+
+
+@query(
+    "atomic_segments",
+    _W + """, e0 AS (SELECT *, coalesce(task_id, '-') AS tp FROM t), e1 AS (SELECT *, lag(ts_us) OVER w AS p, lead(tp) OVER w AS nx, row_number() OVER w AS n FROM e0 WINDOW w AS (PARTITION BY thread ORDER BY ts_us, row_id)),
+    e2 AS (SELECT *, last_value(CASE WHEN nx = tp OR n = 1 THEN tp END IGNORE NULLS) OVER (PARTITION BY thread ORDER BY ts_us, row_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS settled FROM e1),
+    e3 AS (SELECT *, lag(settled) OVER (PARTITION BY thread ORDER BY ts_us, row_id) AS ps FROM e2)
+    SELECT id, settled, CAST(sum(CASE WHEN coalesce(ts_us - p >= 1800000000, false) OR coalesce(settled <> ps, false) THEN 1 ELSE 0 END) OVER (PARTITION BY thread ORDER BY ts_us, row_id) AS BIGINT) AS segment FROM e3""",
+)
+def atomic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = threaded(spark, sf_dir).withColumn("topic", F.coalesce("task_id", F.lit("-")))
+    cut = segments.atomic_segments(rows, ["thread"], ["ts_us", "row_id"], F.col("ts_us") / F.lit(1_000_000), "topic")
+    return cut.select("id", "settled", "segment")
+
+
+@query(
+    "troubleshooting_feedback",
+    _W + _POS + f""", w AS (SELECT id, role, text, max(CASE WHEN {SQL_BOT} AND regexp_matches(text, '(?i)could you|please') THEN pos END) OVER (PARTITION BY thread ORDER BY pos ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS f FROM n)
+    SELECT id, coalesce({SQL_USER} AND regexp_matches(text, '(?i)exit|ran|checked'), false) AND f IS NOT NULL AS is_feedback FROM w""",
+)
+def troubleshooting_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = T.is_bot(F.col("role")) & F.coalesce(F.col("text").rlike("(?i)could you|please"), F.lit(False))
+    feedback = T.is_user(F.col("role")) & F.col("text").rlike("(?i)exit|ran|checked")
+    return guards.troubleshooting(_placed(spark, sf_dir), ["thread"], feedback, asked).select("id", "is_feedback")
+
+
+@query(
+    "pick_validation",
+    _W + rf""", n AS (SELECT *, row_id AS pos FROM m), pk AS (SELECT CASE WHEN c.row_id % 19 = 0 THEN 'gone' ELSE b.parent END AS t0, b.id AS b, c.id AS c, substr(b.text, 1, CASE WHEN c.row_id % 6 = 0 THEN 2 ELSE 12 END) AS quote, CASE WHEN c.row_id % 9 = 0 THEN 'REJECT' ELSE 'ACCEPT' END AS verdict FROM m c JOIN m b ON c.parent = b.id),
+    ms AS (SELECT *, {SQL_BOT} AS is_bot, {SQL_USER} AS is_user FROM n),
+    v AS (SELECT pk.*, x.id AS xi, x.is_user AS xu, x.pos AS xp, y.is_bot AS yb, y.pos AS yp, y.text AS yt, z.is_user AS zu, z.pos AS zp, regexp_replace(quote, '[\s\x0B\x{{85}}\p{{Z}}]+', '', 'g') AS q FROM pk LEFT JOIN ms x ON x.id = pk.t0 LEFT JOIN ms y ON y.id = pk.b LEFT JOIN ms z ON z.id = pk.c)
+    SELECT b, c, CASE WHEN verdict <> 'ACCEPT' THEN 'not_accepted' WHEN xi IS NULL THEN 'missing(t0)' WHEN NOT xu THEN 't0_not_user' WHEN NOT yb THEN 'b_not_bot' WHEN NOT zu THEN 'c_not_user' WHEN NOT (xp < yp AND yp < zp) THEN 'order'
+      WHEN q IS NULL OR length(q) < 4 THEN 'quote_short' WHEN NOT coalesce(contains(regexp_replace(yt, '[\s\x0B\x{{85}}\p{{Z}}]+', '', 'g'), q), false) THEN 'quote_absent' END AS drop_reason FROM v""",
+)
+def pick_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = messages(spark, sf_dir)
+    r = F.col("row_id")
+    c = m.select(F.col("id").alias("c"), F.col("parent").alias("up"), "row_id")
+    b = m.select(F.col("id").alias("b"), F.col("parent").alias("b_up"), F.col("text").alias("b_text"))
+    quote = F.when(r % 6 == 0, F.substring("b_text", 1, 2)).otherwise(F.substring("b_text", 1, 12))
+    picks = c.join(b, F.col("up") == F.col("b")).select(
+        F.when(r % 19 == 0, "gone").otherwise(F.col("b_up")).alias("t0"), "b", "c", quote.alias("quote"), F.when(r % 9 == 0, "REJECT").otherwise("ACCEPT").alias("verdict")
+    )
+    return guards.validate_picks(picks, m.select("id", "role", "text", F.col("row_id").alias("pos"))).select("b", "c", "drop_reason")
+
+
+@query(
+    "majority_labels",
+    "WITH c AS (SELECT thread_id, kind, count(*) AS n, min(row_id) AS first FROM chat_events WHERE kind IS NOT NULL GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY thread_id ORDER BY n DESC, first) AS k FROM c) SELECT thread_id, kind, n FROM r WHERE k = 1",
+)
+def majority_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.majority_labels(table(spark, sf_dir, "chat_events"), ["thread_id"], "kind", "row_id")
+
+
+@query(
+    "chat_steps",
+    _W + f" SELECT thread, id, row_number() OVER (PARTITION BY thread ORDER BY ts_us, row_id) - 1 AS step, CASE WHEN {SQL_USER} THEN 0 ELSE 1 END AS loss FROM t",
+)
+def chat_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trajectories.chat_steps(threaded(spark, sf_dir), ["thread"], ["ts_us", "row_id"])
+
+
+@query("assistant_texts")
+def assistant_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    steps = trajectories.step_rows(table(spark, sf_dir, "trajectory")).where("output_messages is not null")
+    return steps.select("trace_id", "pos", trajectories.assistant_text(F.col("output_messages")).alias("said"))
