@@ -68,9 +68,9 @@ def looked_up(rows: DataFrame, lookup: DataFrame, keys: list[str], name: str) ->
 
 
 def corrector_pool(corrections: DataFrame) -> DataFrame:
-    """Per corrector: number, distinct texts in order of first sight, first name."""
-    texts = corrections.groupBy("corrector", "text").agg(F.min("row_id").alias("at"), F.min_by("name", "row_id").alias("name"))
-    g = texts.groupBy("corrector").agg(F.array_sort(F.collect_list(F.struct("at", "text"))).alias("x"), F.min_by("name", "at").alias("first_name"))
+    """Per corrector: number, distinct texts in order of first sight, first name that is given."""
+    texts = corrections.groupBy("corrector", "text").agg(F.min("row_id").alias("at"), F.min_by("name", F.when(F.col("name").isNotNull(), F.col("row_id"))).alias("name"))
+    g = texts.groupBy("corrector").agg(F.array_sort(F.collect_list(F.struct("at", "text"))).alias("x"), F.min_by("name", F.when(F.col("name").isNotNull(), F.col("at"))).alias("first_name"))
     return g.select("corrector", F.size("x").alias("n_texts"), "first_name", F.substring(F.element_at("x", 1)["text"], 1, 60).alias("first_text"))
 
 
