@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import importlib.util
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -28,7 +27,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 TOKENIZER_DIR = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
