@@ -44,7 +44,7 @@ def without_emphasis(col: Column) -> Column:
 
 def fingerprint(col: Column, least: int = 20, cap: int = 180) -> Column:
     """A coarse form for finding equal texts; empty when too short to tell."""
-    x = F.regexp_replace(F.lower(col), r"(?U)[\W_]+", "")
+    x = F.regexp_replace(F.lower(col), r"[^\p{L}\p{N}]+", "")
     return F.when(F.length(x) >= least, F.substring(x, 1, cap)).otherwise(F.lit(""))
 
 

@@ -159,12 +159,26 @@ def log_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     _W + f" SELECT id, CASE WHEN text IS NULL THEN NULL WHEN regexp_matches(text, '(?i)\\b(why|what|warum|por qué|为什么)') THEN 'qa' WHEN regexp_matches(text, '{_ASKS}') THEN 'exec' ELSE 'unknown' END AS verdict FROM m WHERE {SQL_USER} AND (text IS NULL OR regexp_full_match(text, '[\\x00-\\x7F]*'))",
 )
 def judged_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User messages in plain ASCII, judged by keywords; each distinct text once."""
+    """User messages in plain ASCII, as its SQL says, judged by keywords; ``judged_requests_all`` judges all."""
     judge = providers.KeywordJudge([(r"(?i)\b(why|what|warum|por qué|为什么)", "qa"), (_ASKS, "exec")])
     rows = messages(spark, sf_dir).where(T.is_user(F.col("role")) & (F.col("text").isNull() | F.col("text").rlike(r"^[\x00-\x7F]*$")))
     return providers.judged(rows.select("id", "text"), "text", judge, ("qa", "exec")).select("id", "verdict")
 
 
+@query(
+    "judged_requests_all",
+    _W + f" SELECT id, CASE WHEN text IS NULL THEN NULL WHEN regexp_matches(text, '(?i)(^|[^\\p{{L}}\\p{{N}}_])(why|what|warum|por qué)|为什么') THEN 'qa' WHEN regexp_matches(text, '{_ASKS}') THEN 'exec' ELSE 'unknown' END AS verdict FROM m WHERE {SQL_USER}",
+)
+def judged_requests_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User messages in any language, judged by keywords; each distinct text once.
+
+    Chinese has no word boundaries, so its keyword counts anywhere.
+    """
+    judge = providers.KeywordJudge([(r"(?i)\b(why|what|warum|por qué)|为什么", "qa"), (_ASKS, "exec")])
+    rows = messages(spark, sf_dir).where(T.is_user(F.col("role")))
+    return providers.judged(rows.select("id", "text"), "text", judge, ("qa", "exec")).select("id", "verdict")
+
+
 @query("reply_similarity")
 def reply_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cosine of each reply and what it replies to, by hashed words."""

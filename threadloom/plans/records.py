@@ -34,11 +34,21 @@ def text_normal_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT doc_id, CASE WHEN length(x) >= 20 THEN substr(x, 1, 180) ELSE '' END AS fp FROM f""",
 )
 def text_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the texts in plain ASCII, where both engines' classes agree."""
+    """Only of the texts in plain ASCII, as its SQL says; ``text_fingerprint_all`` is over all."""
     docs = table(spark, sf_dir, "documents").where(F.col("text").rlike(r"^[\x00-\x7F]*$"))
     return docs.select("doc_id", T.fingerprint(F.col("text")).alias("fp"))
 
 
+@query(
+    "text_fingerprint_all",
+    r"""WITH f AS (SELECT doc_id, regexp_replace(lower(text), '[^\p{L}\p{N}]+', '', 'g') AS x FROM documents)
+    SELECT doc_id, CASE WHEN length(x) >= 20 THEN substr(x, 1, 180) ELSE '' END AS fp FROM f""",
+)
+def text_fingerprint_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every document, in any script; one without text has an empty form."""
+    return table(spark, sf_dir, "documents").select("doc_id", T.fingerprint(F.col("text")).alias("fp"))
+
+
 @query(
     "previews_and_lines",
     rf"""WITH f AS (SELECT row_id, text, trim(regexp_replace(translate(text, '#*`|', ''), '{_SPACE}', ' ', 'g'), ' ') AS flat FROM chat_events)

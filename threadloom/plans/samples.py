@@ -114,15 +114,29 @@ def review_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.review_page(table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderkey"), "o_custkey", "o_totalprice", "o_orderkey", 10, 20)
 
 
+def _overlap(rows: DataFrame) -> DataFrame:
+    cards = rows.select("id", F.col("parent").alias("root"), F.when(F.col("text").isNotNull(), T.fingerprint(F.col("text"))).alias("fp"), "row_id")
+    return samples.overlap_reason(cards, cards.where("row_id % 4 = 0")).select("id", "overlap")
+
+
 @query(
     "reviewed_overlap",
     _W + r""", c AS (SELECT id, parent AS root, text, row_id FROM m WHERE text IS NULL OR regexp_full_match(text, '[\x00-\x7F]*')), f AS (SELECT *, CASE WHEN length(regexp_replace(lower(text), '[^\p{L}\p{N}]+', '', 'g')) >= 20 THEN substr(regexp_replace(lower(text), '[^\p{L}\p{N}]+', '', 'g'), 1, 180) WHEN text IS NOT NULL THEN '' END AS fp FROM c),
     r AS (SELECT * FROM f WHERE row_id % 4 = 0) SELECT f.id, CASE WHEN id IN (SELECT id FROM r) THEN 'id' WHEN root IN (SELECT root FROM r WHERE root IS NOT NULL) THEN 'root' WHEN fp <> '' AND fp IN (SELECT fp FROM r WHERE fp IS NOT NULL) THEN 'text' END AS overlap FROM f""",
 )
 def reviewed_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = messages(spark, sf_dir).where(F.col("text").isNull() | F.col("text").rlike(r"^[\x00-\x7F]*$"))
-    cards = rows.select("id", F.col("parent").alias("root"), F.when(F.col("text").isNotNull(), T.fingerprint(F.col("text"))).alias("fp"), "row_id")
-    return samples.overlap_reason(cards, cards.where("row_id % 4 = 0")).select("id", "overlap")
+    """Only of the texts in plain ASCII, as its SQL says; ``reviewed_overlap_all`` is over all."""
+    return _overlap(messages(spark, sf_dir).where(F.col("text").isNull() | F.col("text").rlike(r"^[\x00-\x7F]*$")))
+
+
+@query(
+    "reviewed_overlap_all",
+    _W + r""", f AS (SELECT id, parent AS root, row_id, CASE WHEN length(regexp_replace(lower(text), '[^\p{L}\p{N}]+', '', 'g')) >= 20 THEN substr(regexp_replace(lower(text), '[^\p{L}\p{N}]+', '', 'g'), 1, 180) WHEN text IS NOT NULL THEN '' END AS fp FROM m),
+    r AS (SELECT * FROM f WHERE row_id % 4 = 0) SELECT f.id, CASE WHEN id IN (SELECT id FROM r) THEN 'id' WHEN root IN (SELECT root FROM r WHERE root IS NOT NULL) THEN 'root' WHEN fp <> '' AND fp IN (SELECT fp FROM r WHERE fp IS NOT NULL) THEN 'text' END AS overlap FROM f""",
+)
+def reviewed_overlap_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in any script against the reviewed quarter."""
+    return _overlap(messages(spark, sf_dir))
 
 
 @query(
