@@ -47,3 +47,17 @@ def test_no_row_is_left_out_for_its_script(spark, name):
     part, whole = (core.QUERIES[n](spark, SMALL) for n in (name, f"{name}_all"))
     m = flows.messages(spark, SMALL)
     assert whole.count() == (m.where(T.is_user(F.col("role"))) if name == "judged_requests" else m).count() > part.count()
+
+
+def test_every_user_message_is_an_anchor(spark):
+    rows = flows.threaded(spark, SMALL).select("id", "role", "thread", "ts_us", "row_id").toPandas().sort_values(["ts_us", "row_id"])
+    lanes, windows, before = {}, set(), {}
+    for r in rows.itertuples():
+        lanes.setdefault(r.thread, []).append((r.id, r.role in T.USER_ROLES))
+    for lane in lanes.values():
+        for at, (anchor, is_user) in enumerate(lane):
+            if is_user:
+                windows |= {(anchor, lane[p][0], p - at) for p in range(max(0, at - 3), min(len(lane), at + 3))}
+                before[anchor] = (min(at, 80), max(1, at - 79) if at else None)
+    assert {tuple(r) for r in core.QUERIES["context_window_all"](spark, SMALL).select("anchor", "id", "off").collect()} == windows
+    assert {r.anchor: (r.n_context, r.first_pos) for r in core.QUERIES["context_before_all"](spark, SMALL).collect()} == before

@@ -1,12 +1,14 @@
 """Rows around anchors, by position, without inequality joins.
 
-Positions are cut into tiles of ``TILE`` rows. An anchor asks only the tiles its
-window touches, so the join is on equal (key, tile) and a hot key spreads over
-its tiles.
+Positions are cut into tiles as wide as the window, ``TILE`` rows at most. An
+anchor asks only the tiles its window touches, so the join is on equal (key,
+tile), a hot key spreads over its tiles, and few of the rows met lie outside.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ def window_around(rows: DataFrame, anchors: DataFrame, keys: list[str], before:
     Adds ``off``, the distance to the anchor. A negative ``after`` leaves the
     anchor itself out.
     """
-    tile = lambda c: F.floor(c / TILE).cast("bigint")
+    width = max(1, min(TILE, before + after + 1))
+    tile = lambda c: F.floor(c / width).cast("bigint")
     lo, hi = F.col("at") - before, F.col("at") + after
     asked = anchors.withColumn("__tile", F.explode(F.sequence(tile(F.greatest(lo, F.lit(0))), F.greatest(tile(hi), tile(F.greatest(lo, F.lit(0)))))))
     renamed = asked.select(*(F.col(c).alias(f"__{c}") if c in keys else F.col(c) for c in asked.columns))
@@ -30,6 +33,17 @@ def window_around(rows: DataFrame, anchors: DataFrame, keys: list[str], before:
     return joined.where(inside).withColumn("off", (F.col("pos") - F.col("at")).cast("bigint")).drop("__tile", "__row_tile", *(f"__{k}" for k in keys))
 
 
+def counted_before(anchors: DataFrame, keys: list[str], before: int) -> DataFrame:
+    """Adds ``n_context`` and ``first_pos``: how many rows the window of ``before`` rows strictly before ``at`` holds, and its first.
+
+    Positions run from 1 without gaps, so both follow from ``at`` and no row is
+    expanded. A null key has no window.
+    """
+    known = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    n = F.when(known, F.least(F.col("at") - 1, F.lit(before))).otherwise(0).cast("bigint")
+    return anchors.withColumn("n_context", n).withColumn("first_pos", F.when(F.col("n_context") > 0, F.col("at") - F.col("n_context")))
+
+
 def first_after(rows: DataFrame, keys: list[str], good: Column, span: int) -> DataFrame:
     """Adds ``found_pos``: the nearest later row within ``span`` rows for which ``good`` holds."""
     targets = rows.where(good).select(*keys, F.col("pos").alias("__p"))
