@@ -1,5 +1,6 @@
 """Queries over every row: nothing is left out for its script, its number or its place."""
 
+import json
 import unicodedata
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401 - registers all queries
 from threadloom.functions import text as T
+from threadloom.operators import shredding
 from threadloom.plans import core, flows
 
 TEXTS = [
@@ -61,3 +63,39 @@ def test_every_user_message_is_an_anchor(spark):
                 before[anchor] = (min(at, 80), max(1, at - 79) if at else None)
     assert {tuple(r) for r in core.QUERIES["context_window_all"](spark, SMALL).select("anchor", "id", "off").collect()} == windows
     assert {r.anchor: (r.n_context, r.first_pos) for r in core.QUERIES["context_before_all"](spark, SMALL).collect()} == before
+
+
+def leaves(value, path="", name=None):
+    """(path, text) of every plain value, by recursion; as member text is read, so here."""
+    value = shredding._structure(name, value)
+    if isinstance(value, dict):
+        for k, x in value.items():
+            yield from leaves(x, f"{path}.{k}" if path else k, k)
+    elif isinstance(value, list):
+        for i, x in enumerate(value):
+            yield from leaves(x, f"{path}[{i}]")
+    elif value is not None:
+        yield path, value if isinstance(value, str) else json.dumps(value)
+
+
+def rebuilt(child_path, members):
+    prefix = "" if child_path == "$" else child_path
+    return {(prefix if k == "$value" else f"{prefix}.{k}" if prefix else k, v) for k, v in members.items()}
+
+
+def test_tables_hold_records_and_plain_values():
+    records = [{"type": "x", "n": {"k": 1}, "x": [{"y": ["a", None, 2, {"z": 1}, ["deep"]]}, "b"], "arguments": '{"any_of": ["p", "q"]}'}, ["top", {"m": True}], None, {}]
+    want = [(i, p, v) for i, r in enumerate(records) for p, v in leaves(json.loads(json.dumps(r)))]
+    found = [(int(i), p, v) for _, at, paths, _, members in shredding.tables(json.loads(json.dumps(records)), True, True) for i, path, m in zip(at, paths, members, strict=True) for p, v in rebuilt(path, m)]
+    assert sorted(found) == sorted(want)
+
+
+def test_tables_give_back_every_leaf(spark):
+    items, traces = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("thread_items", "trajectory"))
+    plain = lambda v: v.asDict(recursive=True) if hasattr(v, "asDict") else [plain(x) for x in v] if isinstance(v, list) else v
+    want = {("thread_items", r.k, p, v) for r in items.select(shredding.item_key().alias("k"), "item_json").collect() for p, v in leaves(shredding.parse_item(r.item_json))}
+    want |= {("trajectory", r.trace_id, p, v) for r in traces.select("trace_id", "steps", "messages").collect() for p, v in leaves({"steps": plain(r.steps), "messages": plain(r.messages)})}
+    rows = core.QUERIES["p3_tables"](spark, SMALL).collect()
+    assert {(r.table_name, r.owner_key, p, v) for r in rows for p, v in rebuilt(r.child_path, json.loads(r.members))} == want
+    paths = {(r.table_name, r.owner_key, r.child_path) for r in rows}
+    assert all(r.parent_path is None or (r.table_name, r.owner_key, r.parent_path) in paths for r in rows if not r.child_path.startswith("["))

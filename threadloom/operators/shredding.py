@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 TEXT_MEMBERS = frozenset({"arguments", "args", "tool_inputs", "tool_outputs", "output_messages"})
 
 
+ROOT, VALUE = "$", "$value"
+"""The table of the records themselves, and the member that holds a plain value of an array."""
+
 CHUNK = 1000
 """Records shredded together."""
 
@@ -176,14 +179,51 @@ def _paths(steps: tuple[str, ...], positions: list[np.ndarray]) -> tuple[list[st
     return prefix, parent
 
 
-def tables(records: list, leaves: bool) -> Iterator[tuple[str, np.ndarray, list[str], list[str], list[dict] | None]]:
+def _text(x) -> str:
+    return x if isinstance(x, str) else json.dumps(x)
+
+
+def _member_leaves(node: _Node) -> Iterator[tuple[str, _Column]]:
+    """The plain members of objects at ``node``, those of objects within them too."""
+    inner = list(node.members.items())
+    while inner:
+        name, kid = inner.pop()
+        inner += [(f"{name}.{n}", k) for n, k in kid.members.items()]
+        if kid.leaf:
+            yield name, kid.leaf
+
+
+def _root_table(root: _Node, records: list) -> tuple[str, np.ndarray, list[str], list[str | None], list[dict]]:
+    """The records that are objects, with path ``$`` and no parent."""
+    there = [i for i, x in enumerate(records) if isinstance(x, dict)]
+    members: list[dict] = [{} for _ in records]
+    for name, leaf in _member_leaves(root):
+        for i, d, x in zip(leaf.record, leaf.d, leaf.value, strict=True):
+            if d == leaf.full:
+                members[i][name] = _text(x)
+    return ROOT, np.asarray(there, dtype=int), [ROOT] * len(there), [None] * len(there), [members[i] for i in there]
+
+
+def tables(records: list, leaves: bool, whole: bool = False) -> Iterator[tuple[str, np.ndarray, list[str], list[str | None], list[dict] | None]]:
     """Of a batch of parsed records, per repeated ancestor: its name, the record
-    of each object in it, the objects' paths, their parents' and their members."""
+    of each object in it, the objects' paths, their parents' and their members.
+
+    ``whole`` adds the records themselves as table ``$``, and a row for each
+    plain value in an array, its only member being ``$value``.
+    """
     root = _Node(("",), 0)
     _infer(root, records, leaves)
     nodes = _collect(root)
     _shred(root, records)
+    if whole:
+        yield _root_table(root, records)
     for node in nodes:
+        name = "".join(f"{s}[]" for s in node.steps[:-1])
+        if whole and node.leaf and len(node.steps) > 1 and not node.steps[-1]:
+            r, d = np.asarray(node.leaf.r), np.asarray(node.leaf.d)
+            there = np.flatnonzero(d == node.leaf.full)
+            paths, parents = _paths(node.steps, [p[there] for p in _positions(r, len(node.steps) - 1)])
+            yield name, np.asarray(node.leaf.record)[there], paths, parents, [{VALUE: _text(node.leaf.value[i])} for i in there.tolist()]
         column = node.presence
         if column is None or not column.r:
             continue
@@ -195,16 +235,10 @@ def tables(records: list, leaves: bool) -> Iterator[tuple[str, np.ndarray, list[
         members = None
         if leaves:
             members = [{} for _ in there]
-            inner = [(k.steps[-1].lstrip("."), k) for k in node.members.values()]
-            while inner:
-                name, kid = inner.pop()
-                inner += [(f"{name}.{n}", k) for n, k in kid.members.items()]
-                if kid.leaf:
-                    for out, i in zip(members, there.tolist(), strict=True):
-                        if kid.leaf.d[i] == kid.leaf.full:
-                            x = kid.leaf.value[i]
-                            out[name] = x if isinstance(x, str) else json.dumps(x)
-        name = "".join(f"{s}[]" for s in node.steps[:-1])
+            for member, leaf in _member_leaves(node):
+                for out, i in zip(members, there.tolist(), strict=True):
+                    if leaf.d[i] == leaf.full:
+                        out[member] = _text(leaf.value[i])
         yield name, np.asarray(column.record)[there], paths, parents, members
 
 
@@ -231,7 +265,7 @@ def _flatten(records_of, leaves: bool):
             owners, records = records_of(batch)
             out: list[list] = [[], [], [], [], []]
             for first in range(0, len(records), CHUNK):
-                for name, record, paths, parents, members in tables(records[first : first + CHUNK], leaves):
+                for name, record, paths, parents, members in tables(records[first : first + CHUNK], leaves, leaves):
                     out[0] += [owners[first + i] for i in record.tolist()]
                     out[1] += [name] * len(paths)
                     out[2] += paths

@@ -110,6 +110,6 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("p3_tables")
 def p3_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flat child tables: every object with its plain members."""
+    """The flat tables: every record and every object in an array with its plain members, and every plain value in an array."""
     rows = shredding.nested_objects(table(spark, sf_dir, "thread_items"), table(spark, sf_dir, "trajectory"), leaves=True)
     return rows.withColumn("members", F.to_json("members"))
