@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401 - registers all queries
 from threadloom.functions import text as T
-from threadloom.operators import shredding
+from threadloom.operators import shredding, similarity
 from threadloom.plans import core, flows
 
 TEXTS = [
@@ -99,3 +99,15 @@ def test_tables_give_back_every_leaf(spark):
     assert {(r.table_name, r.owner_key, p, v) for r in rows for p, v in rebuilt(r.child_path, json.loads(r.members))} == want
     paths = {(r.table_name, r.owner_key, r.child_path) for r in rows}
     assert all(r.parent_path is None or (r.table_name, r.owner_key, r.parent_path) in paths for r in rows if not r.child_path.startswith("["))
+
+
+def test_links_keep_their_ids(spark):
+    rows = [(0, [1.0, 0.0], 1), (1, [1.0, 0.1], 1), (300, [0.9, 0.1], 2), (301, [0.0, 1.0], 1), (302, None, 1), (303, [1.0, 1.0], None)]
+    df = spark.createDataFrame(rows, "i int, v array<float>, l int")
+    found = similarity.similar_pairs(df, "i", "v", "l", 0.8).collect()
+    assert {(r.query, r.vec_id): (r.same, r.adjacent) for r in found} == {(0, 1): (True, True), (0, 300): (False, False), (1, 300): (False, False)}
+    assert {r.query: r.vec_id for r in similarity.nearest(df, "i", "v", "l").collect()} == {0: 1, 1: 300, 300: 1, 301: 303, 303: 300}
+    (r,) = similarity.recall_by_threshold(df, "i", "v", "l", (0.8,)).collect()
+    assert (r.n_wanted, r.n_recalled, r.n_above, r.n_hit, r.n_crossed, r.recall) == (2, 0, 3, 1, 2, 0.0)
+    hard = [(r.kind, r.query, r.vec_id) for r in similarity.hardest_pairs(df, "i", "v", "l", 1).collect()]
+    assert hard == [("crossed", 1, 300), ("missed", 0, 301)]

@@ -315,10 +315,48 @@ def title_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT query, count(*) FILTER (WHERE sim >= 0.5) AS n_half, count(*) FILTER (WHERE sim >= 0.2) AS n_fifth, round(max(sim), 4) AS best FROM s GROUP BY 1""",
 )
 def embedding_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queries are the rows whose id is divisible by 100, against all rows in blocks."""
+    """Counts for the rows whose id is divisible by 100, as its SQL says; ``embedding_pairs`` and those after it take all rows."""
     return similarity.searched(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", (0.5, 0.2))
 
 
+_PAIRS = """WITH s AS (SELECT a.vec_id AS query, b.vec_id AS vec_id, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim,
+      CASE WHEN a.label >= 0 AND b.label >= 0 THEN a.label = b.label END AS same, b.vec_id = a.vec_id + 1 AS adjacent FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id)"""
+_VECTORS = ("vec_id", "embedding", "label")
+
+
+@query("embedding_pairs", _PAIRS + " SELECT query, vec_id, round(sim, 4) AS similarity, same, adjacent FROM s WHERE sim >= 0.2")
+def embedding_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = similarity.similar_pairs(table(spark, sf_dir, "embeddings"), *_VECTORS, 0.2)
+    return found.withColumn("similarity", F.round("similarity", 4))
+
+
+@query(
+    "embedding_nearest_ids",
+    _PAIRS + ", e AS (SELECT query, vec_id, sim FROM s UNION ALL SELECT vec_id, query, sim FROM s) SELECT query, arg_max(vec_id, (sim, -vec_id)) AS vec_id, round(max(sim), 4) AS similarity FROM e GROUP BY 1",
+)
+def embedding_nearest_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.nearest(table(spark, sf_dir, "embeddings"), *_VECTORS).withColumn("similarity", F.round("similarity", 4))
+
+
+@query(
+    "embedding_recall",
+    _PAIRS + """, c AS (SELECT t AS threshold, count(*) FILTER (WHERE same AND NOT adjacent) AS n_wanted, count(*) FILTER (WHERE same AND NOT adjacent AND sim >= t) AS n_recalled, count(*) FILTER (WHERE same IS NOT NULL AND sim >= t) AS n_above,
+      count(*) FILTER (WHERE same AND sim >= t) AS n_hit FROM s, (SELECT unnest([0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8])::DOUBLE AS t) x GROUP BY 1)
+    SELECT *, n_above - n_hit AS n_crossed, CASE WHEN n_wanted > 0 THEN n_recalled / n_wanted ELSE 0 END AS recall, CASE WHEN n_above > 0 THEN n_hit / n_above ELSE 0 END AS precision FROM c""",
+)
+def embedding_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.recall_by_threshold(table(spark, sf_dir, "embeddings"), *_VECTORS, (0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8))
+
+
+@query(
+    "embedding_hardest",
+    _PAIRS + """ SELECT * FROM (SELECT 'crossed' AS kind, query, vec_id, round(sim, 4) AS similarity FROM s WHERE NOT same ORDER BY sim DESC, query, vec_id LIMIT 6) x
+    UNION ALL SELECT * FROM (SELECT 'missed', query, vec_id, round(sim, 4) FROM s WHERE same AND NOT adjacent ORDER BY sim, query, vec_id LIMIT 6) y""",
+)
+def embedding_hardest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.hardest_pairs(table(spark, sf_dir, "embeddings"), *_VECTORS).withColumn("similarity", F.round("similarity", 4))
+
+
 # --- stores, jobs, life cycles --------------------------------------------------
 
 
