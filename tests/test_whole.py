@@ -111,3 +111,33 @@ def test_links_keep_their_ids(spark):
     assert (r.n_wanted, r.n_recalled, r.n_above, r.n_hit, r.n_crossed, r.recall) == (2, 0, 3, 1, 2, 0.0)
     hard = [(r.kind, r.query, r.vec_id) for r in similarity.hardest_pairs(df, "i", "v", "l", 1).collect()]
     assert hard == [("crossed", 1, 300), ("missed", 0, 301)]
+
+
+def lanes_of(spark):
+    rows = flows.threaded(spark, SMALL).select("thread", "ts_us", "row_id", "role", "name", "text").collect()
+    lanes = {}
+    for r in sorted(rows, key=lambda r: (r.ts_us, r.row_id)):
+        lanes.setdefault(r.thread, []).append(r)
+    return lanes
+
+
+def test_context_has_eighty_rows(spark):
+    want = {}
+    for thread, lane in lanes_of(spark).items():
+        want[thread] = "\n".join(f"M{i} [{r.role or ''}/{r.name or ''}] {r.text}" for i, r in enumerate(lane[-80:], 1) if r.text), min(len(lane), 80)
+    got = {r.thread: (r.context, r.n_rows) for r in core.QUERIES["rendered_context_all"](spark, SMALL).collect()}
+    assert got == want and max(n for _, n in want.values()) > 20
+
+
+def test_windows_have_twenty_thousand_characters(spark):
+    want = []
+    for thread, lane in lanes_of(spark).items():
+        window, held, sizes = 0, [], [len(r.text or "") for r in lane]
+        for pos, n in enumerate(sizes):
+            if held and sum(sizes[p] for p in held) + n > 20_000:
+                window, held = window + 1, held[-8:]
+                want += [(thread, p, window) for p in held]
+            held.append(pos)
+            want.append((thread, pos, window))
+    got = [(r.thread, r.pos, r.window) for r in core.QUERIES["char_windows"](spark, SMALL).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)

@@ -72,7 +72,7 @@ def context_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("char_windows")
 def char_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = threaded(spark, sf_dir).select("thread", "ts_us", "row_id", F.length(F.coalesce("text", F.lit(""))).alias("n_chars"))
-    return folds.char_windows(rows, "thread", ["ts_us", "row_id"], "n_chars", budget=2000)
+    return folds.char_windows(rows, "thread", ["ts_us", "row_id"], "n_chars")
 
 
 @query("session_routing")

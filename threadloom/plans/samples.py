@@ -20,10 +20,20 @@ _W = "WITH RECURSIVE " + SQL_MESSAGES
     SELECT thread, coalesce(string_agg('M' || i || ' [' || who || '] ' || x, chr(10) ORDER BY i) FILTER (WHERE x <> ''), '') AS context, CAST(count(*) AS INT) AS n_rows FROM l GROUP BY 1""",
 )
 def rendered_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a replay of the end of each thread may see: its last 20 rows."""
+    """The last 20 rows of each thread, as its SQL says; ``rendered_context_all`` has the 80 that a replay may see."""
     return samples.rendered_context(threaded(spark, sf_dir), ["thread"], ["ts_us", "row_id"], 20)
 
 
+@query(
+    "rendered_context_all",
+    _W + """, k AS (SELECT *, row_number() OVER (PARTITION BY thread ORDER BY ts_us DESC, row_id DESC) AS k FROM t), l AS (SELECT thread, row_number() OVER (PARTITION BY thread ORDER BY ts_us, row_id) AS i, coalesce(role, '') || '/' || coalesce(name, '') AS who, coalesce(text, '') AS x FROM k WHERE k <= 80)
+    SELECT thread, coalesce(string_agg('M' || i || ' [' || who || '] ' || x, chr(10) ORDER BY i) FILTER (WHERE x <> ''), '') AS context, CAST(count(*) AS INT) AS n_rows FROM l GROUP BY 1""",
+)
+def rendered_context_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a replay of the end of each thread may see, up to the operator's own limit of 80 rows."""
+    return samples.rendered_context(threaded(spark, sf_dir), ["thread"], ["ts_us", "row_id"])
+
+
 @query(
     "ordered_id_lists",
     _W + ", l AS (SELECT parent AS k, list(id ORDER BY row_id) AS ids FROM m WHERE parent IS NOT NULL GROUP BY 1), f AS (SELECT k, unnest(ids) AS id, generate_subscripts(ids, 1) - 1 AS pos FROM l) SELECT k, CAST(pos AS INT) AS pos, f.id, m.row_id FROM f JOIN m ON m.id = f.id",
