@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401 - registers all queries
 from threadloom.functions import text as T
-from threadloom.operators import shredding, similarity
+from threadloom.operators import replies, samples, shredding, similarity
 from threadloom.plans import core, flows
 
 TEXTS = [
@@ -141,3 +141,21 @@ def test_windows_have_twenty_thousand_characters(spark):
             want.append((thread, pos, window))
     got = [(r.thread, r.pos, r.window) for r in core.QUERIES["char_windows"](spark, SMALL).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_descendants_have_no_depth_limit(spark):
+    spawn = spark.createDataFrame([(str(i), str(i + 1)) for i in range(68)], "parent string, child string")
+    top = spark.createDataFrame([("0",)], "id string")
+    assert sorted((int(r.id), r.depth) for r in replies.descendants(spawn, top).collect()) == [(i, i) for i in range(1, 69)]
+
+
+def test_a_cycle_of_descendants_is_an_error(spark):
+    spawn = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("d", "b")], "parent string, child string")
+    with pytest.raises(ValueError, match="cycle"):
+        replies.descendants(spawn, spark.createDataFrame([("a",)], "id string"))
+
+
+def test_long_lines_differ_by_their_end(spark):
+    diff = "diff --git a/x b/x\n--- a/x\n+++ b/x\n@@ -0,0 +1,2 @@\n+" + "y" * 100_000 + "1\n+" + "y" * 100_000 + "2"
+    (r,) = samples.diff_lines(spark.createDataFrame([(1, diff)], "i int, d string"), "i", "d").collect()
+    assert len(set(r.fingerprints)) == 2

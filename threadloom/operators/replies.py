@@ -100,19 +100,29 @@ def upsert_edges(edges_: DataFrame, child: str = "child", order: str = "row_id")
     return last.select(child, "r.*")
 
 
-def descendants(spawn: DataFrame, top: DataFrame, status: str | None = None, max_depth: int = 64) -> DataFrame:
-    """(top, id, depth) breadth first; a status filter holds for every edge passed."""
+def descendants(spawn: DataFrame, top: DataFrame, status: str | None = None) -> DataFrame:
+    """(top, id, depth) breadth first, to the last level; a status filter holds for every edge passed.
+
+    Each path carries the node it held at the last depth that is a power of
+    two. A path that comes back to it runs in a cycle, which is an error.
+    """
     use = spawn if status is None else spawn.where(F.col("status") == status)
     use = materialise(use.select("parent", "child"), "spawn")
-    level = materialise(top.select(F.col("id").alias("top"), F.col("id"), F.lit(0).alias("depth")), "level")
-    out = None
-    for k in range(1, max_depth + 1):
-        level = level.join(use, F.col("id") == F.col("parent")).select("top", F.col("child").alias("id"), F.lit(k).alias("depth"))
+    level = materialise(top.select(F.col("id").alias("top"), F.col("id"), F.lit(0).alias("depth"), F.col("id").alias("mark")), "level")
+    out, k = None, 0
+    while True:
+        k += 1
+        mark = F.col("id") if k > 1 and (k - 1) & (k - 2) == 0 else F.col("mark")
+        level = level.withColumn("mark", mark).join(use, F.col("id") == F.col("parent")).select("top", F.col("child").alias("id"), F.lit(k).alias("depth"), "mark")
         level = materialise(level, "level")
-        if not level.limit(1).count():
+        met = level.select((F.col("id") == F.col("mark")).alias("c")).agg(F.count("*").alias("n"), F.count_if("c").alias("n_cyclic")).first()
+        if met.n_cyclic:
+            raise ValueError(f"the edges hold a cycle: {met.n_cyclic} paths come back to a node by depth {k}")
+        if not met.n:
             break
-        out = level if out is None else out.unionByName(level)
-    return level if out is None else out
+        found = level.drop("mark")
+        out = found if out is None else out.unionByName(found)
+    return level.drop("mark") if out is None else out
 
 
 def reopened(frozen: DataFrame, new_events: DataFrame) -> DataFrame:

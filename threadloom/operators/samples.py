@@ -118,7 +118,7 @@ def diff_lines(diffs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     path = F.last(F.when(F.col("line").startswith("+++ "), F.regexp_replace(F.substring("line", 5, 4096), "^[ab]/", "")), ignorenulls=True).over(w)
     hunk = F.last(F.when(F.col("line").startswith("@@"), F.lit(True)).when(F.col("line").startswith("diff "), F.lit(False)), ignorenulls=True).over(w)
     rows = lines.withColumns({"path": path, "hunk": F.coalesce(hunk, F.lit(False))}).where("hunk and (line like '+%' or line like '-%') and not line like '+++ %' and not line like '--- %'")
-    body = F.trim(F.substring("line", 2, 100_000))
+    body = F.trim(F.expr("substring(line, 2)"))
     added = F.col("line").startswith("+")
     return rows.groupBy(id_col, "path").agg(
         F.count_if(added).alias("n_added"), F.count_if(~added).alias("n_deleted"),
