@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +32,55 @@ def local_session(cores: int = 8, partitions: int = 8) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where none is configured."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+    """The folder all executors share, as ``spark.checkpoint.dir`` names it.
+
+    Where it is unset, a session on one machine takes a folder of its own for
+    as long as the process lives; on a cluster that is an error, since what one
+    executor wrote to its own disk no other could read.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return _own_dir()
 
 
 @functools.cache
 def _own_dir() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="threadloom-")
+    folder = tempfile.mkdtemp(prefix="threadloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return "file://" + folder
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on whatever file system it lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; errors other than its absence are raised."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+_WRITTEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes, on leaving, the tables that ``materialise`` wrote inside the block.
+
+    Results must be written or counted before that.
+    """
+    _WRITTEN.append([])
+    try:
+        yield
+    finally:
+        for path in _WRITTEN.pop():
+            delete_path(spark, path)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -45,11 +90,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
+    A block of ``scratch`` deletes it at its end; else it stays in the folder.
     The table survives the loss of an executor, and later stages start from it
     rather than from the plan that made it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if _WRITTEN:
+        _WRITTEN[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
