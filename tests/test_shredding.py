@@ -28,7 +28,7 @@ def brute(value, path="", parent="$", name=None):
 
 def shredded(records):
     out = set()
-    for _, record, paths, parents, _ in shredding.tables(records, False):
+    for _, record, paths, parents, _ in shredding.tables(records):
         out |= {(int(r), p, q) for r, p, q in zip(record, paths, parents, strict=True)}
     return out
 
@@ -43,6 +43,44 @@ def test_levels_give_what_recursion_gives(records):
     assert shredded(json.loads(json.dumps(records))) == want
 
 
+def scalars(value, path="", name=None):
+    """Every plain value with its escaped path, by plain recursion."""
+    if isinstance(value, str) and name in shredding.TEXT_MEMBERS and value[:1] in ("[", "{"):
+        try:
+            value = json.loads(value)
+        except ValueError:
+            pass
+    if isinstance(value, dict):
+        for k, x in value.items():
+            yield from scalars(x, f"{path}.{shredding.escaped(k)}" if path else shredding.escaped(k), k)
+    elif isinstance(value, list):
+        for i, x in enumerate(value):
+            yield from scalars(x, f"{path}[{i}]")
+    elif value is not None:
+        yield path, value if isinstance(value, str) else json.dumps(value)
+
+
+clashing = st.recursive(st.none() | st.booleans() | st.integers(0, 9) | st.sampled_from(["", "x", '{"b.c":1}']), lambda kids: st.lists(kids, max_size=3) | st.dictionaries(st.sampled_from(["a", "a.b", "b", "[0]", "\\", "args", "$value"]), kids, max_size=3), max_leaves=20)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.dictionaries(st.sampled_from(["a", "a.b", "b", "args"]), clashing, max_size=3), max_size=3))
+def test_every_plain_value_has_one_place(records):
+    want = sorted((i, p, v) for i, r in enumerate(records) for p, v in scalars(json.loads(json.dumps(r))))
+    got, places = [], []
+    for _, record, paths, _, members in shredding.tables(json.loads(json.dumps(records)), True):
+        for r, path, found in zip(record.tolist(), paths, members, strict=True):
+            plain = list(found) == ["$value"]
+            places.append((r, path, plain))
+            for name, v in found.items():
+                if name == "$value" and plain and (r, path) not in {(i, p.rsplit(".", 1)[0]) for i, p, _ in want if p.endswith(".$value")}:
+                    got.append((r, path, v))
+                else:
+                    got.append((r, name if path == "$" else f"{path}.{name}", v))
+    assert sorted(got) == want
+    assert len(set(places)) == len(places)
+
+
 def test_deep_nesting():
     deep = {"a": []}
     at = deep["a"]
@@ -63,7 +101,7 @@ def test_items_wrapped_broken_repeated_and_null(spark):
 
 def test_members_line_up_with_their_objects():
     records = [{"x": [{"n": 1, "in": {"k": "a"}}, None, {"n": None}, {"n": 2.5}]}]
-    (found,) = list(shredding.tables(records, True))
+    (found,) = [t for t in shredding.tables(records, True) if t[0] != "$"]
     assert found[0] == "x[]" and found[2] == ["x[0]", "x[2]", "x[3]"]
     assert found[4] == [{"n": "1", "in.k": "a"}, {}, {"n": "2.5"}]
 

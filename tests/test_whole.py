@@ -32,7 +32,7 @@ def test_fingerprints_in_all_languages(spark):
 
 def test_every_document_has_a_fingerprint(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
-    got = {r.doc_id: r.fp for r in core.QUERIES["text_fingerprint_all"](spark, SMALL).collect()}
+    got = {r.doc_id: r.fp for r in core.QUERIES["text_fingerprint"](spark, SMALL).collect()}
     assert got == {i: brute_fingerprint(t) for i, t in docs.items()}
 
 
@@ -40,17 +40,10 @@ def test_requests_in_all_languages_are_judged(spark, monkeypatch):
     asked = ["Bitte öffne die Datei", "麻烦看一下", "为什么失败", "请问为什么失败", "¿Por qué?", "Größe?", "somewhat", None]
     rows = spark.createDataFrame([(str(i), "user", t) for i, t in enumerate(asked)], "id string, role string, text string")
     monkeypatch.setattr(flows, "messages", lambda *_: rows)
-    got = {int(r.id): r.verdict for r in flows.judged_requests_all(spark, "").collect()}
+    got = {int(r.id): r.verdict for r in flows.judged_requests(spark, "").collect()}
     assert [got[i] for i in range(len(asked))] == ["exec", "exec", "qa", "qa", "qa", "unknown", "unknown", None]
 
 
-@pytest.mark.parametrize("name", ["judged_requests", "reviewed_overlap"])
-def test_no_row_is_left_out_for_its_script(spark, name):
-    part, whole = (core.QUERIES[n](spark, SMALL) for n in (name, f"{name}_all"))
-    m = flows.messages(spark, SMALL)
-    assert whole.count() == (m.where(T.is_user(F.col("role"))) if name == "judged_requests" else m).count() > part.count()
-
-
 def test_every_user_message_is_an_anchor(spark):
     rows = flows.threaded(spark, SMALL).select("id", "role", "thread", "ts_us", "row_id").toPandas().sort_values(["ts_us", "row_id"])
     lanes, windows, before = {}, set(), {}
@@ -61,8 +54,8 @@ def test_every_user_message_is_an_anchor(spark):
             if is_user:
                 windows |= {(anchor, lane[p][0], p - at) for p in range(max(0, at - 3), min(len(lane), at + 3))}
                 before[anchor] = (min(at, 80), max(1, at - 79) if at else None)
-    assert {tuple(r) for r in core.QUERIES["context_window_all"](spark, SMALL).select("anchor", "id", "off").collect()} == windows
-    assert {r.anchor: (r.n_context, r.first_pos) for r in core.QUERIES["context_before_all"](spark, SMALL).collect()} == before
+    assert {tuple(r) for r in core.QUERIES["context_window_range"](spark, SMALL).select("anchor", "id", "off").collect()} == windows
+    assert {r.anchor: (r.n_context, r.first_pos) for r in core.QUERIES["context_before"](spark, SMALL).collect()} == before
 
 
 def leaves(value, path="", name=None):
@@ -86,7 +79,7 @@ def rebuilt(child_path, members):
 def test_tables_hold_records_and_plain_values():
     records = [{"type": "x", "n": {"k": 1}, "x": [{"y": ["a", None, 2, {"z": 1}, ["deep"]]}, "b"], "arguments": '{"any_of": ["p", "q"]}'}, ["top", {"m": True}], None, {}]
     want = [(i, p, v) for i, r in enumerate(records) for p, v in leaves(json.loads(json.dumps(r)))]
-    found = [(int(i), p, v) for _, at, paths, _, members in shredding.tables(json.loads(json.dumps(records)), True, True) for i, path, m in zip(at, paths, members, strict=True) for p, v in rebuilt(path, m)]
+    found = [(int(i), p, v) for _, at, paths, _, members in shredding.tables(json.loads(json.dumps(records)), True) for i, path, m in zip(at, paths, members, strict=True) for p, v in rebuilt(path, m)]
     assert sorted(found) == sorted(want)
 
 
@@ -102,15 +95,15 @@ def test_tables_give_back_every_leaf(spark):
 
 
 def test_links_keep_their_ids(spark):
-    rows = [(0, [1.0, 0.0], 1), (1, [1.0, 0.1], 1), (300, [0.9, 0.1], 2), (301, [0.0, 1.0], 1), (302, None, 1), (303, [1.0, 1.0], None)]
+    rows = [(0, [1.0, 0.0], 1), (1, [1.0, 0.1], 1), (300, [0.9, 0.1], 2), (301, [0.0, 1.0], 1), (302, None, 1), (303, [1.0, 1.0], None), (5, [0.0, 0.0], 1)]
     df = spark.createDataFrame(rows, "i int, v array<float>, l int")
     found = similarity.similar_pairs(df, "i", "v", "l", 0.8).collect()
-    assert {(r.query, r.vec_id): (r.same, r.adjacent) for r in found} == {(0, 1): (True, True), (0, 300): (False, False), (1, 300): (False, False)}
-    assert {r.query: r.vec_id for r in similarity.nearest(df, "i", "v", "l").collect()} == {0: 1, 1: 300, 300: 1, 301: 303, 303: 300}
+    assert {(r.query, r.vec_id): (r.same, r.adjacent) for r in found} == {(0, 1): (True, True), (0, 300): (False, False), (300, 0): (False, False), (300, 1): (False, False)}
+    assert {r.query: r.vec_id for r in similarity.nearest(df, "i", "v", "l").collect()} == {0: 1, 300: 1}
     (r,) = similarity.recall_by_threshold(df, "i", "v", "l", (0.8,)).collect()
-    assert (r.n_wanted, r.n_recalled, r.n_above, r.n_hit, r.n_crossed, r.recall) == (2, 0, 3, 1, 2, 0.0)
+    assert (r.n_wanted, r.n_recalled, r.n_above, r.n_hit, r.n_crossed, r.recall) == (2, 0, 4, 1, 3, 0.0)
     hard = [(r.kind, r.query, r.vec_id) for r in similarity.hardest_pairs(df, "i", "v", "l", 1).collect()]
-    assert hard == [("crossed", 1, 300), ("missed", 0, 301)]
+    assert hard == [("crossed", 300, 1), ("missed", 0, 5)]
 
 
 def lanes_of(spark):
@@ -125,7 +118,7 @@ def test_context_has_eighty_rows(spark):
     want = {}
     for thread, lane in lanes_of(spark).items():
         want[thread] = "\n".join(f"M{i} [{r.role or ''}/{r.name or ''}] {r.text}" for i, r in enumerate(lane[-80:], 1) if r.text), min(len(lane), 80)
-    got = {r.thread: (r.context, r.n_rows) for r in core.QUERIES["rendered_context_all"](spark, SMALL).collect()}
+    got = {r.thread: (r.context, r.n_rows) for r in core.QUERIES["rendered_context"](spark, SMALL).collect()}
     assert got == want and max(n for _, n in want.values()) > 20
 
 

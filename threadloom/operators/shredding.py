@@ -1,16 +1,23 @@
 """Nested records as flat tables, by columnar shredding.
 
 Each batch of records is shredded into one column per leaf path, holding
-repetition and definition levels, and one such column per array of objects.
-The tables of the repeated ancestors are then rebuilt from those level
-sequences alone: positions in arrays are counts of repetition levels, presence
-is a full definition level, and a leaf below an array element has one entry
-per element, so values line up with the elements of their table.
+values, repetition and definition levels. The tables of the repeated ancestors
+are then rebuilt from the levels of a leaf below them alone: an entry whose
+repetition level does not exceed the ancestor's begins a new element, counts of
+repetition levels give its positions in all enclosing arrays, and a definition
+level beyond the element's says that it is an object. Other leaves that no
+array separates from the ancestor have one entry per element, so values line
+up with the elements. Only where all objects of an array are without leaves
+does the ancestor get a column of levels of its own.
+
+A definition level counts what exists on the way: an array slot, an object
+around a member, and at last a plain value.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +36,11 @@ CHUNK = 1000
 """Records shredded together."""
 
 
+def escaped(name: str) -> str:
+    """A member's name with its dots and brackets marked, so that joined names stay apart."""
+    return re.sub(r"[\\.\[\]]", r"\\\g<0>", name)
+
+
 class _Column:
     """Levels, record numbers and values of one path of a batch."""
 
@@ -52,16 +64,19 @@ class _Node:
     def __init__(self, steps: tuple[str, ...], d: int) -> None:
         self.steps = steps  # one entry per array passed: the members before it; the last entry: members after it
         self.d = d
+        self.objects = False
         self.members: dict[str, _Node] = {}
         self.element: _Node | None = None
-        self.presence: _Column | None = None
+        self.bare: _Column | None = None  # levels of objects that have no leaf
+        self.levels: _Column | None = None  # the column that tells of this node's objects
         self.leaf: _Column | None = None
         self.below: list[_Column] = []
 
-    def member(self, name: str) -> _Node:
+    def member(self, name: str, escape: bool) -> _Node:
         found = self.members.get(name)
         if found is None:
-            last = f"{self.steps[-1]}.{name}" if self.steps[-1] or len(self.steps) > 1 else name
+            shown = escaped(name) if escape else name
+            last = f"{self.steps[-1]}.{shown}" if self.steps[-1] or len(self.steps) > 1 else shown
             found = self.members[name] = _Node((*self.steps[:-1], last), self.d + 1)
         return found
 
@@ -81,44 +96,46 @@ def _structure(name: str, value):
     return value
 
 
-def _infer(root: _Node, records: list, leaves: bool) -> None:
+def _infer(root: _Node, records: list, escape: bool) -> None:
     """Lifts text members into structure and notes every path that occurs."""
     stack = [(root, r) for r in records]
     while stack:
         node, value = stack.pop()
         if isinstance(value, dict):
+            node.objects = True
             for name, x in value.items():
                 if isinstance(x, str):
                     lifted = _structure(name, x)
                     if lifted is not x:
                         value[name] = x = lifted
                 if isinstance(x, (dict, list)):
-                    stack.append((node.member(name), x))
-                elif leaves and x is not None:
-                    kid = node.member(name)
+                    stack.append((node.member(name, escape), x))
+                elif x is not None:
+                    kid = node.member(name, escape)
                     kid.leaf = kid.leaf or _Column(kid.d + 1)
         elif isinstance(value, list):
             kid = node.elements()
             for x in value:
-                if isinstance(x, dict):
-                    kid.presence = kid.presence or _Column(kid.d + 1)
                 if isinstance(x, (dict, list)):
                     stack.append((kid, x))
-                elif leaves and x is not None:
+                elif x is not None:
                     kid.leaf = kid.leaf or _Column(kid.d + 1)
 
 
 def _collect(root: _Node) -> list[_Node]:
-    """All nodes, parents first; fills in the columns below each."""
+    """All nodes, parents first; fills in the columns below each and the one that tells of its objects."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
         stack += [*node.members.values(), *([node.element] if node.element else [])]
     for node in reversed(order):
-        node.below = [c for c in (node.presence, node.leaf) if c]
-        for kid in (*node.members.values(), *([node.element] if node.element else [])):
-            node.below += kid.below
+        inside = [c for kid in node.members.values() for c in kid.below]
+        if node.objects and len(node.steps) > 1:
+            node.levels = min(inside, key=lambda c: c.full) if inside else _Column(node.d + 1)
+            if not inside:
+                node.bare = node.levels
+        node.below = [*(c for c in (node.bare, node.leaf) if c), *inside, *(node.element.below if node.element else [])]
     return order
 
 
@@ -134,8 +151,8 @@ def _shred(root: _Node, records: list) -> None:
         while stack:
             node, value, r, depth = stack.pop()
             is_object, is_array = isinstance(value, dict), isinstance(value, list) and bool(value)
-            if node.presence:
-                node.presence.add(record, r, node.d + is_object)
+            if node.bare:
+                node.bare.add(record, r, node.d + is_object)
             if node.leaf:
                 plain = value is not None and not isinstance(value, (dict, list))
                 node.leaf.add(record, r, node.d + plain, value if plain else None)
@@ -153,7 +170,7 @@ def _shred(root: _Node, records: list) -> None:
                     stack.append((kid, value[name], r, depth))
                 elif depth:
                     for c in kid.below:
-                        c.add(record, r, node.d)
+                        c.add(record, r, node.d + is_object)
 
 
 def _positions(r: np.ndarray, levels: int) -> list[np.ndarray]:
@@ -185,10 +202,10 @@ def _text(x) -> str:
 
 def _member_leaves(node: _Node) -> Iterator[tuple[str, _Column]]:
     """The plain members of objects at ``node``, those of objects within them too."""
-    inner = list(node.members.items())
+    inner = [(escaped(name), kid) for name, kid in node.members.items()]
     while inner:
         name, kid = inner.pop()
-        inner += [(f"{name}.{n}", k) for n, k in kid.members.items()]
+        inner += [(f"{name}.{escaped(n)}", k) for n, k in kid.members.items()]
         if kid.leaf:
             yield name, kid.leaf
 
@@ -204,42 +221,43 @@ def _root_table(root: _Node, records: list) -> tuple[str, np.ndarray, list[str],
     return ROOT, np.asarray(there, dtype=int), [ROOT] * len(there), [None] * len(there), [members[i] for i in there]
 
 
-def tables(records: list, leaves: bool, whole: bool = False) -> Iterator[tuple[str, np.ndarray, list[str], list[str | None], list[dict] | None]]:
+def tables(records: list, whole: bool = False) -> Iterator[tuple[str, np.ndarray, list[str], list[str | None], list[dict] | None]]:
     """Of a batch of parsed records, per repeated ancestor: its name, the record
     of each object in it, the objects' paths, their parents' and their members.
 
-    ``whole`` adds the records themselves as table ``$``, and a row for each
-    plain value in an array, its only member being ``$value``.
+    ``whole`` adds members, the records themselves as table ``$``, and a row
+    for each plain value in an array, its only member being ``$value``. Dots
+    and brackets in names are then escaped, so each value has one place.
     """
     root = _Node(("",), 0)
-    _infer(root, records, leaves)
+    _infer(root, records, whole)
     nodes = _collect(root)
     _shred(root, records)
     if whole:
         yield _root_table(root, records)
     for node in nodes:
         name = "".join(f"{s}[]" for s in node.steps[:-1])
-        if whole and node.leaf and len(node.steps) > 1 and not node.steps[-1]:
+        levels = len(node.steps) - 1
+        if whole and node.leaf and levels and not node.steps[-1]:
             r, d = np.asarray(node.leaf.r), np.asarray(node.leaf.d)
             there = np.flatnonzero(d == node.leaf.full)
-            paths, parents = _paths(node.steps, [p[there] for p in _positions(r, len(node.steps) - 1)])
+            paths, parents = _paths(node.steps, [p[there] for p in _positions(r, levels)])
             yield name, np.asarray(node.leaf.record)[there], paths, parents, [{VALUE: _text(node.leaf.value[i])} for i in there.tolist()]
-        column = node.presence
-        if column is None or not column.r:
+        # Only elements of arrays make rows; an object in a member belongs to the object around it.
+        if node.levels is None or node.steps[-1]:
             continue
-        r, d = np.asarray(column.r), np.asarray(column.d)
-        levels = len(node.steps) - 1
-        there = np.flatnonzero(d == column.full)
-        where = [p[there] for p in _positions(r, levels)]
-        paths, parents = _paths(node.steps, where)
+        r, d = np.asarray(node.levels.r), np.asarray(node.levels.d)
+        slots = np.flatnonzero(r <= levels)
+        r, there = r[slots], np.flatnonzero(d[slots] > node.d)
+        paths, parents = _paths(node.steps, [p[there] for p in _positions(r, levels)])
         members = None
-        if leaves:
+        if whole:
             members = [{} for _ in there]
             for member, leaf in _member_leaves(node):
                 for out, i in zip(members, there.tolist(), strict=True):
                     if leaf.d[i] == leaf.full:
                         out[member] = _text(leaf.value[i])
-        yield name, np.asarray(column.record)[there], paths, parents, members
+        yield name, np.asarray(node.levels.record)[slots][there], paths, parents, members
 
 
 def parse_item(text: str | None):
@@ -265,7 +283,7 @@ def _flatten(records_of, leaves: bool):
             owners, records = records_of(batch)
             out: list[list] = [[], [], [], [], []]
             for first in range(0, len(records), CHUNK):
-                for name, record, paths, parents, members in tables(records[first : first + CHUNK], leaves, leaves):
+                for name, record, paths, parents, members in tables(records[first : first + CHUNK], leaves):
                     out[0] += [owners[first + i] for i in record.tolist()]
                     out[1] += [name] * len(paths)
                     out[2] += paths
@@ -297,11 +315,15 @@ def item_key() -> F.Column:
 def flatten_items(items: DataFrame, leaves: bool = False) -> DataFrame:
     """Objects in arrays of ``item_json``, once for rows repeated.
 
-    Text that does not parse, null and empty arrays give no rows.
+    Of rows with one key that with the smallest ordinal, if there is such a
+    column, then the smallest text is the item; rows that lack a part of the key count by their text. Text that does
+    not parse, null and empty arrays give no rows.
     """
-    rows = items.select(item_key().alias("owner_key"), "item_json").where("item_json is not null")
-    out = rows.mapInArrow(_flatten(_items, leaves), _ROWS if leaves else _LINKS)
-    return out.dropDuplicates(["owner_key", "child_path"])
+    parts = [F.col(c) for c in ("thread_id", "turn_id", "item_id")]
+    unkeyed = parts[0].isNull() | parts[1].isNull() | parts[2].isNull()
+    rows = items.select(item_key().alias("owner_key"), F.when(unkeyed, F.col("item_json")).alias("own"), F.struct(*(c for c in ("rollout_ordinal",) if c in items.columns), "item_json").alias("r")).where("r.item_json is not null")
+    rows = rows.groupBy("owner_key", "own").agg(F.min("r").alias("r")).select("owner_key", "r.item_json")
+    return rows.mapInArrow(_flatten(_items, leaves), _ROWS if leaves else _LINKS)
 
 
 def flatten_traces(traces: DataFrame, leaves: bool = False) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Cosine search of all rows, or of a stated query set, against all rows, block by block."""
+"""Cosine search of a stated query set against all rows, block by block.
+
+Queries are the rows whose id is divisible by 100. Both sides form blocks, and
+every query block meets every block of rows in one matrix product.
+"""
 
 from __future__ import annotations
 
@@ -9,121 +13,88 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 1024
-"""Vectors per block; a block of 64 floats each takes a quarter of a megabyte."""
-
-
 def _unit(rows: pa.Array) -> np.ndarray:
     m = np.array(rows.to_pylist(), dtype=np.float64)
     norm = np.linalg.norm(m, axis=1, keepdims=True)
     return m / np.where(norm == 0, 1, norm)
 
 
-def searched(vectors: DataFrame, id_col: str, vector_col: str, thresholds: tuple[float, ...]) -> DataFrame:
-    """(query, n per threshold, best): for rows whose id is divisible by 100, over all other rows.
-
-    Rows form blocks, query rows form blocks, and every pair of blocks is one
-    matrix product. Null vectors are left out.
-    """
-    rows = vectors.where(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"))
-    blocked = lambda df: df.withColumn("block", F.floor(F.col("id") / BLOCK)).groupBy("block").agg(F.collect_list("id").alias("ids"), F.collect_list("v").alias("vs"))
-    queries = blocked(rows.where("id % 100 = 0").withColumn("id", F.col("id") / 100)).select(F.transform("ids", lambda x: (x * 100).cast("bigint")).alias("q_ids"), F.col("vs").alias("q_vs"))
-    pairs = blocked(rows).select("ids", "vs").join(queries)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = {"query": [], "best": [], **{f"n{i}": [] for i in range(len(thresholds))}}
-            for k in range(batch.num_rows):
-                ids, q_ids = np.array(batch["ids"][k].as_py()), np.array(batch["q_ids"][k].as_py())
-                sims = _unit(batch["q_vs"][k].values) @ _unit(batch["vs"][k].values).T
-                sims[q_ids[:, None] == ids[None, :]] = -2
-                out["query"] += q_ids.tolist()
-                out["best"] += sims.max(1).tolist()
-                for i, t in enumerate(thresholds):
-                    out[f"n{i}"] += (sims >= t).sum(1).tolist()
-            yield pa.RecordBatch.from_pydict(out)
-
-    counted = pairs.mapInArrow(run, "query bigint, best double, " + ", ".join(f"n{i} bigint" for i in range(len(thresholds))))
-    sums = [F.sum(f"n{i}").alias(f"n{i}") for i in range(len(thresholds))]
-    named = {0.5: "n_half", 0.2: "n_fifth"}
-    total = counted.groupBy("query").agg(F.round(F.max("best"), 4).alias("best"), *sums)
-    return total.select("query", *(F.col(f"n{i}").alias(named.get(t, f"n_{t}")) for i, t in enumerate(thresholds)), "best")
-
-
-PAIR_BLOCK = 256
-"""Vectors per block where all pairs are asked for."""
+BLOCK = 1024
+"""Ids per block of rows; a block of 64 floats each takes a quarter of a megabyte."""
+QUERY_EVERY = 100
 HARDEST = 6
 
 
-def _all_pairs(vectors: DataFrame, cols: tuple[str, str, str], kernel: Callable[..., dict[str, np.ndarray]], schema: str) -> DataFrame:
-    """``kernel(q, i, q_label, i_label, sims, earlier)`` over every two blocks of rows.
+def _searched(vectors: DataFrame, cols: tuple[str, str, str], kernel: Callable[..., dict[str, np.ndarray]], schema: str) -> DataFrame:
+    """``kernel(q, i, q_label, i_label, sims, other)`` over every block of queries and every block of rows.
 
-    ``earlier`` marks the cells of ``sims`` whose row id is the smaller one, so
-    each pair is seen once. A null label is -1, as one that belongs nowhere.
+    ``other`` marks the cells of ``sims`` that are not a query with itself. A
+    null label is -1, as one that belongs nowhere; null vectors are left out.
     """
     id_col, vector_col, label_col = cols
     rows = vectors.where(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull()).select(
-        F.floor(F.col(id_col) / PAIR_BLOCK).alias("block"), F.struct(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(label_col).cast("bigint"), F.lit(-1)).alias("label"), F.col(vector_col).alias("v")).alias("r")
+        F.struct(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(label_col).cast("bigint"), F.lit(-1)).alias("label"), F.col(vector_col).alias("v")).alias("r")
+    )
+    blocks = lambda df, width, p: (
+        df.groupBy(F.floor(F.col("r.id") / width).alias("block")).agg(F.sort_array(F.collect_list("r")).alias("r")).select(*(F.col(f"r.{c}").alias(f"{p}_{c}") for c in ("id", "label", "v")))
     )
-    blocks = rows.groupBy("block").agg(F.sort_array(F.collect_list("r")).alias("r"))
-    side = lambda p: blocks.select(F.col("block").alias(f"{p}_block"), *(F.col(f"r.{c}").alias(f"{p}_{c}") for c in ("id", "label", "v")))
-    pairs = side("a").join(side("b"), F.col("a_block") <= F.col("b_block")).drop("a_block", "b_block")
+    pairs = blocks(rows.where(F.col("r.id") % QUERY_EVERY == 0), BLOCK * QUERY_EVERY, "a").join(blocks(rows, BLOCK, "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 q, i, q_label, i_label = (batch[c][k].values.to_numpy(zero_copy_only=False) for c in ("a_id", "b_id", "a_label", "b_label"))
                 sims = _unit(batch["a_v"][k].values) @ _unit(batch["b_v"][k].values).T
-                yield pa.RecordBatch.from_pydict(kernel(q, i, q_label, i_label, sims, q[:, None] < i[None, :]))
+                yield pa.RecordBatch.from_pydict(kernel(q, i, q_label, i_label, sims, q[:, None] != i[None, :]))
 
     return pairs.mapInArrow(run, schema)
 
 
 def similar_pairs(vectors: DataFrame, id_col: str, vector_col: str, label_col: str, least: float) -> DataFrame:
-    """(query, vec_id, similarity, same, adjacent): all pairs of at least ``least``, the smaller id first.
+    """(query, vec_id, similarity, same, adjacent): each query with each other row at ``least`` as similar.
 
     ``same`` says that both have one label (null when either has none),
     ``adjacent`` that no id lies between them.
     """
 
-    def kernel(q, i, q_label, i_label, sims, earlier):
-        a, b = np.nonzero(earlier & (sims >= least))
+    def kernel(q, i, q_label, i_label, sims, other):
+        a, b = np.nonzero(other & (sims >= least))
         known = (q_label[a] >= 0) & (i_label[b] >= 0)
-        return {"query": q[a], "vec_id": i[b], "similarity": sims[a, b], "same": pa.array(q_label[a] == i_label[b], mask=~known), "adjacent": i[b] == q[a] + 1}
+        return {"query": q[a], "vec_id": i[b], "similarity": sims[a, b], "same": pa.array(q_label[a] == i_label[b], mask=~known), "adjacent": np.abs(i[b] - q[a]) == 1}
 
-    return _all_pairs(vectors, (id_col, vector_col, label_col), kernel, "query bigint, vec_id bigint, similarity double, same boolean, adjacent boolean")
+    return _searched(vectors, (id_col, vector_col, label_col), kernel, "query bigint, vec_id bigint, similarity double, same boolean, adjacent boolean")
 
 
 def nearest(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """(query, vec_id, similarity): the nearest other row of every row, the smallest id among equals."""
+    """(query, vec_id, similarity): the nearest other row of each query, the smallest id among equals."""
 
-    def kernel(q, i, q_label, i_label, sims, earlier):
-        s = np.where(earlier, sims, -2)
-        query, found, best = np.concatenate([q, i]), np.concatenate([i[s.argmax(1)], q[s.argmax(0)]]), np.concatenate([s.max(1), s.max(0)])
-        return {"query": query[best > -2], "vec_id": found[best > -2], "similarity": best[best > -2]}
+    def kernel(q, i, q_label, i_label, sims, other):
+        s = np.where(other, sims, -2)
+        best = s.max(1)
+        return {"query": q[best > -2], "vec_id": i[s.argmax(1)][best > -2], "similarity": best[best > -2]}
 
-    each = _all_pairs(vectors, (id_col, vector_col, label_col), kernel, "query bigint, vec_id bigint, similarity double")
+    each = _searched(vectors, (id_col, vector_col, label_col), kernel, "query bigint, vec_id bigint, similarity double")
     best = each.groupBy("query").agg(F.max(F.struct("similarity", (-F.col("vec_id")).alias("n"))).alias("b"))
     return best.select("query", (-F.col("b.n")).alias("vec_id"), "b.similarity")
 
 
 def recall_by_threshold(vectors: DataFrame, id_col: str, vector_col: str, label_col: str, thresholds: tuple[float, ...]) -> DataFrame:
-    """(threshold, n_wanted, n_recalled, n_above, n_hit, n_crossed, recall, precision) over all labelled pairs.
+    """(threshold, n_wanted, n_recalled, n_above, n_hit, n_crossed, recall, precision) over all labelled pairs of a query and another row.
 
     Wanted are pairs of one label that are not adjacent; precision is the share
     of one label among all pairs above the threshold.
     """
 
-    def kernel(q, i, q_label, i_label, sims, earlier):
-        known = earlier & (q_label[:, None] >= 0) & (i_label[None, :] >= 0)
+    def kernel(q, i, q_label, i_label, sims, other):
+        known = other & (q_label[:, None] >= 0) & (i_label[None, :] >= 0)
         same = known & (q_label[:, None] == i_label[None, :])
-        wanted = same & (i[None, :] != q[:, None] + 1)
+        wanted = same & (np.abs(i[None, :] - q[:, None]) != 1)
         above = [sims >= t for t in thresholds]
         n = lambda m: [int((m & x).sum()) for x in above]
         return {"threshold": list(thresholds), "n_wanted": [int(wanted.sum())] * len(thresholds), "n_recalled": n(wanted), "n_above": n(known), "n_hit": n(same)}
 
     counts = ("n_wanted", "n_recalled", "n_above", "n_hit")
-    each = _all_pairs(vectors, (id_col, vector_col, label_col), kernel, "threshold double, " + ", ".join(f"{c} bigint" for c in counts))
+    each = _searched(vectors, (id_col, vector_col, label_col), kernel, "threshold double, " + ", ".join(f"{c} bigint" for c in counts))
     total = each.groupBy("threshold").agg(*(F.sum(c).alias(c) for c in counts))
     share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
     return total.withColumns({"n_crossed": F.col("n_above") - F.col("n_hit"), "recall": share("n_recalled", "n_wanted"), "precision": share("n_hit", "n_above")})
@@ -132,11 +103,11 @@ def recall_by_threshold(vectors: DataFrame, id_col: str, vector_col: str, label_
 def hardest_pairs(vectors: DataFrame, id_col: str, vector_col: str, label_col: str, n: int = HARDEST) -> DataFrame:
     """(kind, query, vec_id, similarity): the ``n`` nearest pairs across labels, and the ``n`` farthest wanted ones."""
 
-    def kernel(q, i, q_label, i_label, sims, earlier):
-        known = earlier & (q_label[:, None] >= 0) & (i_label[None, :] >= 0)
+    def kernel(q, i, q_label, i_label, sims, other):
+        known = other & (q_label[:, None] >= 0) & (i_label[None, :] >= 0)
         same = q_label[:, None] == i_label[None, :]
         out = {"kind": [], "query": [], "vec_id": [], "similarity": []}
-        for kind, mask, sign in (("crossed", known & ~same, -1), ("missed", known & same & (i[None, :] != q[:, None] + 1), 1)):
+        for kind, mask, sign in (("crossed", known & ~same, -1), ("missed", known & same & (np.abs(i[None, :] - q[:, None]) != 1), 1)):
             a, b = np.nonzero(mask)
             first = np.lexsort((i[b], q[a], sign * sims[a, b]))[:n]
             out["kind"] += [kind] * len(first)
@@ -145,6 +116,6 @@ def hardest_pairs(vectors: DataFrame, id_col: str, vector_col: str, label_col: s
             out["similarity"] += sims[a, b][first].tolist()
         return {"kind": pa.array(out["kind"], pa.string()), "query": pa.array(out["query"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "similarity": pa.array(out["similarity"], pa.float64())}
 
-    each = _all_pairs(vectors, (id_col, vector_col, label_col), kernel, "kind string, query bigint, vec_id bigint, similarity double")
+    each = _searched(vectors, (id_col, vector_col, label_col), kernel, "kind string, query bigint, vec_id bigint, similarity double")
     top = lambda kind, by: each.where(F.col("kind") == kind).orderBy(by, "query", "vec_id").limit(n)
     return top("crossed", F.col("similarity").desc()).unionByName(top("missed", F.col("similarity").asc()))

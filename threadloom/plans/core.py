@@ -102,7 +102,28 @@ def p5_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.descendants(table(spark, sf_dir, "chat_events"))
 
 
-@query("p3_found")
+_SQL_TREE = """
+    WITH RECURSIVE items AS (
+      SELECT DISTINCT concat_ws('/', coalesce(thread_id, ''), coalesce(turn_id, ''), coalesce(item_id, '')) AS owner_key, item_json FROM thread_items WHERE json_valid(item_json)
+    ), whole AS (
+      SELECT owner_key, CASE WHEN json_type(item_json) <> 'VARCHAR' THEN CAST(item_json AS JSON) WHEN json_valid(item_json ->> '$') THEN CAST(item_json ->> '$' AS JSON) END AS v FROM items
+    ), node AS (
+      SELECT 'thread_items' AS table_name, owner_key, '' AS path, '$' AS parent, v, CAST(NULL AS VARCHAR) AS child_path, CAST(NULL AS VARCHAR) AS parent_path FROM whole WHERE json_type(v) IN ('OBJECT', 'ARRAY')
+      UNION ALL
+      SELECT 'trajectory', trace_id, '', '$', to_json({'steps': steps, 'messages': messages}), NULL, NULL FROM trajectory
+      UNION ALL
+      SELECT table_name, owner_key, path, CASE WHEN here THEN path ELSE parent END, v, CASE WHEN here THEN path END, CASE WHEN here THEN parent END FROM (
+        SELECT n.table_name, n.owner_key, n.parent, json_type(n.v) = 'ARRAY' AND e.type = 'OBJECT' AS here,
+          CASE WHEN json_type(n.v) = 'ARRAY' THEN n.path || '[' || e.key || ']' WHEN n.path = '' THEN e.key ELSE n.path || '.' || e.key END AS path,
+          CASE WHEN e.type = 'VARCHAR' AND json_type(n.v) = 'OBJECT' AND e.key IN ('arguments', 'args', 'tool_inputs', 'tool_outputs', 'output_messages') AND left(e.value ->> '$', 1) IN ('[', '{') AND json_valid(e.value ->> '$')
+            THEN CAST(e.value ->> '$' AS JSON) ELSE CAST(e.value AS JSON) END AS v
+        FROM (SELECT * FROM node WHERE json_type(v) IN ('OBJECT', 'ARRAY')) n, json_each(n.v) e
+      ) k
+    )
+"""
+
+
+@query("p3_found", _SQL_TREE + "SELECT table_name, owner_key, child_path, parent_path FROM node WHERE child_path IS NOT NULL")
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shredding.nested_objects(table(spark, sf_dir, "thread_items"), table(spark, sf_dir, "trajectory"))
     return rows.select("table_name", "owner_key", "child_path", "parent_path")

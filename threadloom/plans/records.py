@@ -30,21 +30,10 @@ def text_normal_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "text_fingerprint",
-    r"""WITH f AS (SELECT doc_id, regexp_replace(lower(text), '[^\p{L}\p{N}]+', '', 'g') AS x FROM documents WHERE regexp_full_match(text, '[\x00-\x7F]*'))
-    SELECT doc_id, CASE WHEN length(x) >= 20 THEN substr(x, 1, 180) ELSE '' END AS fp FROM f""",
-)
-def text_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only of the texts in plain ASCII, as its SQL says; ``text_fingerprint_all`` is over all."""
-    docs = table(spark, sf_dir, "documents").where(F.col("text").rlike(r"^[\x00-\x7F]*$"))
-    return docs.select("doc_id", T.fingerprint(F.col("text")).alias("fp"))
-
-
-@query(
-    "text_fingerprint_all",
     r"""WITH f AS (SELECT doc_id, regexp_replace(lower(text), '[^\p{L}\p{N}]+', '', 'g') AS x FROM documents)
     SELECT doc_id, CASE WHEN length(x) >= 20 THEN substr(x, 1, 180) ELSE '' END AS fp FROM f""",
 )
-def text_fingerprint_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def text_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of every document, in any script; one without text has an empty form."""
     return table(spark, sf_dir, "documents").select("doc_id", T.fingerprint(F.col("text")).alias("fp"))
 
@@ -309,18 +298,8 @@ def title_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.containment(old, new)
 
 
-@query(
-    "embedding_nearest",
-    """WITH q AS (SELECT vec_id AS query, embedding AS e FROM embeddings WHERE vec_id % 100 = 0), s AS (SELECT query, vec_id, list_cosine_similarity(e::DOUBLE[], embedding::DOUBLE[]) AS sim FROM q, embeddings WHERE vec_id <> query)
-    SELECT query, count(*) FILTER (WHERE sim >= 0.5) AS n_half, count(*) FILTER (WHERE sim >= 0.2) AS n_fifth, round(max(sim), 4) AS best FROM s GROUP BY 1""",
-)
-def embedding_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts for the rows whose id is divisible by 100, as its SQL says; ``embedding_pairs`` and those after it take all rows."""
-    return similarity.searched(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", (0.5, 0.2))
-
-
 _PAIRS = """WITH s AS (SELECT a.vec_id AS query, b.vec_id AS vec_id, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim,
-      CASE WHEN a.label >= 0 AND b.label >= 0 THEN a.label = b.label END AS same, b.vec_id = a.vec_id + 1 AS adjacent FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id)"""
+      CASE WHEN a.label >= 0 AND b.label >= 0 THEN a.label = b.label END AS same, abs(b.vec_id - a.vec_id) = 1 AS adjacent FROM embeddings a JOIN embeddings b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)"""
 _VECTORS = ("vec_id", "embedding", "label")
 
 
@@ -331,10 +310,10 @@ def embedding_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "embedding_nearest_ids",
-    _PAIRS + ", e AS (SELECT query, vec_id, sim FROM s UNION ALL SELECT vec_id, query, sim FROM s) SELECT query, arg_max(vec_id, (sim, -vec_id)) AS vec_id, round(max(sim), 4) AS similarity FROM e GROUP BY 1",
+    "embedding_nearest",
+    _PAIRS + " SELECT query, arg_max(vec_id, (sim, -vec_id)) AS vec_id, round(max(sim), 4) AS similarity FROM s GROUP BY 1",
 )
-def embedding_nearest_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+def embedding_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.nearest(table(spark, sf_dir, "embeddings"), *_VECTORS).withColumn("similarity", F.round("similarity", 4))
 
 

@@ -383,40 +383,10 @@ def asof_forward_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "context_window_range",
-    _W + _POS + f""", a AS (SELECT thread, pos AS spot, id AS anchor FROM n WHERE {SQL_USER} AND kind IS NULL AND row_id % 7 = 0)
-      SELECT anchor, n.id, n.pos - spot AS off FROM a JOIN n ON a.thread = n.thread AND n.pos BETWEEN spot - 3 AND spot + 2""",
-)
-def context_window_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three rows before to two after a seventh of the user messages, as its SQL says; ``context_window_all`` takes all."""
-    from threadloom.operators import context
-
-    rows = ordered.numbered(threaded(spark, sf_dir), ["thread"], ORDER)
-    anchors = rows.where(T.is_user(F.col("role")) & F.col("kind").isNull() & (F.col("row_id") % 7 == 0)).select("thread", F.col("pos").alias("at"), F.col("id").alias("anchor"))
-    return context.window_around(rows, anchors, ["thread"], 3, 2).select("anchor", "id", "off")
-
-
-@query(
-    "context_before",
-    _W + _POS + f""", a AS (SELECT thread, pos AS spot, id AS anchor FROM n WHERE {SQL_USER} AND row_id % 7 = 0)
-      SELECT anchor, count(n.id) AS n_context, min(n.pos) AS first_pos FROM a LEFT JOIN n ON a.thread = n.thread AND n.pos < spot AND n.pos >= spot - 80 GROUP BY 1""",
-)
-def context_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last 80 rows of the lane strictly before a seventh of the user messages, as its SQL says; ``context_before_all`` takes all."""
-    from threadloom.operators import context
-
-    rows = ordered.numbered(threaded(spark, sf_dir), ["thread"], ORDER)
-    anchors = rows.where(T.is_user(F.col("role")) & (F.col("row_id") % 7 == 0)).select("thread", F.col("pos").alias("at"), F.col("id").alias("anchor"))
-    found = context.window_around(rows, anchors, ["thread"], 80, -1)
-    kept = anchors.select("anchor").join(found.groupBy("anchor").agg(F.count("*").alias("c"), F.min("pos").alias("first_pos")), "anchor", "left")
-    return kept.select("anchor", F.coalesce("c", F.lit(0)).alias("n_context"), "first_pos")
-
-
-@query(
-    "context_window_all",
     _W + _POS + f""", a AS (SELECT thread, pos AS spot, id AS anchor FROM n WHERE {SQL_USER})
       SELECT anchor, n.id, n.pos - spot AS off FROM a JOIN n ON a.thread = n.thread AND n.pos BETWEEN spot - 3 AND spot + 2""",
 )
-def context_window_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def context_window_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three rows before to two after every user message."""
     from threadloom.operators import context
 
@@ -426,12 +396,12 @@ def context_window_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "context_before_all",
+    "context_before",
     _W + _POS + f""", a AS (SELECT thread, pos AS spot, id AS anchor FROM n WHERE {SQL_USER}),
       w AS (SELECT id, count(*) OVER k AS c, min(pos) OVER k AS first_pos FROM n WHERE thread IS NOT NULL WINDOW k AS (PARTITION BY thread ORDER BY pos ROWS BETWEEN 80 PRECEDING AND 1 PRECEDING))
       SELECT anchor, coalesce(c, 0) AS n_context, first_pos FROM a LEFT JOIN w ON w.id = anchor""",
 )
-def context_before_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def context_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 80 rows of the lane strictly before every user message."""
     from threadloom.operators import context
 
