@@ -53,7 +53,44 @@ def test_largest_value_on_the_way(spark):
         assert {r.id: r.most for r in forest.resolve(nodes, block_rows=block).collect()} == {"a": 5, "b": 5, "c": 9, "d": 9}
 
 
-def test_descendants(spark):
-    rows = [event(1, msg_id="a"), event(2, msg_id="b", parent_id="a"), event(3, msg_id="c", parent_id="b")]
-    got = sorted(tuple(r) for r in forest.descendants(spark.createDataFrame(rows, EVENTS)).collect())
-    assert got == [("a", "b", 1), ("a", "c", 2), ("b", "c", 1)]
+def walked(parent):
+    """(path, first, last) by recursion over children in order of their names."""
+    kids, out = {}, {}
+    for n, p in parent.items():
+        kids.setdefault(p if p in parent else None, []).append(n)
+
+    def visit(n, path, number):
+        first = number
+        for k in sorted(kids.get(n, [])):
+            number = visit(k, [*path, k], number + 1)
+        out[n] = (path, first, number)
+        return number
+
+    for root in kids.get(None, []):
+        visit(root, [root], 1)
+    return out
+
+
+@pytest.mark.parametrize("tree_rows", [5, 1000])
+def test_paths_and_descendants(spark, tree_rows):
+    rng = random.Random(3)
+    parent = {"a": None, "x": "y", "y": "x", "z": "x", "o": "gone"} | {f"n{i}": rng.choice(["a", "o", None, *(f"n{k}" for k in range(i))]) for i in range(60)}
+    parent |= {f"c{i}": f"c{i - 1}" if i else None for i in range(50)}
+    df = spark.createDataFrame([event(i if i % 5 else None, msg_id=k, parent_id=p) for i, (k, p) in enumerate(parent.items())], EVENTS)
+    want = walked(parent)
+    paths = {r.msg_id: r.path for r in forest.paths(df, 16, tree_rows).collect()}
+    assert paths == {n: want[n][0] if n in want else None for n in parent}
+    numbers = {r.msg_id: (r.first, r.last) for r in forest.descendants(df, 16, tree_rows).collect()}
+    assert numbers == {n: want[n][1:] if n in want else (None, None) for n in parent}
+    assert forest.descendants(df.limit(0)).count() == forest.paths(df.limit(0)).count() == 0
+
+
+def test_long_paths_come_in_slices(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(forest, "SLICE_ENTRIES", 1000)
+    n = 400
+    chain = pa.RecordBatch.from_pydict({"id": [f"c{i}" for i in range(n)], "root": ["c0"] * n, "depth": list(range(n)), "up": [None] + [f"c{i}" for i in range(n - 1)]})
+    found = list(forest._walk_up(iter([chain])))
+    assert max(sum(map(len, b["path"].to_pylist())) for b in found) <= 1000 and len(found) > 50
+    assert [p for b in found for p in b["path"].to_pylist()] == [[f"c{k}" for k in range(i + 1)] for i in range(n)]

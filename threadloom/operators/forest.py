@@ -11,6 +11,8 @@ an unfinished path every distance to its end occurs, so some node always ends.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -18,10 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions.ids import identifier, parent_identifier
-from threadloom.session import materialise
+from threadloom.operators import ordered
+from threadloom.session import broadcast_if_small, materialise
 
 BLOCK_ROWS = 16384
 """Most rows that one task contracts at once."""
+TREE_ROWS = 32768
+"""Nodes of a tree that one task indexes; larger trees are walked by the contraction itself."""
+SLICE_ENTRIES = 1 << 20
+"""Entries of paths that a task holds at once."""
 ROOT, ORPHAN, CYCLE = "root", "orphan", "cycle"
 LOWEST = -(1 << 62)
 """Carried value of a node that has none; below all others."""
@@ -31,7 +38,8 @@ def messages(events: DataFrame, id_col: str = "msg_id", parent_col: str = "paren
     """(id, parent, pos, extra...): per identifier its row with the smallest order.
 
     Rows without identifier take no part. Ties of order go to the smallest
-    remaining values.
+    remaining values. Rows without order come first; as they have no place in
+    the delivery, they are spread over blocks of their own by their identifier.
     """
     names = list(extra)
     rows = events.select(
@@ -39,7 +47,7 @@ def messages(events: DataFrame, id_col: str = "msg_id", parent_col: str = "paren
         F.struct(F.col(order_col).alias("pos"), parent_identifier(F.col(parent_col)).alias("parent"), *(c.alias(n) for n, c in extra.items())).alias("r"),
     ).where("id is not null")
     first = rows.groupBy("id").agg(F.min("r").alias("r"))
-    return first.select("id", "r.parent", F.coalesce("r.pos", F.lit(0)).cast("bigint").alias("pos"), *(f"r.{n}" for n in names))
+    return first.select("id", "r.parent", F.coalesce(F.col("r.pos").cast("bigint"), -1 - F.pmod(F.xxhash64("id"), F.lit(1 << 40))).alias("pos"), *(f"r.{n}" for n in names))
 
 
 def _contract(ids: np.ndarray, targets: np.ndarray, kinds: np.ndarray, hops: np.ndarray, best: np.ndarray, paths: list | None) -> tuple:
@@ -229,13 +237,113 @@ def hierarchy(events: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return out.select(F.col("id").alias("msg_id"), F.coalesce("root", F.lit(CYCLE)).alias("root_id"), "depth")
 
 
-def paths(events: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(msg_id, root_id, depth, path): the identifiers from the root to the message."""
-    out = resolve(messages(events), with_path=True, block_rows=block_rows)
+def _tree(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(parent position or -1, depth) of the nodes of whole trees, by an index on identifiers."""
+    ids = pd.Index(table["id"].to_numpy(zero_copy_only=False))
+    depth = table["depth"].to_numpy(zero_copy_only=False)
+    above = ids.get_indexer(table["up"].to_numpy(zero_copy_only=False))
+    return np.where(depth > 0, above, -1), depth
+
+
+def _walk_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds ``path``: each node's parents, followed through the index, some nodes at a time."""
+    held = list(batches)
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
+    parent, depth = _tree(table)
+    ids = table["id"].combine_chunks()
+    order = np.argsort(depth, kind="stable")
+    ends = np.cumsum(depth[order] + 1)
+    first = 0
+    while first < len(order):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + SLICE_ENTRIES, side="right")))
+        nodes = order[first:last]
+        offsets = np.concatenate([[0], np.cumsum(depth[nodes] + 1)])
+        entries = np.empty(offsets[-1], np.int64)
+        at, place = nodes, offsets[1:] - 1
+        while len(at):
+            entries[place] = at
+            at, place = parent[at], place - 1
+            more = at >= 0
+            at, place = at[more], place[more]
+        paths_ = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids.take(pa.array(entries)))
+        some = table.take(pa.array(nodes))
+        yield pa.RecordBatch.from_arrays([some["id"].combine_chunks(), some["root"].combine_chunks(), some["depth"].combine_chunks(), paths_], ["id", "root", "depth", "path"])
+        first = last
+
+
+def _number_down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds ``first``, a node's number in its tree with parents before children, and ``last``, that of its last descendant."""
+    held = list(batches)
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
+    parent, depth = _tree(table)
+    n = len(parent)
+    order = np.argsort(depth, kind="stable")
+    levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1)
+    size = np.ones(n, np.int64)
+    for nodes in reversed(levels[1:]):
+        np.add.at(size, parent[nodes], size[nodes])
+    name = np.argsort(np.argsort(table["id"].to_numpy(zero_copy_only=False), kind="stable"), kind="stable")
+    siblings = np.lexsort((name, parent))
+    before = np.cumsum(size[siblings]) - size[siblings]
+    new = np.append(True, np.diff(parent[siblings]) != 0)
+    offset = np.empty(n, np.int64)
+    offset[siblings] = before - before[np.maximum.accumulate(np.where(new, np.arange(n), 0))]
+    first = np.ones(n, np.int64)
+    for nodes in levels[1:]:
+        first[nodes] = first[parent[nodes]] + 1 + offset[nodes]
+    columns = [table["id"].combine_chunks(), table["root"].combine_chunks(), pa.array(first), pa.array(first + size - 1)]
+    yield pa.RecordBatch.from_arrays(columns, ["id", "root", "first", "last"])
+
+
+def _by_size(events: DataFrame, block_rows: int, tree_rows: int) -> tuple[DataFrame, DataFrame, DataFrame | None, int]:
+    """(resolved nodes without cycles, those on cycles, paths of trees too large to index or None, tasks for the others)."""
+    nodes = messages(events).withColumns({"up": F.col("parent"), "place": F.col("pos")})
+    rows = materialise(resolve(nodes, block_rows=block_rows, keep=("up", "place")), "resolved")
+    sound = rows.where("root is not null")
+    sizes = materialise(sound.groupBy("root").agg(F.count("*").alias("n")), "trees")
+    total = sizes.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > tree_rows).alias("large")).first()
+    tasks = max(1, -(-2 * (total["n"] or 0) // tree_rows))
+    if not total["large"]:
+        return sound, rows.where("root is null"), None, tasks
+    large = broadcast_if_small(sizes.where(F.col("n") > tree_rows).select("root"), total["large"] * 128)
+    wide = resolve(sound.join(large, "root", "left_semi").select("id", F.col("up").alias("parent"), F.col("place").alias("pos")), with_path=True, block_rows=block_rows)
+    return sound.join(large, "root", "left_anti"), rows.where("root is null"), wide.select("id", "root", "depth", "path"), tasks
+
+
+def paths(events: DataFrame, block_rows: int = BLOCK_ROWS, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """(msg_id, root_id, depth, path): the identifiers from the root to the message.
+
+    Trees go whole to tasks, which follow parents through an index and hold
+    the paths of some nodes at a time. Trees of more than ``tree_rows`` nodes
+    get theirs from the contraction. On or below a cycle the path is null.
+    """
+    sound, cyclic, wide, tasks = _by_size(events, block_rows, tree_rows)
+    out = sound.select("id", "root", "depth", "up").repartition(tasks, "root").mapInArrow(_walk_up, "id string, root string, depth bigint, path array<string>")
+    if wide is not None:
+        out = out.unionByName(wide)
+    out = out.unionByName(cyclic.select("id", "root", "depth", F.lit(None).cast("array<string>").alias("path")))
     return out.select(F.col("id").alias("msg_id"), F.coalesce("root", F.lit(CYCLE)).alias("root_id"), "depth", "path")
 
 
-def descendants(events: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(msg_id, descendant_id, distance): each message under each of its ancestors."""
-    rows = paths(events, block_rows).where("path is not null").select("msg_id", "depth", F.posexplode("path").alias("at", "ancestor"))
-    return rows.where("at < depth").select(F.col("ancestor").alias("msg_id"), F.col("msg_id").alias("descendant_id"), (F.col("depth") - F.col("at")).alias("distance"))
+def descendants(events: DataFrame, block_rows: int = BLOCK_ROWS, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """(msg_id, root_id, first, last): the descendants of a message are those of its root with ``first`` in (first, last].
+
+    One row per message names them all, where the pairs of a chain grow with
+    the square of its length. Messages are numbered within their tree from 1,
+    parents before children, siblings by identifier. Both numbers are null on
+    or below a cycle.
+    """
+    sound, cyclic, wide, tasks = _by_size(events, block_rows, tree_rows)
+    out = sound.select("id", "root", "depth", "up").repartition(tasks, "root").mapInArrow(_number_down, "id string, root string, first bigint, last bigint")
+    if wide is not None:
+        wide = materialise(wide, "large-paths")
+        sizes = wide.select("root", F.explode("path").alias("id")).groupBy("root", "id").agg(F.count("*").alias("n"))
+        placed = ordered.numbered(wide.select("id", "root", "path"), ["root"], ["path"], "first").drop("path")
+        out = out.unionByName(placed.join(sizes, ["root", "id"]).select("id", "root", "first", (F.col("first") + F.col("n") - 1).alias("last")))
+    none = F.lit(None).cast("bigint")
+    out = out.unionByName(cyclic.select("id", "root", none.alias("first"), none.alias("last")))
+    return out.select(F.col("id").alias("msg_id"), F.coalesce("root", F.lit(CYCLE)).alias("root_id"), "first", "last")

@@ -92,12 +92,23 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.hierarchy(table(spark, sf_dir, "chat_events"))
 
 
-@query("p5_paths")
+_SQL_PATHS = _SQL_FOREST.replace("id AS root_id, 0 AS depth", "id AS root_id, 0 AS depth, [id] AS path").replace("up.depth + 1", "up.depth + 1, list_append(up.path, m.id)")
+
+
+@query(
+    "p5_paths",
+    _SQL_PATHS + " SELECT m.id AS msg_id, coalesce(up.root_id, 'cycle') AS root_id, coalesce(up.depth, -1) AS depth, array_to_string(path, '/') AS path FROM m LEFT JOIN up ON m.id = up.id",
+)
 def p5_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.paths(table(spark, sf_dir, "chat_events")).withColumn("path", F.array_join("path", "/"))
 
 
-@query("p5_descendants")
+@query(
+    "p5_descendants",
+    _SQL_PATHS
+    + """, c AS (SELECT id, count(*) AS n FROM (SELECT unnest(path) AS id FROM up) x GROUP BY 1), f AS (SELECT id, root_id, row_number() OVER (PARTITION BY root_id ORDER BY path) AS first FROM up)
+    SELECT m.id AS msg_id, coalesce(f.root_id, 'cycle') AS root_id, f.first, f.first + c.n - 1 AS last FROM m LEFT JOIN f ON f.id = m.id LEFT JOIN c ON c.id = m.id""",
+)
 def p5_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.descendants(table(spark, sf_dir, "chat_events"))
 
