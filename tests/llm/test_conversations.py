@@ -24,6 +24,7 @@ def test_kept_and_dropped(spark):
     want = [("a", 1, "a"), ("a", 2, "c"), ("a", 3, "b")]
     assert convo(spark, rows) == want
     assert convo(spark, rows, bucket_rows=2, block_rows=2) == want
+    assert convo(spark, rows, bucket_rows=1) == want
     assert convo(spark, []) == []
 
 
@@ -52,3 +53,24 @@ def test_kahn_equals_sorting_by_path():
         up = key.get(p, (0, -1))
         key[ids[i]] = (max(up[0], times[i]), up[1] + 1)
     assert [ids[i] for i in C.kahn(ids, parents, times)] == sorted(ids, key=lambda x: (*key[x], x))
+
+
+def test_kahn_takes_up_where_earlier_ranges_ended():
+    order = C.kahn(["c", "d", "e", "o"], ["a", "c", "gone", "lost"], [5, 1, 0, 0], [(9, 3), None, (2, 1), None])
+    assert order == [2, 0, 1]
+
+
+def test_speakers_take_turns(spark):
+    rows = [("r", 1, "r", C.USER), ("r", 2, "a", C.BOT), ("r", 3, "b", C.OTHER), ("r", 4, "c", C.USER), ("s", 1, "s", C.USER), ("s", 2, "t", C.USER), ("s", 3, "u", C.BOT)]
+    got = sorted(tuple(r) for r in C.alternation(spark.createDataFrame(rows, C._PLACED)).collect())
+    assert got == [("r", 4, 3, 0, True), ("s", 3, 2, 1, False)]
+    assert C.alternation(spark.createDataFrame([], C._PLACED)).count() == 0
+
+
+def test_large_conversations_by_ranges_equal_small_ones(spark):
+    rng = random.Random(5)
+    rows = [event(i, msg_id=f"m{i:03d}", parent_id=None if i < 2 else f"m{rng.randrange(i):03d}", role="bot" if i % 3 else "user", ts=T0 + rng.randrange(20), text="x") for i in range(150)]
+    rows += [event(200 + i, msg_id=f"o{i}", parent_id=f"o{i - 1}" if i else "lost", role="bot" if i % 2 else "user", ts=T0, text="x") for i in range(30)]
+    small = convo(spark, rows)
+    assert small == convo(spark, rows, bucket_rows=10, block_rows=16)
+    assert {r for r, _, _ in small} <= {"m000", "m001"} and small

@@ -1,26 +1,30 @@
 """Ordered conversations from message rows.
 
-Roots come from the reply forest of the core. Each conversation is then sorted
-topologically by Kahn's algorithm, with the times of the messages breaking
-ties, and checked for roles and completeness. Conversations go to tasks in
-buckets of bounded size; one that is larger than a bucket is ordered by a range
-sort over all its messages, which needs no task to hold it.
+The reply forest of the core only says which messages belong together. Kahn's
+algorithm then sorts each group topologically, the times of the messages
+breaking ties, and finds what is broken: a message that is left over hangs on
+a message that never came, or on a cycle. Speakers and completeness are checked
+on the order it gives. Groups go to tasks in buckets of bounded size. A larger
+one is cut into ranges of the order that Kahn's algorithm would give, which
+only ever goes up along a path; every range is sorted by the same algorithm,
+the messages that earlier ranges took being free already.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.ids import stripped
-from threadloom.operators import forest, instants
-from threadloom.session import materialise
+from threadloom.operators import forest, instants, ordered
+from threadloom.session import broadcast_if_small, materialise
 
 BUCKET_ROWS = 32768
-"""Messages that one task sorts at once; larger conversations take the range sort."""
+"""Messages that one task sorts at once."""
 OTHER, USER, BOT = 0, 1, 2
 # How the speakers are written.
 USERS, BOTS = ("user", "human"), ("bot", "assistant", "agent")
@@ -58,23 +62,27 @@ def timed_messages(events: DataFrame, groups: DataFrame) -> DataFrame:
     return timed.unionByName(written.select(*columns, F.col("instant_us").alias("value")))
 
 
-def kahn(ids: list[str], parents: list[str | None], times: list[int]) -> list[int]:
+def kahn(ids: list[str], parents: list[str | None], times: list[int], taken: list[tuple[int, int] | None] | None = None) -> list[int]:
     """Positions of the messages in topological order.
 
-    A message becomes free when its parent was taken. Of the free ones that
-    with the earliest latest time on its path goes first, then the one with the
-    fewest steps, then the smallest identifier. Messages never freed lie on or
-    below a cycle and are left out.
+    A message becomes free when its parent was taken; one without parent is
+    free at once, and so is one whose parent was ``taken`` elsewhere, with the
+    latest time on its path and its steps from the root given there. Of the
+    free ones that with the earliest latest time on its path goes first, then
+    the one with the fewest steps, then the smallest identifier. Messages never
+    freed are left out: their parent never came, or they lie on or below a
+    cycle.
     """
     at = {x: i for i, x in enumerate(ids)}
     replies: dict[int, list[int]] = {}
     free = []
     for i, p in enumerate(parents):
-        above = at.get(p) if p is not None else None
-        if above is None:
+        if p is None:
             free.append((times[i], 0, ids[i], i))
-        else:
-            replies.setdefault(above, []).append(i)
+        elif p in at:
+            replies.setdefault(at[p], []).append(i)
+        elif taken is not None and taken[i] is not None:
+            free.append((*taken[i], ids[i], i))
     heapq.heapify(free)
     out = []
     while free:
@@ -97,43 +105,87 @@ def complete(order: list[int], who: list[int], said: list[bool]) -> bool:
     return asked and answered
 
 
+_PLACED = "root_id string, pos bigint, msg_id string, who int"
+
+
+def _by_root(roots: list[str]) -> dict[str, list[int]]:
+    out: dict[str, list[int]] = {}
+    for i, root in enumerate(roots):
+        out.setdefault(root, []).append(i)
+    return out
+
+
 def _sort_bucket(bucket: pa.Table) -> pa.Table:
     columns = {c: bucket[c].to_pylist() for c in ("root", "id", "up", "value", "who", "said")}
-    by_root: dict[str, list[int]] = {}
-    for i, root in enumerate(columns["root"]):
-        by_root.setdefault(root, []).append(i)
-    roots, positions, ids = [], [], []
-    for root, rows in by_root.items():
+    out: list[list] = [[], [], [], []]
+    for root, rows in _by_root(columns["root"]).items():
         own = {c: [v[i] for i in rows] for c, v in columns.items() if c != "root"}
         order = kahn(own["id"], own["up"], own["value"])
         if len(order) != len(rows) or not complete(order, own["who"], own["said"]):
             continue
-        roots += [root] * len(order)
-        positions += range(1, len(order) + 1)
-        ids += [own["id"][i] for i in order]
-    return pa.table({"root_id": pa.array(roots, pa.string()), "pos": pa.array(positions, pa.int64()), "msg_id": pa.array(ids, pa.string())})
-
-
-def _range_sorted(rows: DataFrame) -> DataFrame:
-    """The same order for conversations of any size, by a range sort.
+        out[0] += [root] * len(order)
+        out[1] += range(1, len(order) + 1)
+        out[2] += [own["id"][i] for i in order]
+        out[3] += [own["who"][i] for i in order]
+    return pa.table({"root_id": pa.array(out[0], pa.string()), "pos": pa.array(out[1], pa.int64()), "msg_id": pa.array(out[2], pa.string()), "who": pa.array(out[3], pa.int32())})
+
+
+def _sort_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds ``rank`` within the range, 0 for messages left over."""
+    held = list(batches)
+    if not held:
+        return
+    rows = pa.Table.from_batches(held)
+    columns = {c: rows[c].to_pylist() for c in ("root", "id", "up", "value", "most", "depth")}
+    ranks = [0] * rows.num_rows
+    for mine in _by_root(columns["root"]).values():
+        # Below a root the parent lies in an earlier range unless it is here.
+        taken = [(columns["most"][i], columns["depth"][i]) if columns["depth"][i] else None for i in mine]
+        order = kahn([columns["id"][i] for i in mine], [columns["up"][i] for i in mine], [columns["value"][i] for i in mine], taken)
+        for rank, i in enumerate(order, 1):
+            ranks[mine[i]] = rank
+    yield from rows.select(["root", "part", "id", "who", "said"]).append_column("rank", pa.array(ranks, pa.int64())).to_batches()
+
+
+def _by_ranges(rows: DataFrame, n_rows: int, bucket_rows: int) -> DataFrame:
+    """Conversations of any size, by Kahn's algorithm over ranges of their order.
 
     A message's position is its rank in its own range plus the messages of the
-    same conversation in earlier ranges.
+    same conversation in earlier ranges. A conversation of which any message is
+    left over is broken.
     """
-    key = ["root", "most", "depth", "id"]
-    ranged = rows.repartitionByRange(*key).withColumn("part", F.spark_partition_id())
-    ranged = materialise(ranged, "ranges")
-    per = ranged.groupBy("root", "part").agg(F.count("*").alias("n"))
+    ranged = rows.repartitionByRange(max(1, -(-n_rows // bucket_rows)), "root", "most", "depth", "id").withColumn("part", F.spark_partition_id())
+    ranked = ranged.select("root", "part", "id", "up", "value", "most", "depth", "who", "said").mapInArrow(_sort_range, "root string, part int, id string, who int, said boolean, rank bigint")
+    ranked = materialise(ranked, "ranges")
+    per = ranked.groupBy("root", "part").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("root").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = per.select("root", "part", before.alias("before"))
-    rank = F.row_number().over(Window.partitionBy("root", "part").orderBy("most", "depth", "id"))
-    placed = ranged.withColumn("rank", rank).join(offsets, ["root", "part"]).withColumn("pos", (F.col("rank") + F.col("before")).cast("bigint"))
+    placed = ranked.join(per.select("root", "part", before.alias("before")), ["root", "part"]).withColumn("pos", F.col("rank") + F.col("before"))
     user, bot = F.col("who") == USER, (F.col("who") == BOT) & F.col("said")
     ends = placed.groupBy("root").agg(
-        F.max(F.when(user, F.col("pos"))).alias("last_user"), F.max(F.when(bot, F.col("pos"))).alias("last_bot"), F.max(user & F.col("said")).alias("asked")
+        F.max(F.when(user, F.col("pos"))).alias("last_user"), F.max(F.when(bot, F.col("pos"))).alias("last_bot"), F.max(user & F.col("said")).alias("asked"), F.min("rank").alias("least")
     )
-    kept = ends.where("asked and last_bot > last_user").select("root")
-    return placed.join(kept, "root").select(F.col("root").alias("root_id"), "pos", F.col("id").alias("msg_id"))
+    kept = ends.where("asked and last_bot > last_user and least > 0").select("root")
+    return placed.join(kept, "root").select(F.col("root").alias("root_id"), "pos", F.col("id").alias("msg_id"), "who")
+
+
+def spoken(events: DataFrame, groups: DataFrame, bucket_rows: int = BUCKET_ROWS, block_rows: int = forest.BLOCK_ROWS) -> DataFrame:
+    """(root_id, pos, msg_id, who) of each message of each kept conversation; ``who`` is 1 for a user, 2 for a bot, else 0."""
+    nodes = timed_messages(events, groups).withColumn("up", F.col("parent")).withColumn("value", F.coalesce("value", F.lit(forest.LOWEST))).withColumn("own", F.col("value"))
+    rows = forest.resolve(nodes, block_rows=block_rows, keep=("up", "own", "who", "said"))
+    # A message on or below a cycle has no root and is left over wherever it goes.
+    rows = materialise(rows.select("id", F.coalesce("root", "id").alias("root"), "depth", "most", "up", F.col("own").alias("value"), "who", "said"), "grouped")
+    large = materialise(rows.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows), "large")
+    found = large.agg(F.count("*").alias("roots"), F.sum("n").alias("n")).first()
+    some = rows
+    if found["roots"]:
+        named = broadcast_if_small(large.select("root"), found["roots"] * 128)
+        some = rows.join(named, "root", "left_anti")
+    buckets = max(1, -(-2 * rows.count() // bucket_rows))
+    some = some.select(F.pmod(F.xxhash64("root"), F.lit(buckets)).alias("bucket"), "root", "id", "up", "value", "who", "said")
+    out = some.groupBy("bucket").applyInArrow(_sort_bucket, _PLACED)
+    if found["roots"]:
+        out = out.unionByName(_by_ranges(rows.join(named, "root", "left_semi"), found["n"], bucket_rows))
+    return out
 
 
 def conversations(events: DataFrame, groups: DataFrame, bucket_rows: int = BUCKET_ROWS, block_rows: int = forest.BLOCK_ROWS) -> DataFrame:
@@ -143,19 +195,19 @@ def conversations(events: DataFrame, groups: DataFrame, bucket_rows: int = BUCKE
     counts, messages under a missing message or a cycle belong to none. A
     message without any time counts as earliest. Empty tables give no rows.
     """
-    nodes = timed_messages(events, groups).withColumn("up", F.col("parent")).withColumn("value", F.coalesce("value", F.lit(forest.LOWEST))).withColumn("own", F.col("value"))
-    rows = forest.resolve(nodes, block_rows=block_rows, keep=("up", "own", "who", "said"))
-    rows = rows.where(F.col("kind") == forest.ROOT).select("id", "root", "depth", "most", "up", F.col("own").alias("value"), "who", "said")
-    rows = materialise(rows, "rooted")
-    # Only conversations in which both sides speak can be complete.
-    sizes = rows.groupBy("root").agg(F.count("*").alias("n"), F.max((F.col("who") == USER) & F.col("said")).alias("asked"), F.max((F.col("who") == BOT) & F.col("said")).alias("answered"))
-    sizes = materialise(sizes.where("asked and answered").select("root", "n"), "sizes")
-    small = F.col("n") <= bucket_rows
-    totals = sizes.agg(F.sum(F.when(small, F.col("n"))).alias("n"), F.max("n").alias("most")).first()
-    buckets = max(1, -(-2 * (totals["n"] or 0) // bucket_rows))
-    joined = rows.join(sizes, "root")
-    some = joined.where(small).withColumn("bucket", F.pmod(F.xxhash64("root"), F.lit(buckets)))
-    out = some.select("bucket", "root", "id", "up", "value", "who", "said").groupBy("bucket").applyInArrow(_sort_bucket, "root_id string, pos bigint, msg_id string")
-    if (totals["most"] or 0) > bucket_rows:
-        out = out.unionByName(_range_sorted(joined.where(~small).drop("n")))
-    return out
+    return spoken(events, groups, bucket_rows, block_rows).drop("who")
+
+
+def alternation(placed: DataFrame) -> DataFrame:
+    """(root_id, n_messages, n_turns, n_repeated, alternates) of conversations from ``spoken``.
+
+    A turn is a run of messages of one side; a repeated message follows one of
+    its own side. Messages of neither side are counted but take no turn. A
+    conversation alternates when user and bot messages strictly take turns. An
+    empty table gives no rows.
+    """
+    sides = ordered.running(placed.where(F.col("who") != OTHER), ["root_id"], ["pos"], {"before": (ordered.LAG, F.col("who"))})
+    repeated = sides.groupBy("root_id").agg(F.count("*").alias("n"), F.count_if(F.col("before") == F.col("who")).alias("n_repeated"))
+    total = placed.groupBy("root_id").agg(F.count("*").alias("n_messages"))
+    out = total.join(repeated, "root_id", "left")
+    return out.select("root_id", "n_messages", F.coalesce(F.col("n") - F.col("n_repeated"), F.lit(0)).alias("n_turns"), F.coalesce("n_repeated", F.lit(0)).alias("n_repeated"), (F.coalesce("n_repeated", F.lit(0)) == 0).alias("alternates"))

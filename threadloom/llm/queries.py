@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.llm import conversations, packing, pii, quality, tokens
-from threadloom.session import table
+from threadloom.session import materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,6 +68,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.conversations(table(spark, sf_dir, "chat_events"), table(spark, sf_dir, "chat_groups"))
 
 
+@query("p4_alternation")
+def p4_alternation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether user and bot take turns in each kept conversation."""
+    found = conversations.spoken(table(spark, sf_dir, "chat_events"), table(spark, sf_dir, "chat_groups"))
+    return conversations.alternation(materialise(found, "spoken"))
+
+
 @query("p8_packed")
 def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
