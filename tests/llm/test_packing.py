@@ -15,10 +15,27 @@ def test_solutions_stay_whole():
 
 
 def test_evolution_beats_greedy_where_greedy_is_wrong():
-    sizes = [44, 6, 24, 6, 24, 8, 22, 8, 17, 21] * 6  # perfect containers of 60 exist
-    greedy = packing.best_fit(sorted(range(60), key=lambda i: -sizes[i]), sizes, 60)
-    best = min(len(packing.evolve(sizes, [], k, capacity=60, generations=60)[0]) for k in range(3))
-    assert best <= len(greedy)
+    """Items in triples that fill containers exactly, on which best fit needs a sixth more containers."""
+    rng = random.Random(0)
+    sizes = []
+    for _ in range(60):
+        a = rng.randint(380, 490)
+        b = rng.randint(250, (1000 - a) // 2)
+        sizes += [a, b, 1000 - a - b]
+    greedy = packing.best_fit(sorted(range(180), key=lambda i: -sizes[i]), sizes, 1000)
+    found = packing.evolve(sizes, [], 1, capacity=1000)[0]
+    assert len(greedy) >= 69 and 60 <= len(found) <= 63
+    assert sorted(i for b in found for i in b) == list(range(180)) and all(sum(sizes[i] for i in b) <= 1000 for b in found)
+
+
+def test_exchanges_keep_every_item():
+    rng = random.Random(4)
+    sizes = [rng.randint(100, 900) for _ in range(90)]
+    bins = packing.best_fit(list(range(60)), sizes, 1000)
+    before = sum(sizes[i] for b in bins for i in b)
+    rest = packing.exchanged(bins, list(range(60, 90)), sizes, 1000, rng)
+    assert sorted([i for b in bins for i in b] + rest) == list(range(90))
+    assert all(sum(sizes[i] for i in b) <= 1000 for b in bins) and sum(sizes[i] for b in bins for i in b) > before
 
 
 def test_every_token_once(spark):

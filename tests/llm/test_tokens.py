@@ -61,3 +61,17 @@ def test_table(spark):
     back = {r.doc_id: r.text for r in tokens.decode(tokens.encode(df)).collect()}
     assert back[4] == long and back[2] == "" and back[1] == ""
     assert tokens.encode(df.limit(0)).count() == 0
+
+
+def test_table_of_transitions_starts_afresh(reference):
+    machine = tokens.MergeAutomaton(tokens.read_ranks(tokens.vocabulary_path()))
+    machine.max_states = 50
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdeäöü中文字123") for _ in range(rng.randint(1, 60))) for _ in range(150)]
+    for word in words:
+        spelled = machine.encode_word(word.encode())
+        assert machine.decode(spelled).decode() == word
+        assert len(machine.beginnings) <= 51
+    for word in (w for w in words if w.isascii() and w.isalpha()):
+        assert machine.encode_word(word.encode()) == reference.encode_ordinary(word)
+    assert machine.encode_word(b"internationalization") == reference.encode_ordinary("internationalization")

@@ -3,7 +3,8 @@
 A grouping genetic algorithm: a solution is a set of containers, and crossover
 passes whole containers on. The well-filled containers of one parent are
 injected into the other; containers of the other that hold one of the same
-documents are taken apart, and the documents displaced are put where they fit
+documents are taken apart, and the documents displaced are exchanged for
+smaller ones where that fills a container better, then put where they fit
 best. Documents are dealt to cells of bounded size. Every cell is worked on by
 several islands, populations with different seeds in different tasks, which
 send their best solution to the next island after each epoch. Containers that
@@ -13,7 +14,7 @@ stay loose are taken apart once more and dealt anew, across cells.
 from __future__ import annotations
 
 import random
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,6 +28,7 @@ CAPACITY = 2048
 CELL_ITEMS = 1000
 """Documents per cell on average; cells are drawn by hash, so their sizes stay close to it."""
 ISLANDS = 2
+ISLANDS_PER_TASK = 64
 EPOCHS = 2
 GENERATIONS = 8
 POPULATION = 4
@@ -35,6 +37,9 @@ LOOSE = 0.97
 ROUNDS = 2
 """How often loose containers are dealt anew."""
 
+REFINED = 40
+"""Containers in which a child tries exchanges."""
+
 Solution = list[list[int]]
 
 
@@ -86,12 +91,44 @@ def refit(bins: Solution, displaced: list[int], sizes: list[int], capacity: int,
     loose = rng.randint(1, max(1, min(len(bins), 3 + len(bins) // 20))) if bins else 0
     for b in bins[:loose]:
         displaced += b
-    if rng.random() < 0.5:
-        displaced.sort(key=lambda i: -sizes[i])
-    else:
-        noise = {i: sizes[i] * rng.uniform(0.8, 1.2) for i in displaced}
-        displaced.sort(key=lambda i: -noise[i])
-    return best_fit(displaced, sizes, capacity, bins[loose:])
+    kept = bins[loose:]
+    displaced = exchanged(kept, displaced, sizes, capacity, rng)
+    displaced.sort(key=lambda i: -sizes[i])
+    return best_fit(displaced, sizes, capacity, kept)
+
+
+def exchanged(bins: Solution, displaced: list[int], sizes: list[int], capacity: int, rng: random.Random) -> list[int]:
+    """Swaps up to two items of a container for up to two displaced ones that fill it better.
+
+    Small items come free that way, which are easier to place. Changes ``bins``
+    and gives the items then displaced.
+    """
+    pool = sorted((sizes[i], i) for i in displaced)
+    open_ = [k for k, b in enumerate(bins) if sum(sizes[i] for i in b) < capacity]
+    for k in rng.sample(open_, min(REFINED, len(open_))):
+        b = bins[k]
+        free = capacity - sum(sizes[i] for i in b)
+        best: tuple[int, tuple[int, ...], tuple[int, ...]] = (0, (), ())
+        for out in [(x,) for x in b] + [(x, y) for n, x in enumerate(b) for y in b[:n]]:
+            held = sum(sizes[i] for i in out)
+            most = held + free
+            at = bisect_right(pool, (most, len(sizes))) - 1
+            if at >= 0 and pool[at][0] - held > best[0]:
+                best = (pool[at][0] - held, out, (at,))
+            for first in range(min(at + 1, len(pool))):
+                second = bisect_right(pool, (most - pool[first][0], len(sizes))) - 1
+                if second > first and pool[first][0] + pool[second][0] - held > best[0]:
+                    best = (pool[first][0] + pool[second][0] - held, out, (first, second))
+            if best[0] == free:
+                break
+        if best[0]:
+            _, out, entering = best
+            bins[k] = [i for i in b if i not in out] + [pool[at][1] for at in entering]
+            for at in reversed(entering):
+                del pool[at]
+            for i in out:
+                insort(pool, (sizes[i], i))
+    return [i for _, i in pool]
 
 
 def evolve(sizes: list[int], population: list[Solution], seed: int, capacity: int = CAPACITY, generations: int = GENERATIONS) -> list[Solution]:
@@ -163,9 +200,11 @@ def pack_items(items: DataFrame, n_items: int, round_: int = 0, capacity: int =
         "cell", F.explode(F.array(*(F.lit(k) for k in range(ISLANDS)))).alias("island"), F.col("x.uid").alias("uids"), F.col("x.size").alias("sizes"),
         F.lit(None).cast("array<array<int>>").alias("population"), F.lit(None).cast("double").alias("score"),
     )
-    islands = islands.repartition(F.col("cell"), F.col("island"))
+    tasks = max(1, min(cells * ISLANDS, max(3 * items.sparkSession.sparkContext.defaultParallelism, cells * ISLANDS // ISLANDS_PER_TASK)))
     for epoch in range(EPOCHS):
-        islands = materialise(islands.mapInArrow(_epoch(epoch + round_ * EPOCHS, capacity), _ISLAND), "islands")
+        # A number of tasks that adaptive execution leaves alone: an island is much work in few bytes.
+        spread = islands.repartition(tasks, "cell", "island")
+        islands = materialise(spread.mapInArrow(_epoch(epoch + round_ * EPOCHS, capacity), _ISLAND), "islands")
         if epoch + 1 < EPOCHS:
             migrants = islands.select("cell", ((F.col("island") + 1) % ISLANDS).alias("island"), F.slice("population", 1, 1).alias("migrant"))
             islands = islands.join(migrants, ["cell", "island"]).withColumn("population", F.concat("population", "migrant")).drop("migrant").select(*islands.columns)

@@ -1,14 +1,19 @@
 """Byte-pair encoding of texts by a tokenization automaton.
 
-``MergeAutomaton`` is the deterministic automaton that successive merge gadgets
-give. Processing the merges in order of rank, the gadget of (u, v) takes the arc
-``v`` away from the state that ``u`` leads to and adds an arc ``uv``, to the
-state of ``v``, beside every arc ``u``. All arcs with the same label lead to the
-same state, so a state is the label that was read last, and each merge changes
-one state: it excludes ``v`` after ``u`` from that rank on. Those exclusions are
-the whole table; whether an arc exists is read off the two merge histories, and
-every transition asked for is kept. The automaton accepts exactly one token
-sequence for each byte string, which is the encoding.
+``MergeAutomaton`` is built by successive merge gadgets. Processing the merges
+in order of rank, the gadget of (u, v) takes the arc ``v`` away from where ``u``
+leads and adds an arc ``uv`` beside every arc ``u``. So each merge excludes
+``v`` after ``u`` from its rank on, and whether token ``b`` may follow token
+``a`` is read off those exclusions along the right side of ``a`` and the left
+side of ``b``; that reading is the validity check of pairs known from public
+byte-pair encoders. The token arcs accept exactly one sequence for each byte
+string, its encoding.
+
+Encoding is driven by a table of transitions on bytes, the subset construction
+over those arcs: a state holds, for every position where a token may still
+begin, the trie node reached since and the token before it, and it tells which
+token ends there. States and transitions are made when they are first needed
+and kept up to a bound, beyond which the table starts afresh.
 
 Texts are split into words over whole batches with code-point class tables, and
 each distinct word of a batch is encoded once.
@@ -30,8 +35,12 @@ from pyspark.sql import DataFrame
 
 TOKENIZER_DIR = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 """Words whose encoding a worker keeps; beyond, it starts afresh."""
+MAX_STATES = 120_000
+"""States in a worker's table of transitions; beyond, it starts afresh."""
+MAX_PAIRS = 1_000_000
+"""Pairs of tokens whose arc a worker keeps."""
 PIECE_CHARS = 2_000_000
 """Characters that are split into words at once, rounded up to whole texts."""
 
@@ -58,7 +67,9 @@ class MergeAutomaton:
         for token, i in by_rank:
             if len(token) > 1:
                 self._add_gadget(token, i)
-        self.edges, self.token_at = self._reverse_trie()
+        self.edges, self.token_at, self.inner = self._trie()
+        self.max_states = MAX_STATES
+        self._restart()
 
     def _add_gadget(self, token: bytes, i: int) -> None:
         """Adds the arc ``token``: finds the two arcs that spelled it so far."""
@@ -85,20 +96,60 @@ class MergeAutomaton:
             parts[at : at + 2] = [best]
         return parts
 
-    def _reverse_trie(self) -> tuple[dict[int, int], list[int]]:
-        """Tokens read backwards: (node * 256 + byte) to node, and the token that a node spells, or -1."""
+    def _trie(self) -> tuple[dict[int, int], list[int], list[bool]]:
+        """Tokens by their bytes: (node * 256 + byte) to node, the token that a node spells or -1, and whether longer ones follow."""
         edges: dict[int, int] = {}
-        token_at = [-1]
+        token_at, inner = [-1], [True]
         for token, i in self.ids.items():
             node = 0
-            for byte in reversed(token):
+            for byte in token:
+                inner[node] = True
                 key = node << 8 | byte
                 node = edges.get(key, 0)
                 if not node:
                     node = edges[key] = len(token_at)
                     token_at.append(-1)
+                    inner.append(False)
             token_at[node] = i
-        return edges, token_at
+        return edges, token_at, inner
+
+    def _restart(self) -> None:
+        """Empties the table; state 0 is the beginning of a word."""
+        start = ((0, -1),)
+        self.number: dict[tuple, int] = {start: 0}
+        self.beginnings: list[tuple] = [start]
+        self.ending: list[int] = [-1]
+        self.step: dict[int, int] = {}
+
+    def _advance(self, state: int, byte: int) -> int:
+        """Fills in the transition of ``state`` on ``byte``."""
+        edges, token_at, inner, follows = self.edges, self.token_at, self.inner, self.follows
+        live, ended = [], -1
+        for node, before in self.beginnings[state]:
+            node = edges.get(node << 8 | byte)
+            if node is None:
+                continue
+            token = token_at[node]
+            # Just one token with an arc from where it begins ends here.
+            if ended < 0 <= token and (before < 0 or follows(before, token)):
+                ended = token
+            if inner[node]:
+                live.append((node, before))
+        live.append((0, ended))
+        reached = tuple(live)
+        found = self.number.get(reached)
+        if found is not None:
+            self.step[state << 8 | byte] = found
+            return found
+        full = len(self.beginnings) >= self.max_states
+        if full:
+            self._restart()
+        found = self.number[reached] = len(self.beginnings)
+        self.beginnings.append(reached)
+        self.ending.append(ended)
+        if not full:
+            self.step[state << 8 | byte] = found
+        return found
 
     def follows(self, a: int, b: int) -> bool:
         """Whether the state after token ``a`` has an arc ``b``.
@@ -109,6 +160,8 @@ class MergeAutomaton:
         key = a * self.size + b
         known = self.arc.get(key)
         if known is None:
+            if len(self.arc) >= MAX_PAIRS:
+                self.arc.clear()
             known = self.arc[key] = self._follows(a, b)
         return known
 
@@ -136,38 +189,18 @@ class MergeAutomaton:
     def encode_word(self, word: bytes) -> list[int]:
         """The labels of the one accepted path that spells ``word``.
 
-        Position by position, the state is the token that ends there; it is the
-        only token with an arc from the state where it begins.
+        Each byte is one transition; the state tells the token that ends there,
+        and the path is read back from the last one.
         """
-        whole = self.ids.get(word)
-        if whole is not None:
-            return [whole]
-        edges, token_at, arc, size, follows = self.edges, self.token_at, self.arc, self.size, self.follows
-        n = len(word)
-        last = [0] * (n + 1)
-        for end in range(1, n + 1):
-            node, begin, found = 0, end, []
-            while begin:
-                begin -= 1
-                node = edges.get(node << 8 | word[begin])
-                if node is None:
-                    break
-                token = token_at[node]
-                if token >= 0:
-                    found.append((begin, token))
-            # The longest comes last; the one that fits is mostly long.
-            for begin, token in reversed(found):
-                if not begin:
-                    break
-                key = last[begin] * size + token
-                known = arc.get(key)
-                if follows(last[begin], token) if known is None else known:
-                    break
-            last[end] = token
-        out = []
+        state, last = 0, []
+        for byte in word:
+            reached = self.step.get(state << 8 | byte)
+            state = self._advance(state, byte) if reached is None else reached
+            last.append(self.ending[state])
+        out, n = [], len(word)
         while n:
-            out.append(last[n])
-            n -= len(self.label[last[n]])
+            out.append(last[n - 1])
+            n -= len(self.label[last[n - 1]])
         out.reverse()
         return out
 
