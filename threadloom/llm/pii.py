@@ -1,16 +1,18 @@
 """Personal data in free text: found by anchor expansion, replaced by placeholders.
 
-An Aho-Corasick automaton finds anchors: at-signs and their disguises, words
-that announce an identifier, and phrases that name a person. From each anchor a
-deterministic local parser expands to the boundaries of the value and validates
-its form. Numbers that announce themselves by form (telephone and social
-security numbers) and street names are anchored on their digits.
+One Aho-Corasick automaton finds all anchors: at-signs and their disguises,
+schemes, words that announce an identifier or a person, titles, words for
+streets, and the digits that begin a number. From each anchor a deterministic
+local parser expands to the boundaries of the value and validates its form,
+check digits where the form has one. Expansion ends where the form ends, at no
+fixed distance.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import ahocorasick
@@ -28,7 +30,7 @@ _PLAIN = {0xFF01 + k: 0x21 + k for k in range(94)} | {
 
 # --- e-mail -----------------------------------------------------------------
 
-_LOCAL_END = re.compile(r"[A-Za-z0-9À-ɏ](?:[A-Za-z0-9À-ɏ._%+'-]*[A-Za-z0-9À-ɏ_+])?$")
+_LOCAL = frozenset("._%+'-")
 _DOMAIN = re.compile(r"[A-Za-z0-9À-ɏ](?:[A-Za-z0-9À-ɏ-]*[A-Za-z0-9À-ɏ])?(?:\.[A-Za-z0-9À-ɏ](?:[A-Za-z0-9À-ɏ-]*[A-Za-z0-9À-ɏ])?)*\.[A-Za-zÀ-ɏ]{2,}")
 _AT = r"\s*(?:\(\s*(?:at|ät|a|arroba)\s*\)|\[\s*(?:at|ät|a|arroba)\s*\]|\{\s*(?:at|ät)\s*\}|<\s*at\s*>|\s(?:at|arroba)\s)\s*"
 _DOT = r"(?:\s*(?:\(\s*(?:dot|punkt|punto)\s*\)|\[\s*(?:dot|punkt|punto)\s*\]|\{\s*(?:dot|punkt)\s*\}|<\s*dot\s*>|\s(?:dot|punkt|punto)\s)\s*|\.)"
@@ -37,38 +39,46 @@ _DISGUISED = re.compile(rf"([A-Za-z0-9À-ɏ][A-Za-z0-9À-ɏ_%+-]*(?:{_DOT}[A-Za-
 _SERVICES = frozenset("git hg svn ssh root admin noreply no-reply donotreply do-not-reply postmaster mailer-daemon webmaster hostmaster abuse www-data".split())
 
 
+def _part_of_local(c: str) -> bool:
+    return c in _LOCAL or (c.isascii() and c.isalnum()) or "À" <= c <= "ɏ"
+
+
 def _email(text: str, at: int) -> Span | None:
-    left = _LOCAL_END.search(text, max(0, at - 64), at)
+    start = at
+    while start and _part_of_local(text[start - 1]):
+        start -= 1
+    while start < at and text[start] in _LOCAL:
+        start += 1
     right = _DOMAIN.match(text, at + 1)
-    if not left or not right:
+    if start == at or not right or (text[at - 1] in _LOCAL and text[at - 1] not in "_+"):
         return None
-    start, end = left.start(), right.end()
+    end = right.end()
     before, after = text[start - 1 : start], text[end : end + 1]
     if before in ("/", "@") or text[max(0, start - 3) : start] == "://":
         return None
-    if before == ":" and not text[max(0, start - 7) : start].lower().endswith("mailto:") and re.search(r"://\S*$", text[:start]):
-        return None
+    if before == ":" and not text[max(0, start - 7) : start].lower().endswith("mailto:"):
+        word = 1 + max(text.rfind(c, 0, start) for c in " \n\t")
+        if "://" in text[word:start]:
+            return None
     if text[start:at].lower() in _SERVICES or (after == ":" and re.match(r":[\w~/]", text[end : end + 2])):
         return None
     return start, end, EMAIL
 
 
-def _disguised(text: str, at: int) -> Span | None:
-    """An address around a written-out at-sign that ends at ``at``."""
-    for m in _DISGUISED.finditer(text, max(0, at - 72), min(len(text), at + 90)):
-        if m.start(1) < at <= m.end():
-            start = m.start(1)
+def _disguised(text: str, anchors: list[int]) -> Iterator[Span]:
+    """Addresses around written-out at-signs and dots, of which some end at ``anchors``."""
+    for m in _DISGUISED.finditer(text):
+        at = bisect_right(anchors, m.start(1))
+        if at < len(anchors) and anchors[at] <= m.end():
             # A spaced "at" is ordinary prose unless a written-out dot follows.
             if re.search(r"[\[({<]", text[m.end(1) : m.start(2)]) or re.search(r"\s(?:dot|punkt|punto)\s", m.group(2), re.IGNORECASE):
-                return start, m.end(), EMAIL
-    return None
+                yield m.start(1), m.end(), EMAIL
 
 
 # --- telephone, identity numbers --------------------------------------------
 
 # Written forms of telephone numbers, by country code or trunk prefix.
-_PHONE = re.compile(
-    r"""(?<![0-9A-Za-z+@=_#:/.,-])(?:
+_PHONE_FORMS = r"""(?:
       \+1[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}
     | \+1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}
     | \+33[ .-]?(?:\(0\)[ ]?)?\d(?:[ .-]\d{2}){4}
@@ -80,16 +90,16 @@ _PHONE = re.compile(
     | \+\d{9,15}
     | \(\d{3}\)[ ]?\d{3}[ .-]\d{4}
     | \(0\d{2,4}\)[ ]?\d{3,8}(?:[ -]\d{1,4})?
-    | [2-9]\d{2}([.-])\d{3}\1\d{4}
+    | [2-9]\d{2}(?P<sep>[.-])\d{3}(?P=sep)\d{4}
     | 0\d(?:[ .]\d{2}){4}
     | 07\d{3}[ ]\d{6}
     | 0[234578]\d{2}[ ]\d{3}[ ]\d{3,4}
     | 02\d[ ]\d{4}[ ]\d{4}
     | 0\d{2,4}/\d{3,9}(?:-\d{1,4})?
     | 0\d{2,4}[ ]\d{5,8}-\d{1,4}
-    )(?![0-9A-Za-z@_]|[./:-]\d)""",
-    re.VERBOSE,
-)
+    )(?![0-9A-Za-z@_]|[./:-]\d)"""
+_PHONE = re.compile(r"(?<![0-9A-Za-z+@=_#:/.,-])" + _PHONE_FORMS, re.VERBOSE)
+_AFTER_CUE = re.compile(_PHONE_FORMS, re.VERBOSE)
 # Forms that are numbers of a telephone only where a word says so.
 _CALLED = re.compile(r"(?:1[3-9]\d[ -]?\d{4}[ -]?\d{4}|0\d{2,4}[ -]?\d{5,8}|[2-9]\d{2}[ ]\d{3}[ ]\d{4}|[2-9]\d{9}|0\d{8,10})(?![0-9A-Za-z])")
 _SSN = re.compile(r"(?<![0-9A-Za-z.,-])(?!000)\d{3}([ -])(?!00)\d{2}\1(?!0000)\d{4}(?![0-9A-Za-z]|[.,-]\d)")
@@ -103,15 +113,60 @@ _LABEL_GAP = re.compile(r"[\s:：.#=-]*(?:(?:no|nr|num(?:ber|ero|mer)?|is|ist|es
 
 _CAPITAL = r"[A-ZÀ-ÖØ-Þ][\w'-]*"
 _STREETS_EN = "street|road|lane|avenue|ave|court|drive|close|way|place|square|terrace|crescent|boulevard|blvd|highway|parkway"
-_ADDRESS = [
-    re.compile(rf"(?<![\w.,/:-])\d{{1,5}}[A-Za-z]?(?:-\d{{1,4}})?\s(?:{_CAPITAL}\s){{1,3}}(?i:{_STREETS_EN}|st|rd|ln)(?![\w-])"),
+_ADDRESS_EN = re.compile(rf"(?<![\w.,/:-])\d{{1,5}}[A-Za-z]?(?:-\d{{1,4}})?\s(?:{_CAPITAL}\s){{1,3}}(?i:{_STREETS_EN}|st|rd|ln)(?![\w-])")
+_STREETS_DE = ("straße", "strasse", "str.", "weg", "platz", "allee", "gasse", "ring", "damm", "ufer")
+_ADDRESS_DE = (
     re.compile(rf"(?<![\w-])(?:(?:Am|An\sder|Auf\sdem|Auf\sder|Im|In\sder|Zum|Zur|Unter\sden|Alte[rn]?|Neue[rn]?|Gro(?:ß|ss)e|Kleine)\s)?[A-ZÄÖÜ][\wäöüß-]*(?i:straße|strasse|str\.|weg|platz|allee|gasse|ring|damm|ufer)\s\d{{1,4}}[A-Za-z]?(?!\w)"),
     re.compile(r"(?<![\w-])[A-ZÄÖÜ][\wäöüß-]+\s(?:Straße|Strasse|Str\.|Weg|Platz|Allee|Gasse|Ring|Damm|Ufer|STRASSE|STRAẞE|WEG|PLATZ)\s\d{1,4}[A-Za-z]?(?!\w)"),
-    re.compile(rf"(?<![\w-])(?i:calle|avenida|avda\.|plaza|paseo|camino|carrera|rua|travessa|praça|largo)\s(?:(?:de|da|do|dos|del|la|las|los|el)\s){{0,3}}{_CAPITAL}(?:\s(?:(?:de|da|do|del|la)\s)?{_CAPITAL})?,?\s(?:n[º.o]\s?)?\d{{1,5}}[A-Za-z]?(?!\w)"),
-]
-_ADDRESS_ZH = re.compile(r"([一-鿿]{1,12}(?:路|街|巷|大道|道|弄|胡同))(\d{1,5})号?")
+)
+_STREETS_ES = ("calle", "avenida", "avda.", "plaza", "paseo", "camino", "carrera", "rua", "travessa", "praça", "largo")
+_ADDRESS_ES = re.compile(rf"(?<![\w-])(?i:calle|avenida|avda\.|plaza|paseo|camino|carrera|rua|travessa|praça|largo)\s(?:(?:de|da|do|dos|del|la|las|los|el)\s){{0,3}}{_CAPITAL}(?:\s(?:(?:de|da|do|del|la)\s)?{_CAPITAL})?,?\s(?:n[º.o]\s?)?\d{{1,5}}[A-Za-z]?(?!\w)")
+_STREETS_ZH = ("路", "街", "巷", "大道", "道", "弄", "胡同")
+_NUMBER_ZH = re.compile(r"\d{1,5}号?")
 # Characters that end the words before a street's name.
 _ZH_BEFORE = frozenset("到在是为住往至于的归了和与及")
+
+
+def _english(text: str, start: int) -> Span | None:
+    m = _ADDRESS_EN.match(text, start)
+    return (start, m.end(), ADDRESS) if m else None
+
+
+def _german(text: str, begin: int, end: int) -> Span | None:
+    """Around a word for a street from ``begin`` to ``end``, which a number must follow."""
+    if not (text[end + 1 : end + 2].isdigit() and text[end].isspace()):
+        return None
+    # The street's name begins with this word, the one before, or the one before that.
+    starts, at = [], begin
+    for _ in range(3):
+        while at and (text[at - 1].isalnum() or text[at - 1] in "-_"):
+            at -= 1
+        starts.append(at)
+        if not at or not text[at - 1].isspace():
+            break
+        at -= 1
+    for start in reversed(starts):
+        for pattern in _ADDRESS_DE:
+            m = pattern.match(text, start)
+            if m and m.end() > end:
+                return start, m.end(), ADDRESS
+    return None
+
+
+def _spanish(text: str, begin: int, end: int) -> Span | None:
+    m = _ADDRESS_ES.match(text, begin)
+    return (begin, m.end(), ADDRESS) if m else None
+
+
+def _chinese(text: str, begin: int, end: int) -> Span | None:
+    """A street's name has one to four characters; a word that leads to it ends it."""
+    m = _NUMBER_ZH.match(text, end)
+    start = begin
+    while m and start > max(0, begin - 4) and "一" <= text[start - 1] <= "鿿" and text[start - 1] not in _ZH_BEFORE:
+        start -= 1
+    return (start, m.end(), ADDRESS) if m and start < begin else None
+
+
 _TAIL = re.compile(r"\s?,?\s(?:Flat|Apt|Apartment|Unit|Suite|Whg|Wohnung|Piso|室)\.?\s?\w{1,4}|,\s\d{4,6}\s[A-ZÀ-Þ][\w-]+")
 
 # --- names ------------------------------------------------------------------
@@ -133,7 +188,11 @@ _ORDINARY = frozenset(
     yet you your der die das den dem des ein eine und oder aber wenn weil dass ich du er es sie wir nicht mehr zu auf am im mit ohne von nach vor bei seit bitte denn war
     ist haben hat sonst alles was danach nur damit kann warum bevor danke siehe jetzt adresse gruß ruf schick rückfragen wohnt mobil reisepass steuer idnr protokoll ganze registro completo full
     el la los las un una y o pero si porque que del en con sin por para ya se lo le está más creo hemos todo nadie desde tras solo después cuando este esta puede favor
-    antes gracias he ver manda envía llámame pasaporte adios""".split()
+    antes gracias he ver manda envía llámame pasaporte adios
+    monday tuesday wednesday thursday friday saturday sunday january february march july september october november december
+    montag dienstag mittwoch donnerstag freitag samstag sonntag januar februar märz juni juli oktober dezember lunes martes miércoles jueves viernes sábado domingo enero febrero marzo junio julio septiembre octubre noviembre diciembre
+    manager policy admin operator customer customers client support everyone everybody folks guys friend friends colleague colleagues sir madam boss reviewer author maintainer request ticket default
+    design documentation spec contract agreement usual kollege kollegen zusammen world welt mundo kunde leiter cliente equipo jefe todos compañeros""".split()
 )
 _BOTS = re.compile(r"(?i)(?:^|[\s_-])(?:bots?|crew|team|runner|helper|agent|assistant|server|service|system|form|oncall|on-call|desk|queue|ledger)(?:$|[\s_-])|助手|机器人|群")
 
@@ -202,14 +261,18 @@ _BACKWARD = re.compile(rf"(?<![\w'@.+-])({_NAME})$")
 
 
 def _right(text: str, before: int) -> Span | None:
-    """The name that ends at ``before``."""
-    low = max(0, before - 64)
-    window = text[low:before]
-    cut = max(window.rfind("\n"), window.rfind("`"))
-    m = _BACKWARD.search(window, cut + 1)
+    """The name that ends at ``before``; it begins on the same line and has at most a dozen words."""
+    cut = low = max(text.rfind("\n", 0, before), text.rfind("`", 0, before)) + 1
+    at = before
+    for _ in range(12):
+        at = text.rfind(" ", low, at)
+        cut = max(at, low)
+        if at < 0:
+            break
+    m = _BACKWARD.search(text, cut, before)
     if not m:
         return None
-    start, end = low + m.start(1), low + m.end(1)
+    start, end = m.start(1), m.end(1)
     title = _TITLES.match(text[start:end])
     if title and title.end() < end - start:
         start += title.end()
@@ -219,6 +282,63 @@ def _right(text: str, before: int) -> Span | None:
     return span[0], span[1], NAME
 
 
+# Capitalised words of a person named where nothing else tells that it is one.
+_CAPITALISED = r"[A-ZÀ-ÖØ-Þ](?:'[A-ZÀ-ÖØ-Þ])?[a-zß-ÿĀ-ɏ]+(?:'[A-Za-zÀ-ɏ]{2,}|-[A-Za-zÀ-ɏ]+)*"
+_FULL_NAME = rf"{_CAPITALISED}(?: [A-Z]\.)?(?: (?:(?:de|del|della|di|da|do|dos|du|van|von|vom|der|den|ter|la|le|al|el|bin|ibn|zu) ){{0,3}}{_CAPITALISED}){{1,2}}"
+_TITLED = r"(?:(?i:Dr|Mr|Mrs|Ms|Mx|Miss|Prof|Professor|Sir|Herr|Herrn|Frau|Sr|Sra|Srta|Señora?|Don|Doña|Dra|Mme|Mlle)\.? )"
+
+
+_SOME_NAME = rf"(?:{_FULL_NAME}|(?:[A-Z]\. ?){{1,2}}{_CAPITALISED}|{_CAPITALISED})"
+
+
+def _announced(least: int = 1, closing: str = ""):
+    """A capitalised name right after its cue, of ``least`` words at least unless a title or initial leads it."""
+    pattern = re.compile(rf"\s*((?:{_TITLED})*)({_SOME_NAME})(?![\w@])" + (f"(?={closing})" if closing else ""))
+    titled = lambda m: bool(m.group(1)) or m.group(2)[1:2] == "."
+
+    def parse(text: str, after: int) -> Span | None:
+        m = pattern.match(text, after)
+        if not m:
+            return None
+        # A name ends before the first ordinary word, and particles before that word are none of it.
+        end, kept = m.start(2), 0
+        for w in re.finditer(r"\S+", m.group(2)):
+            if w.group()[0].isupper():
+                if w.group().lower() in _ORDINARY:
+                    break
+                end, kept = m.start(2) + w.end(), kept + 1
+        if not kept or (kept < least and not titled(m)):
+            return None
+        return m.start(2), end, NAME
+
+    return parse
+
+
+# Ordinary ways to introduce, name, greet and sign, and the commonest Chinese family names.
+_INTRODUCED = ("my name is", "my name's", "mein name ist", "ich heiße", "ich heisse", "me llamo", "mi nombre es", "je m'appelle")
+_MENTIONED = (
+    "contact", "spoke with", "spoke to", "talked to", "talk to", "speak to", "speak with", "met with", "signed by", "written by", "reported by", "assigned to", "on behalf of", "forwarded by", "attn:",
+    "ansprechpartner ist", "ansprechpartnerin ist", "gesprochen mit", "wenden sie sich an", "im auftrag von", "hablé con", "contacte a", "contacte con", "firmado por", "en nombre de", "hable con",
+)
+_ADDRESSED = ("mr.", "mrs.", "ms.", "dr.", "prof.", "mr", "mrs", "ms", "herr", "herrn", "frau", "señor", "señora", "sr.", "sra.")
+_GREETED = ("dear", "hi", "hello", "hey", "hallo", "hola", "liebe", "lieber", "estimado", "estimada", "querido", "querida")
+_SIGNED = ("regards", "sincerely", "best wishes", "best", "cheers", "grüße", "grüßen", "gruß", "saludos", "atentamente", "cordialement")
+_SIGNATURE = re.compile(rf"[,.]?[ \t]*\n\s*{_TITLED}*({_SOME_NAME})[ \t]*(?=\n|$)")
+_NAMED_ZH = ("我叫", "我的名字是", "联系人是", "联系人：", "联系人:")
+_FAMILY_ZH = "王李张刘陈杨黄赵吴周徐孙马朱胡郭何高林罗郑梁谢宋唐许韩冯邓曹彭曾肖田董袁潘于蒋蔡余杜叶程苏魏吕丁任沈姚卢姜崔钟谭陆汪范金石廖贾夏韦傅方白邹孟熊秦邱江尹薛闫段雷侯龙史陶黎贺顾毛郝龚邵万钱严覃武戴莫孔向汤"
+_NAME_ZH = re.compile(rf"\s*([{_FAMILY_ZH}][一-鿿]{{1,2}})(?=[，。,.！!、；;\s]|$)")
+
+
+def _signed(text: str, after: int) -> Span | None:
+    m = _SIGNATURE.match(text, after)
+    return (m.start(1), m.end(1), NAME) if m and m.group(1).split()[0].lower() not in _ORDINARY else None
+
+
+def _named_zh(text: str, after: int) -> Span | None:
+    m = _NAME_ZH.match(text, after)
+    return (m.start(1), m.end(1), NAME) if m else None
+
+
 _END = r"\s*(?:[!.,;:…。！]|\n|$)"
 # Phrases that announce a person, with what closes the name.
 _NAME_LEFT = {
@@ -229,6 +349,7 @@ _NAME_LEFT = {
 _NAME_RIGHT = (" asked for it", " hat danach gefragt", "'s card is", " 说先不要动", "说先不要动", " wants to know")
 _PASSPORT_CUES = ("passport", "reisepass", "pasaporte", "passaporte", "passeport", "护照号码", "护照号", "护照")
 _TAX_CUES = ("tax id", "taxpayer id", "tax number", "tax no", "tin:", "steuer-id", "steuer-idnr", "steueridentifikationsnummer", "idnr", "nif", "cpf", "税号", "纳税人识别号")
+_RESIDENT_CUES = ("身份证号码", "身份证号", "身份证")
 _SOCIAL_CUES = ("ssn", "social security")
 _PHONE_CUES = ("tel", "phone", "mobil", "call me", "ring ", "手机", "电话", "llámame", "ruf mich", "number's")
 
@@ -248,6 +369,8 @@ def _automaton() -> ahocorasick.Automaton:
         add(word, "number", _PASSPORT)
     for word in _TAX_CUES:
         add(word, "number", _TAX)
+    for word in _RESIDENT_CUES:
+        add(word, "number", _RESIDENT)
     for word in _SOCIAL_CUES:
         add(word, "number", _SOCIAL)
     for word in _PHONE_CUES:
@@ -256,35 +379,55 @@ def _automaton() -> ahocorasick.Automaton:
         add(word, "left", _left(word, closing))
     for word in _NAME_RIGHT:
         add(word, "right")
+    for words, parse in ((_INTRODUCED, _announced()), (_MENTIONED, _announced(2)), (_ADDRESSED, _announced()), (_GREETED, _announced(1, r"\s*(?:[,!:]|\n|$)"))):
+        for word in words:
+            add(word + " ", "left", parse)
+    for word in _SIGNED:
+        add(word, "left", _signed)
+    for word in _NAMED_ZH:
+        add(word, "left", _named_zh)
+    for words, parse in ((_STREETS_DE, _german), (_STREETS_ES, _spanish), (_STREETS_ZH, _chinese)):
+        for word in words:
+            add(word, "street", parse)
+    for digit in "0123456789":
+        add(digit, "digit")
     for word, entries in cues.items():
         machine.add_word(word, entries)
     machine.make_automaton()
     return machine
 
 
-_DIGITS = re.compile(r"\d")
-
-
 def _lowered(text: str) -> str:
     low = text.lower()
     return low if len(low) == len(text) else "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
 
 
-def _addresses(text: str) -> list[Span]:
-    out = []
-    for pattern in _ADDRESS:
-        out += [(m.start(), m.end(), ADDRESS) for m in pattern.finditer(text)]
-    for m in _ADDRESS_ZH.finditer(text):
-        street = m.group(1)
-        suffix = 2 if street.endswith(("大道", "胡同")) else 1
-        start = len(street) - suffix
-        # A street's name has two to four characters; a word that leads to it ends it.
-        low = max(0, start - 4)
-        while start > low and street[start - 1] not in _ZH_BEFORE:
-            start -= 1
-        if len(street) - suffix - start >= 1:
-            out.append((m.start() + start, m.end(), ADDRESS))
-    return out
+_CUE_GAP = re.compile(r"[\s:：.=]*")
+
+
+def _resident(text: str, start: int) -> Span | None:
+    m = _RESIDENT.match(text, start)
+    if not m:
+        return None
+    weights = (7, 9, 10, 5, 8, 4, 2, 1, 6, 3, 7, 9, 10, 5, 8, 4, 2)
+    check = "10X98765432"[sum(w * int(c) for w, c in zip(weights, m.group(), strict=False)) % 11]
+    return (start, m.end(), ID_NUMBER) if m.group()[17].upper() == check else None
+
+
+def _numbers(text: str, start: int, spans: list[Span], phone_to: int) -> int:
+    """What the number that begins at ``start`` is; gives the end of the last telephone number."""
+    if start >= phone_to:
+        lead = start - 1 if start and text[start - 1] in "+(" else start
+        m = _PHONE.match(text, lead) or (_PHONE.match(text, start) if lead < start else None)
+        if m:
+            phone_to = m.end()
+            spans.append((m.start(), m.end(), PHONE))
+    m = _SSN.match(text, start)
+    found = (start, m.end(), ID_NUMBER) if m else _resident(text, start)
+    for span in (found, _english(text, start)):
+        if span:
+            spans.append(span)
+    return phone_to
 
 
 def find_in_text(original: str) -> list[Span]:
@@ -292,14 +435,22 @@ def find_in_text(original: str) -> list[Span]:
     text = original.translate(_PLAIN)
     spans: list[Span] = []
     names: list[Span] = []
-    called: list[int] = []
+    disguises: list[int] = []
+    phone_to = 0
     for end, entries in _automaton().iter(_lowered(text)):
         for kind, parse, size in entries:
             begin = end - size + 1
+            if kind == "digit":
+                if not begin or not text[begin - 1].isdigit():
+                    phone_to = _numbers(text, begin, spans, phone_to)
+                continue
             if kind == "at":
                 found = _email(text, end)
             elif kind == "disguise":
-                found = _disguised(text, end)
+                disguises.append(end)
+                continue
+            elif kind == "street":
+                found = parse(text, begin, end + 1)
             elif kind == "number":
                 if begin and text[begin - 1].isascii() and text[begin - 1].isalnum():
                     continue
@@ -307,8 +458,9 @@ def find_in_text(original: str) -> list[Span]:
                 m = parse.match(text, gap)
                 found = (m.start(), m.end(), ID_NUMBER) if m else None
             elif kind == "phone":
-                called.append(end + 1)
-                continue
+                gap = _CUE_GAP.match(text, end + 1).end()
+                m = _AFTER_CUE.match(text, gap) or _CALLED.match(text, gap)
+                found = (m.start(), m.end(), PHONE) if m else None
             elif kind == "left":
                 if begin and (text[begin - 1].isalnum() and text[begin].isascii()):
                     continue
@@ -317,14 +469,8 @@ def find_in_text(original: str) -> list[Span]:
                 found = _right(text, begin)
             if found:
                 (names if found[2] == NAME else spans).append(found)
-    if _DIGITS.search(text):
-        spans += [(m.start(), m.end(), PHONE) for m in _PHONE.finditer(text)]
-        spans += [(m.start(), m.end(), ID_NUMBER) for p in (_SSN, _RESIDENT) for m in p.finditer(text)]
-        for at in called:
-            m = _CALLED.match(text, re.compile(r"[\s:：.=]*").match(text, at).end())
-            if m:
-                spans.append((m.start(), m.end(), PHONE))
-        spans += _addresses(text)
+    if disguises:
+        spans += _disguised(text, disguises)
     closed = list(spans)
     for start, end, kind in spans:
         if kind == ADDRESS:
@@ -406,9 +552,13 @@ def personal_data(events: DataFrame, id_col: str = "row_id") -> DataFrame:
         for batch in batches:
             ids, fields, kinds, values = [], [], [], []
             seen: dict[str, list[Span]] = {}
+            read: dict[str, list[Span]] = {}
             for row, text, name in zip(batch[id_col].to_pylist(), batch["text"].to_pylist(), batch["name"].to_pylist(), strict=True):
                 if text:
-                    for kind, value in dict.fromkeys((k, text[a:b]) for a, b, k in find_in_text(text)):
+                    spans = read.get(text)
+                    if spans is None:
+                        spans = read[text] = find_in_text(text)
+                    for kind, value in dict.fromkeys((k, text[a:b]) for a, b, k in spans):
                         ids.append(row), fields.append("text"), kinds.append(kind), values.append(value)
                 if name:
                     spans = seen.get(name)
