@@ -83,10 +83,13 @@ def test_landing_reads_each_file_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text('{"i":1}\n{"i":2}\n')
     seen = []
-    landing.drain(landing.json_stream(spark, f"file://{tmp_path}/in", "i int", 1), lambda df, epoch: seen.append((epoch, df.count())), "drain")
+    landing.drain(landing.json_stream(spark, f"file://{tmp_path}/in", "i int", 1), lambda df, epoch: seen.append((epoch, df.count())), f"file://{tmp_path}/drained")
     assert seen == [(0, 2)]
-    landing.land(landing.json_stream(spark, f"file://{tmp_path}/in", "i int"), f"file://{tmp_path}/out")
-    assert spark.read.parquet(f"file://{tmp_path}/out").count() == 2
+    for n in (2, 2, 3):
+        if n == 3:
+            (tmp_path / "in" / "b.json").write_text('{"i":3}\n')
+        landing.land(landing.json_stream(spark, f"file://{tmp_path}/in", "i int"), f"file://{tmp_path}/out")
+        assert spark.read.parquet(f"file://{tmp_path}/out").count() == n
 
 
 def test_incremental_state(spark):
@@ -99,6 +102,32 @@ def test_incremental_state(spark):
     assert {r.id: r.segment for r in state.read().collect()} == {"a": 0, "c": 0, "d": 0, "b": 0, "z": 0}
 
 
+def test_incremental_state_survives_a_restart(spark, tmp_path):
+    make = lambda *r: spark.createDataFrame(list(r), "id string, parent string, thread string, ts_us bigint, row_id bigint")
+    path = f"file://{tmp_path}/state"
+    IncrementalSegments(spark, path).write_batch(make(("a", None, "t", 0, 1), ("b", None, "u", 0, 2)), 0)
+    (tmp_path / "state" / "commits" / "7").mkdir()  # a commit that was never finished
+    again = IncrementalSegments(spark, path)
+    assert again.read().count() == 2
+    again.write_batch(make(("lost", None, "t", 0, 9)), 0)
+    again.write_batch(make(("a", None, "v", 5, 3)), 1)  # moves to another thread
+    assert sorted((r.id, r.thread) for r in IncrementalSegments(spark, path).read().collect()) == [("a", "v"), ("b", "u")]
+
+
+def test_frozen_segments_take_no_late_messages(spark):
+    make = lambda *r: spark.createDataFrame(list(r), "id string, parent string, thread string, ts_us bigint, row_id bigint")
+    minute = 60_000_000
+    first = make(("a", None, "t", 0, 1), ("b", None, "t", 60 * minute, 2), ("n", None, "t", 48 * 60 * minute, 3))
+    late = make(("l", None, "t", minute, 4))
+    for hours, want in ((None, {"a": 0, "l": 0, "b": 1, "n": 2}), (24, {"a": 0, "b": 1, "l": 2, "n": 3})):
+        state = IncrementalSegments(spark, thaw_hours=hours)
+        state.update(first)
+        state.update(late)
+        assert {r.id: r.segment for r in state.read().collect()} == want
+    state.update(make(("r", "a", "t", 2 * minute, 5)))  # a reply thaws the segment of a
+    assert {r.id: r.segment for r in state.read().collect()} == {"b": 1, "l": 2, "a": 3, "r": 3, "n": 4}
+
+
 def test_freeze_and_resume(spark):
     hour = 3_600_000_000
     tasks = spark.createDataFrame([("old", True, 0), ("new", True, 30 * hour), ("open", False, 0), ("back", True, 0)], "task string, terminal boolean, last_us bigint")

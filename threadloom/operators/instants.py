@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions.ids import stripped
-from threadloom.session import scratch_path
+from threadloom.session import path_exists, scratch_path
 
 FIRST_US = 1_577_836_800_000_000
 """2020-01-01 in microseconds; earlier values denote no instant."""
@@ -86,6 +86,15 @@ def _zone_names() -> tuple[str, ...]:
     return tuple(sorted(n for n in zoneinfo.available_timezones() if "/" in n))
 
 
+SHORTEST = 8
+"""Characters of the shortest text that denotes an instant, a date without separators."""
+
+
+def may_denote(raw: Column) -> Column:
+    """Whether a text is long enough to denote an instant; ``parse_texts`` gives none for others."""
+    return F.length(raw) >= SHORTEST
+
+
 def _known(zone: Column) -> Column:
     return zone.isin(*_zone_names(), "UTC", "GMT")
 
@@ -158,7 +167,7 @@ def parse_texts(values: DataFrame, raw: str = "raw", zone: str = "zone", month_f
     e = F.col("__epoch")
     scale = F.when(e < 100_000_000_000, F.lit(1_000_000)).when(e < 100_000_000_000_000, F.lit(1000)).when(e < 100_000_000_000_000_000, F.lit(1)).otherwise(F.lit(0))
     epoch_us = F.when(scale > 0, F.floor(e.cast("decimal(26,9)") * scale)).otherwise(F.floor(e / 1000)).try_cast("bigint")
-    instant = F.when(e.isNotNull(), epoch_us).when(fixed.isNotNull(), F.col("__local") - fixed.cast("bigint") * 1_000_000).otherwise(by_zone)
+    instant = F.when(~may_denote(F.col(raw)), F.lit(None)).when(e.isNotNull(), epoch_us).when(fixed.isNotNull(), F.col("__local") - fixed.cast("bigint") * 1_000_000).otherwise(by_zone)
     helpers = ["__s", "__p", "__epoch", "__local", "__fixed", "__region", "__abbr", "__clock", "__offset"]
     return df.withColumn("instant_us", in_range(instant)).drop(*helpers)
 
@@ -175,14 +184,8 @@ class InstantDictionary:
     def __init__(self, spark: SparkSession, path: str | None = None) -> None:
         self.spark = spark
         self.path = path or scratch_path(spark, "instants")
-        self._written = path is not None and self._exists()
-
-    def _exists(self) -> bool:
-        try:
-            self.spark.read.parquet(self.path)
-        except Exception:  # noqa: BLE001 - no table yet, in whatever file system
-            return False
-        return True
+        self.shared = path is not None
+        self._written = path is not None and path_exists(spark, path)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema("raw string, zone string, month_first boolean, instant_us bigint").parquet(self.path)
@@ -202,6 +205,8 @@ class InstantDictionary:
         join, which adaptive execution splits.
         """
         known = self.read().where("instant_us is not null")
+        if self.shared:  # two updates at once may both have added a text
+            known = known.dropDuplicates(list(self.KEY))
         same = [rows["raw"] == known["raw"], rows["zone"].eqNullSafe(known["zone"]), rows["month_first"] == known["month_first"]]
         return rows.join(known, reduce(lambda a, b: a & b, same)).select(*(rows[c] for c in rows.columns), known["instant_us"])
 
@@ -223,8 +228,7 @@ def instants(events: DataFrame, groups: DataFrame, dictionary: InstantDictionary
     own = dictionary or InstantDictionary(events.sparkSession)
     numbers = events.select("row_id", F.lit("ts").alias("field_name"), number_to_us(F.col("ts")).alias("instant_us")).where("instant_us is not null")
     texts = with_zone(events.select("row_id", "group_id", F.col("created_at").alias("raw")).where("raw is not null"), groups)
-    # A date takes eight characters at least; shorter texts denote no instant and need no look-up.
-    texts = texts.where(F.length("raw") >= 8).select("row_id", "raw", "zone", "month_first")
+    texts = texts.where(may_denote(F.col("raw"))).select("row_id", "raw", "zone", "month_first")
     own.update(texts)
     found = own.lookup(texts).select("row_id", F.lit("created_at").alias("field_name"), "instant_us")
     return numbers.unionByName(found)

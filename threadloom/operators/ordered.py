@@ -13,38 +13,60 @@ from pyspark.sql import functions as F
 
 from threadloom.session import materialise
 
-SUM, MAX, LAST, LAG, COUNT = "sum", "max", "last", "lag", "count"
+SUM, MAX, LAST, LAG, LEAD, COUNT = "sum", "max", "last", "lag", "lead", "count"
 _PART = "__part"
 
 
+def ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``df`` cut into ranges of keys and order once, for several calls of ``running``.
+
+    Give it the columns that are needed, as all of them are written. ``whole``
+    takes the mark of the ranges off again. Rows that are in ranges stay so.
+    """
+    if _PART in df.columns:
+        return df
+    return materialise(df.repartitionByRange(*keys, *order).withColumn(_PART, F.spark_partition_id()), "ordered")
+
+
+def whole(df: DataFrame) -> DataFrame:
+    return df.drop(_PART)
+
+
 def running(df: DataFrame, keys: list[str], order: list[str], values: dict[str, tuple[str, Column]]) -> DataFrame:
     """Adds one column per entry of ``values``, in the order of ``order`` within ``keys``.
 
     ``sum``, ``max`` and ``count`` run up to and including the row, ``last`` is
     the last value that is not null up to and including it, ``lag`` the value
-    of the row before. ``order`` must be total within a key for a defined result.
+    of the row before, ``lead`` that of the row after. ``order`` must be total
+    within a key for a defined result. Rows from ``ranged``, by the same keys
+    and order, stay where they are.
     """
-    ranged = df.withColumns({f"__{n}": c for n, (_, c) in values.items()}).repartitionByRange(*keys, *order)
-    ranged = materialise(ranged.withColumn(_PART, F.spark_partition_id()), "ordered")
+    named = df.withColumns({f"__{n}": c for n, (_, c) in values.items()})
+    rows_ = named if _PART in df.columns else ranged(named, keys, order)
     inside = Window.partitionBy(*keys, _PART).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    own, whole = {}, {}
+    own, total = {}, {}
     for name, (kind, _) in values.items():
         c = F.col(f"__{name}")
         if kind == SUM:
-            own[f"__o_{name}"], whole[f"__w_{name}"] = F.sum(c).over(upto), F.sum(c)
+            own[f"__o_{name}"], total[f"__w_{name}"] = F.sum(c).over(upto), F.sum(c)
         elif kind == COUNT:
-            own[f"__o_{name}"], whole[f"__w_{name}"] = F.count(c).over(upto), F.count(c)
+            own[f"__o_{name}"], total[f"__w_{name}"] = F.count(c).over(upto), F.count(c)
         elif kind == MAX:
-            own[f"__o_{name}"], whole[f"__w_{name}"] = F.max(c).over(upto), F.max(c)
+            own[f"__o_{name}"], total[f"__w_{name}"] = F.max(c).over(upto), F.max(c)
         elif kind == LAST:
             own[f"__o_{name}"] = F.last(c, ignorenulls=True).over(upto)
-            whole[f"__w_{name}"] = F.max_by(c, F.when(c.isNotNull(), F.struct(*order)))
+            total[f"__w_{name}"] = F.max_by(c, F.when(c.isNotNull(), F.struct(*order)))
+        elif kind == LEAD:
+            own[f"__o_{name}"] = F.lead(c).over(inside)
+            total[f"__w_{name}"] = F.min_by(c, F.struct(*order))
         else:
             own[f"__o_{name}"] = F.lag(c).over(inside)
-            whole[f"__w_{name}"] = F.max_by(c, F.struct(*order))
-    rows = ranged.withColumns(own | {"__first": F.row_number().over(inside) == 1})
-    per = ranged.groupBy(*keys, _PART).agg(*(c.alias(n) for n, c in whole.items()))
+            total[f"__w_{name}"] = F.max_by(c, F.struct(*order))
+    if any(kind == LEAD for kind, _ in values.values()):
+        own["__last"] = F.lead(F.lit(True)).over(inside).isNull()
+    rows = rows_.withColumns(own | {"__first": F.row_number().over(inside) == 1})
+    per = rows_.groupBy(*keys, _PART).agg(*(c.alias(n) for n, c in total.items()))
     earlier = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     nearest = Window.partitionBy(*keys).orderBy(_PART)
     before = {}
@@ -52,7 +74,7 @@ def running(df: DataFrame, keys: list[str], order: list[str], values: dict[str,
         c = F.col(f"__w_{name}")
         before[f"__b_{name}"] = (
             F.sum(c).over(earlier) if kind in (SUM, COUNT) else F.max(c).over(earlier) if kind == MAX
-            else F.last(c, ignorenulls=True).over(earlier) if kind == LAST else F.lag(c).over(nearest)
+            else F.last(c, ignorenulls=True).over(earlier) if kind == LAST else F.lead(c).over(nearest) if kind == LEAD else F.lag(c).over(nearest)
         )
     offsets = per.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col(_PART).alias("__p"), *(c.alias(n) for n, c in before.items()))
     same = [rows[k].eqNullSafe(offsets[f"__k{i}"]) for i, k in enumerate(keys)]
@@ -66,6 +88,8 @@ def running(df: DataFrame, keys: list[str], order: list[str], values: dict[str,
             out[name] = F.greatest(o, b)
         elif kind == LAST:
             out[name] = F.coalesce(o, b)
+        elif kind == LEAD:
+            out[name] = F.when(F.col("__last"), b).otherwise(o)
         else:
             out[name] = F.when(F.col("__first"), b).otherwise(o)
     return joined.withColumns(out).select(*(c for c in df.columns if c not in out), *out)

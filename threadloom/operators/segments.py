@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.operators.ordered import COUNT, LAG, LAST, MAX, SUM, running
+from threadloom.operators.ordered import COUNT, LAG, LAST, LEAD, MAX, SUM, ranged, running, whole
 
 GAP_SECONDS = 1800
 
@@ -18,9 +18,9 @@ def smoothed_topics(rows: DataFrame, keys: list[str], order: list[str], topic: s
 
 def gap_segments(rows: DataFrame, keys: list[str], order: list[str], seconds: Column, gap: int = GAP_SECONDS) -> DataFrame:
     """Adds ``segment`` from 0: a new one after a pause of ``gap`` seconds or more."""
-    before = running(rows, keys, order, {"__before": (LAG, seconds)})
+    before = running(ranged(rows, keys, order), keys, order, {"__before": (LAG, seconds)})
     cut = F.coalesce((seconds - F.col("__before") >= gap).cast("int"), F.lit(0))
-    return running(before, keys, order, {"segment": (SUM, cut)}).drop("__before").withColumn("segment", F.col("segment").cast("bigint"))
+    return whole(running(before, keys, order, {"segment": (SUM, cut)})).drop("__before").withColumn("segment", F.col("segment").cast("bigint"))
 
 
 def topic_segments(rows: DataFrame, keys: list[str], order: list[str], seconds: Column, effective: str, gap: int = GAP_SECONDS) -> DataFrame:
@@ -29,14 +29,10 @@ def topic_segments(rows: DataFrame, keys: list[str], order: list[str], seconds:
     A change on the last row of a key always cuts. The row before stands for
     the running topic of the segment, confirmed or not.
     """
-    reverse = [f"__r{i}" for i in range(len(order))]
-    rows = running(rows, keys, order, {"__before": (LAG, seconds), "__topic": (LAG, F.col(effective))})
-    # The next row is the one before in reverse order.
-    flipped = rows.withColumns({r: (-F.col(o).cast("double")).cast("double") for r, o in zip(reverse, order, strict=True)})
-    flipped = running(flipped, keys, reverse, {"__next": (LAG, F.col(effective))}).drop(*reverse)
+    rows = running(ranged(rows, keys, order), keys, order, {"__before": (LAG, seconds), "__topic": (LAG, F.col(effective)), "__next": (LEAD, F.col(effective))})
     changed = F.col("__topic").isNotNull() & (F.col(effective) != F.col("__topic")) & (F.col("__next").isNull() | (F.col("__next") == F.col(effective)))
     cut = F.coalesce((seconds - F.col("__before") >= gap), F.lit(False)) | F.coalesce(changed, F.lit(False))
-    return running(flipped, keys, order, {"segment": (SUM, cut.cast("int"))}).drop("__before", "__topic", "__next").withColumn("segment", F.col("segment").cast("bigint"))
+    return whole(running(rows, keys, order, {"segment": (SUM, cut.cast("int"))})).drop("__before", "__topic", "__next").withColumn("segment", F.col("segment").cast("bigint"))
 
 
 def labels(rows: DataFrame, keys: list[str], order: list[str], topic: str, noise: Column) -> DataFrame:
@@ -65,17 +61,17 @@ def partition_faults(rows: DataFrame, segmented: DataFrame, keys: list[str], row
 
 def epochs(rows: DataFrame, keys: list[str], order: list[str], is_history: Column) -> DataFrame:
     """Adds ``epoch`` (history rows so far) and ``history_at``, the place of the latest one."""
-    place = running(rows, keys, order, {"epoch": (SUM, is_history.cast("int")), "turn": (COUNT, F.lit(1))})
-    return running(place, keys, order, {"history_at": (LAST, F.when(is_history, F.col("turn")))}).withColumns(
+    place = running(ranged(rows, keys, order), keys, order, {"epoch": (SUM, is_history.cast("int")), "turn": (COUNT, F.lit(1))})
+    return whole(running(place, keys, order, {"history_at": (LAST, F.when(is_history, F.col("turn")))})).withColumns(
         {"epoch": F.coalesce("epoch", F.lit(0)).cast("bigint"), "turn": F.col("turn").cast("bigint"), "history_at": F.col("history_at").cast("bigint")}
     )
 
 
 def increasing(rows: DataFrame, keys: list[str], order: list[str], base: str) -> DataFrame:
     """Adds ``unique_value``: at least ``base`` and above every earlier one."""
-    n = running(rows, keys, order, {"__n": (COUNT, F.lit(1))})
+    n = running(ranged(rows, keys, order), keys, order, {"__n": (COUNT, F.lit(1))})
     top = running(n, keys, order, {"__top": (MAX, F.col(base) - F.col("__n"))})
-    return top.withColumn("unique_value", (F.col("__n") + F.col("__top")).cast("bigint")).drop("__n", "__top")
+    return whole(top).withColumn("unique_value", (F.col("__n") + F.col("__top")).cast("bigint")).drop("__n", "__top")
 
 
 def intervals(starts: DataFrame, keys: list[str], start: str, last: str) -> DataFrame:
@@ -113,12 +109,9 @@ def atomic_segments(rows: DataFrame, keys: list[str], order: list[str], seconds:
     A topic settles where two rows on end have it; until the next one settles
     all rows belong to it. The first row of a key settles its own.
     """
-    reverse = [f"__r{i}" for i in range(len(order))]
-    placed = running(rows, keys, order, {"__before": (LAG, seconds), "__n": (COUNT, F.lit(1))})
-    flipped = placed.withColumns({r: -F.col(o).cast("double") for r, o in zip(reverse, order, strict=True)})
-    flipped = running(flipped, keys, reverse, {"__next": (LAG, F.col(topic))}).drop(*reverse)
+    placed = running(ranged(rows, keys, order), keys, order, {"__before": (LAG, seconds), "__n": (COUNT, F.lit(1)), "__next": (LEAD, F.col(topic))})
     sure = F.coalesce(F.col("__next") == F.col(topic), F.lit(False)) | (F.col("__n") == 1)
-    filled = running(flipped, keys, order, {"settled": (LAST, F.when(sure, F.col(topic)))})
+    filled = running(placed, keys, order, {"settled": (LAST, F.when(sure, F.col(topic)))})
     previous = running(filled, keys, order, {"__settled": (LAG, F.col("settled"))})
     cut = F.coalesce(seconds - F.col("__before") >= gap, F.lit(False)) | F.coalesce(F.col("settled") != F.col("__settled"), F.lit(False))
-    return running(previous, keys, order, {"segment": (SUM, cut.cast("int"))}).drop("__before", "__n", "__next", "__settled").withColumn("segment", F.col("segment").cast("bigint"))
+    return whole(running(previous, keys, order, {"segment": (SUM, cut.cast("int"))})).drop("__before", "__n", "__next", "__settled").withColumn("segment", F.col("segment").cast("bigint"))

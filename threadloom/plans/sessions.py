@@ -25,7 +25,7 @@ def _seconds():
     SELECT id, thread, CAST(sum(CASE WHEN ts_us - p >= 1800000000 THEN 1 ELSE 0 END) OVER (PARTITION BY thread ORDER BY ts_us, row_id) AS BIGINT) AS segment FROM b""",
 )
 def event_gap_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segments.gap_segments(threaded(spark, sf_dir), ["thread"], ORDER, _seconds()).select("id", "thread", "segment")
+    return segments.gap_segments(threaded(spark, sf_dir, "id"), ["thread"], ORDER, _seconds()).select("id", "thread", "segment")
 
 
 _TOPIC = """, e0 AS (SELECT *, CASE WHEN kind IS NOT NULL THEN task_id END AS tp FROM t),
@@ -35,15 +35,15 @@ _TOPIC = """, e0 AS (SELECT *, CASE WHEN kind IS NOT NULL THEN task_id END AS tp
 """
 
 
-def _topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = threaded(spark, sf_dir)
+def _topics(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    rows = ordered.ranged(threaded(spark, sf_dir, "task_id", "kind", *more), ["thread"], ORDER)
     smooth = segments.smoothed_topics(rows, ["thread"], ORDER, "task_id", F.col("kind").isNull())
     return segments.topic_segments(smooth, ["thread"], ORDER, _seconds(), "effective")
 
 
 @query("topic_forward_fill", _W + _TOPIC + "SELECT id, effective FROM e1")
 def topic_forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segments.smoothed_topics(threaded(spark, sf_dir), ["thread"], ORDER, "task_id", F.col("kind").isNull()).select("id", "effective")
+    return segments.smoothed_topics(threaded(spark, sf_dir, "task_id", "kind"), ["thread"], ORDER, "task_id", F.col("kind").isNull()).select("id", "effective")
 
 
 @query("topic_confirmed_segments", _W + _TOPIC + "SELECT id, thread, effective, segment FROM e3")
@@ -59,12 +59,12 @@ def topic_confirmed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT f.thread, f.segment, n_rows, effective AS dominant, first_text FROM f JOIN d ON f.thread = d.thread AND f.segment = d.segment AND d.rn = 1""",
 )
 def segment_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segments.labels(_topics(spark, sf_dir), ["thread"], ORDER, "effective", F.col("kind").isNull())
+    return segments.labels(_topics(spark, sf_dir, "text"), ["thread"], ORDER, "effective", F.col("kind").isNull())
 
 
 @query("segment_partition_check", "SELECT 0::BIGINT AS lost, 0::BIGINT AS invented, 0::BIGINT AS doubled, 0::BIGINT AS unordered")
 def segment_partition_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segments.partition_faults(threaded(spark, sf_dir), _topics(spark, sf_dir), ["thread"], "id", "ts_us")
+    return segments.partition_faults(threaded(spark, sf_dir, "id"), _topics(spark, sf_dir), ["thread"], "id", "ts_us")
 
 
 @query(
@@ -75,7 +75,7 @@ def segment_partition_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def history_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_history = F.coalesce(F.col("kind") == "helper", F.lit(False))
-    return segments.epochs(threaded(spark, sf_dir), ["thread"], ORDER, is_history).select("id", "turn", "epoch", "history_at")
+    return segments.epochs(threaded(spark, sf_dir, "kind"), ["thread"], ORDER, is_history).select("id", "turn", "epoch", "history_at")
 
 
 @query(
@@ -84,7 +84,7 @@ def history_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT id, CAST(rn + max(base - rn) OVER (PARTITION BY thread ORDER BY ts_us, row_id) AS BIGINT) AS unique_value FROM n""",
 )
 def unique_increasing_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = threaded(spark, sf_dir).withColumn("base", F.floor(F.col("ts_us") / 3_600_000_000))
+    rows = threaded(spark, sf_dir, "id").withColumn("base", F.floor(F.col("ts_us") / 3_600_000_000))
     return segments.increasing(rows, ["thread"], ORDER, "base").select("id", "unique_value")
 
 
@@ -95,7 +95,7 @@ def unique_increasing_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT thread, pos AS lo, coalesce(lead(pos) OVER (PARTITION BY thread ORDER BY pos) - 1, last) AS hi FROM s""",
 )
 def boundary_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ordered.numbered(threaded(spark, sf_dir), ["thread"], ORDER)
+    rows = ordered.numbered(threaded(spark, sf_dir, "kind"), ["thread"], ORDER)
     last = rows.groupBy("thread").agg(F.max("pos").alias("last"))
     starts = rows.where("kind is null or pos = 1").join(last, "thread").select("thread", "pos", "last")
     return segments.intervals(starts, ["thread"], "pos", "last")
@@ -390,7 +390,7 @@ def context_window_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three rows before to two after every user message."""
     from threadloom.operators import context
 
-    rows = ordered.numbered(threaded(spark, sf_dir), ["thread"], ORDER)
+    rows = ordered.numbered(threaded(spark, sf_dir, "role"), ["thread"], ORDER)
     anchors = rows.where(T.is_user(F.col("role"))).select("thread", F.col("pos").alias("at"), F.col("id").alias("anchor"))
     return context.window_around(rows.select("thread", "pos", "id"), anchors, ["thread"], 3, 2).select("anchor", "id", "off")
 
@@ -405,6 +405,6 @@ def context_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 80 rows of the lane strictly before every user message."""
     from threadloom.operators import context
 
-    rows = ordered.numbered(threaded(spark, sf_dir), ["thread"], ORDER)
+    rows = ordered.numbered(threaded(spark, sf_dir, "role"), ["thread"], ORDER)
     anchors = rows.where(T.is_user(F.col("role"))).select("thread", F.col("pos").alias("at"), F.col("id").alias("anchor"))
     return context.counted_before(anchors, ["thread"], 80).select("anchor", "n_context", "first_pos")

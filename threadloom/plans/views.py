@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as T
@@ -14,18 +14,42 @@ from threadloom.plans.core import _SQL_TRIM, sql_id
 COLUMNS = ["row_id", "msg_id", "parent_id", "group_id", "thread_id", "task_id", "role", "who", "name", "kind", "text", "ts"]
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per identifier, its first delivery, with normalised columns."""
+def _normalised(name: str) -> Column:
+    """A column of the view, under its own name."""
+    made = {"id": (identifier, "msg_id"), "parent": (parent_identifier, "parent_id"), "role": (T.role, "role"), "ts_us": (number_to_us, "ts")}
+    if name not in made:
+        return F.col(name)
+    change, source = made[name]
+    return change(F.col(source)).alias(name)
+
+
+_ALL = ("id", "parent", "row_id", "group_id", "thread_id", "task_id", "role", "who", "name", "kind", "text", "ts_us")
+
+
+def messages(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """One row per identifier, its first delivery, with normalised columns.
+
+    Named narrow columns are taken by one aggregation; with texts the wide rows
+    stay where they are and deletion vectors take the later deliveries away.
+    """
+    if columns and "text" not in columns:
+        wanted = [c for c in dict.fromkeys(columns) if c not in ("id", "row_id")]
+        rows = spark.read.parquet(f"{sf_dir}/chat_events.parquet").select(_normalised("id"), F.struct("row_id", *map(_normalised, wanted)).alias("r"))
+        return rows.where("id is not null").groupBy("id").agg(F.min("r").alias("r")).select("id", "r.*")
     rows = delivery.mark_deliveries(spark, f"{sf_dir}/chat_events.parquet", COLUMNS).where("__keep and __has_id")
-    return rows.select(
-        identifier(F.col("msg_id")).alias("id"), parent_identifier(F.col("parent_id")).alias("parent"), "row_id", "group_id", "thread_id", "task_id",
-        T.role(F.col("role")).alias("role"), "who", "name", "kind", "text", number_to_us(F.col("ts")).alias("ts_us"),
-    )
+    rows = rows.select(*map(_normalised, _ALL))
+    return rows.select(*dict.fromkeys(("id", *columns))) if columns else rows
+
 
+def threaded(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Messages with a time, under the thread they belong to (else their group).
 
-def threaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages with a time, under the thread they belong to (else their group)."""
-    return messages(spark, sf_dir).where("ts_us is not null").withColumn("thread", F.coalesce("thread_id", "group_id"))
+    ``columns`` are those wanted besides id, thread, ts_us and row_id; all
+    unless named.
+    """
+    names = ("id", "row_id", "ts_us", "thread_id", "group_id", *columns) if columns else ()
+    rows = messages(spark, sf_dir, *names).where("ts_us is not null").withColumn("thread", F.coalesce("thread_id", "group_id"))
+    return rows.select(*dict.fromkeys(("id", "thread", "ts_us", "row_id", *columns))) if columns else rows
 
 
 SQL_MESSAGES = f"""

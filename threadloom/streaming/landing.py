@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.session import scratch_path
-
 
 def json_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int = 100) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
@@ -17,17 +15,22 @@ def parquet_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def drain(stream: DataFrame, write_batch, label: str) -> None:
-    """Runs a stream over all that is there; the checkpoint lies in the shared folder."""
-    query = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", scratch_path(stream.sparkSession, label)).trigger(availableNow=True).start()
+def drain(stream: DataFrame, write_batch, checkpoint: str) -> None:
+    """Runs a stream over all that is there and was not read under ``checkpoint`` before.
+
+    The checkpoint is a folder that all executors share. After a failure the
+    last batch comes again with its number, so ``write_batch`` must know it.
+    """
+    query = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def land(stream: DataFrame, path: str, label: str = "landing") -> None:
-    """Appends a stream to a table of files, each input file once."""
-    query = (
-        stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", scratch_path(stream.sparkSession, label)).outputMode("append").trigger(availableNow=True).start()
-    )
+def land(stream: DataFrame, path: str, checkpoint: str | None = None) -> None:
+    """Appends a stream to a table of files, each input file once, over any number of calls.
+
+    What was read stands in ``checkpoint``, beside the table unless given.
+    """
+    query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint or f"{path.rstrip('/')}-checkpoint").outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
 
 
