@@ -44,20 +44,21 @@ def thread_times(threads: DataFrame) -> DataFrame:
     return threads.withColumns({c: ms(c) for c in ("created_at", "updated_at", "archived_at")})
 
 
-def metadata_fold(items: DataFrame) -> DataFrame:
-    """Per thread, from its ordered items: counts, the first and the last of each fact.
+def metadata_fold(rows: DataFrame) -> DataFrame:
+    """(thread_id, model, first_user_message, title, tokens_used) folded from the ordered rows of a rollout.
 
-    Items that do not parse count as errors and change nothing.
+    ``rows`` has thread_id, at, kind, meta_id, model, text, tokens. Session
+    rows that name another thread count for nothing; the latest model of a turn
+    counts, the first text of a user that is not blank, which also gives the
+    title once, and the last token total, not below zero.
     """
-    v = F.try_parse_json("item_json")
-    kind = F.try_variant_get(v, "$.type", "string")
-    text = F.try_variant_get(v, "$.text", "string")
-    rows = items.select("thread_id", F.struct("rollout_ordinal", "turn_id", "item_id").alias("at"), v.isNull().alias("bad"), kind.alias("kind"), text.alias("text"))
-    said = (F.col("kind") == "agent_message") & F.col("text").isNotNull()
-    return rows.groupBy("thread_id").agg(
-        F.count("*").alias("n_items"), F.count_if("bad").alias("n_bad"), F.count_if(F.col("kind") == "error").alias("n_errors"),
-        F.substring(F.min_by("text", F.when(said, F.col("at"))), 1, 60).alias("first_text"), F.substring(F.max_by("text", F.when(said, F.col("at"))), 1, 60).alias("last_text"),
-    )
+    own = rows.where((F.col("kind") != "session_meta") | F.coalesce(F.col("meta_id") == F.col("thread_id"), F.lit(False)))
+    kind = F.col("kind")
+    model = F.when(kind.isin("turn_context", "session_meta") & F.col("model").isNotNull(), F.struct("at", "model"))
+    said = F.when((kind == "user_message") & (F.trim("text") != ""), F.struct("at", "text"))
+    tokens = F.when((kind == "token_count") & F.col("tokens").isNotNull(), F.struct("at", "tokens"))
+    g = own.groupBy("thread_id").agg(F.max(model)["model"].alias("model"), F.min(said)["text"].alias("first_user_message"), F.greatest(F.lit(0), F.coalesce(F.max(tokens)["tokens"], F.lit(0))).alias("tokens_used"))
+    return g.withColumn("title", F.substring("first_user_message", 1, 60)).select("thread_id", "model", "first_user_message", "title", "tokens_used")
 
 
 def names(threads: DataFrame, index: DataFrame) -> DataFrame:
@@ -68,11 +69,11 @@ def names(threads: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def search(items: DataFrame, listing: DataFrame, term: str, page: int) -> DataFrame:
-    """Threads whose items hold ``term``, newest first, with a snippet of the first hit."""
+    """Threads whose items hold ``term``, newest first, with a snippet of the first hit; one more than a page tells of the next."""
     hit = T.snippet(F.col("item_json"), term)
     hits = items.select("thread_id", "rollout_ordinal", hit.alias("snippet")).where("snippet is not null")
     first = hits.groupBy("thread_id").agg(F.min_by("snippet", F.struct("rollout_ordinal", "snippet")).alias("snippet"), F.count("*").alias("n_hits"))
-    return listing.join(first, F.col("id") == F.col("thread_id")).orderBy(F.col("updated_at").desc(), F.col("id").desc()).limit(page)
+    return listing.join(first, F.col("id") == F.col("thread_id")).orderBy(F.col("updated_at").desc(), F.col("id").desc()).limit(page + 1)
 
 
 def new_files(candidates: DataFrame, ledger: DataFrame) -> DataFrame:

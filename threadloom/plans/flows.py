@@ -240,7 +240,14 @@ def chat_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trajectories.chat_steps(threaded(spark, sf_dir, "role"), ["thread"], ["ts_us", "row_id"])
 
 
-@query("assistant_texts")
+@query(
+    "assistant_texts",
+    """WITH s AS (SELECT trace_id, unnest(steps) AS s, generate_subscripts(steps, 1) - 1 AS pos FROM trajectory), o AS (SELECT trace_id, pos, s.output_messages AS o FROM s WHERE s.output_messages IS NOT NULL),
+    j AS (SELECT *, CASE WHEN json_valid(o) THEN CAST(o AS JSON) END AS j FROM o),
+    t AS (SELECT trace_id, pos, list_transform(list_filter(CAST(j AS JSON[]), lambda m: (m ->> '$.role') = 'assistant' AND json_type(m, '$.content') NOT IN ('NULL')), lambda m: CASE WHEN json_type(m, '$.content') = 'ARRAY'
+      THEN coalesce(array_to_string(list_transform(CAST(m -> '$.content' AS JSON[]), lambda p: p ->> '$.text'), ''), '') ELSE m ->> '$.content' END) AS x FROM j WHERE json_type(j) = 'ARRAY')
+    SELECT j.trace_id, j.pos, CASE WHEN j IS NULL THEN o WHEN json_type(j) = 'ARRAY' THEN coalesce(array_to_string(x, chr(10)), '') END AS said FROM j LEFT JOIN t ON t.trace_id = j.trace_id AND t.pos = j.pos""",
+)
 def assistant_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = trajectories.step_rows(table(spark, sf_dir, "trajectory")).where("output_messages is not null")
     return steps.select("trace_id", "pos", trajectories.assistant_text(F.col("output_messages")).alias("said"))

@@ -54,18 +54,29 @@ def merged_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.merged_clusters(clusters, merge_map, 12)
 
 
-@query("answer_messages")
+@query(
+    "answer_messages",
+    r"""WITH v AS (SELECT thread_id AS call, rollout_ordinal AS pos, item_json, CASE WHEN json_valid(item_json) THEN CAST(item_json AS JSON) END AS j FROM thread_items), k AS (SELECT *, CASE WHEN json_type(j) = 'OBJECT' THEN j ->> '$.type' END AS kind FROM v)
+    SELECT call, pos, 'system' AS role, CASE WHEN json_type(j) = 'OBJECT' THEN j ->> '$.name' END AS name, item_json AS content FROM k WHERE kind IS DISTINCT FROM 'reasoning'""",
+)
 def answer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Thread items read as items of an answer."""
     items = table(spark, sf_dir, "thread_items").select(F.col("thread_id").alias("call"), F.col("rollout_ordinal").alias("pos"), F.col("item_json").alias("item"))
     return S.response_items(items)
 
 
-@query("document_sections")
+@query(
+    "document_sections",
+    r"""WITH p AS (SELECT doc_id, list_filter(string_split(regexp_replace(text, '(?m)^(#{1,6} )', chr(1) || '\1', 'g'), chr(1)), lambda x: trim(x, ' ') <> '') AS x FROM documents WHERE text IS NOT NULL),
+    s AS (SELECT doc_id, unnest(x) AS s, generate_subscripts(x, 1) - 1 AS section FROM p) SELECT doc_id, CAST(section AS INT) AS section, regexp_extract(s, '^#{1,6} ([^\r\n]*)', 1) AS heading FROM s""",
+)
 def document_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.sections(table(spark, sf_dir, "documents").where("text is not null"), "doc_id", "text").select("doc_id", "section", "heading")
 
 
-@query("rough_token_counts")
+@query(
+    "rough_token_counts",
+    r"""SELECT doc_id, CAST(len(regexp_extract_all(text, '[\x{2E80}-\x{FFFF}]|[^ \t\n\x0B\f\r\x{2E80}-\x{FFFF}!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]')) AS INT) AS n FROM documents""",
+)
 def rough_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", jobs.rough_tokens(F.col("text")).alias("n"))

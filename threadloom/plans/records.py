@@ -62,7 +62,11 @@ def pii_pseudonym(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "chat_events").select("row_id", T.pseudonym(F.col("who"), "WHO").alias("code"))
 
 
-@query("pii_pseudonyms_in_text")
+@query(
+    "pii_pseudonyms_in_text",
+    r"""WITH f AS (SELECT row_id, text, list_sort(list_transform(list_distinct(regexp_extract_all(text, '[a-z]+/[a-z_-]+\.[a-z]+')), lambda v: {'n': -length(v), 'v': v})) AS x FROM chat_events)
+    SELECT row_id, CASE WHEN len(x) > 0 THEN list_reduce(list_transform(x, lambda s: s.v), lambda a, v: replace(a, v, '<FILE_' || substr(sha1(v), 1, 8) || '>'), text) ELSE text END AS coded FROM f""",
+)
 def pii_pseudonyms_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every token that looks like a task file, replaced by a stable code inside the text."""
     return table(spark, sf_dir, "chat_events").select("row_id", T.with_pseudonyms(F.col("text"), r"[a-z]+/[a-z_-]+\.[a-z]+", "FILE").alias("coded"))
@@ -356,9 +360,27 @@ def thread_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.join(table(spark, sf_dir, "thread_items").select(F.col("thread_id").alias("id")), "id", "left_semi").select("id", "created_at", "updated_at")
 
 
-@query("metadata_fold")
+@query(
+    "metadata_fold",
+    """WITH t AS (SELECT * FROM trajectory WHERE thread_id IS NOT NULL), u AS (SELECT thread_id, start_ns, trace_id, unnest(messages) AS m, generate_subscripts(messages, 1) AS i FROM t),
+    r AS (SELECT thread_id, (start_ns, trace_id, 0) AS spot, 'turn_context' AS kind, model, CAST(NULL AS VARCHAR) AS text, CAST(NULL AS BIGINT) AS tokens FROM t
+      UNION ALL SELECT thread_id, (start_ns, trace_id, i), 'user_message', NULL, m.content, NULL FROM u WHERE m.role = 'user'
+      UNION ALL SELECT thread_id, (start_ns, trace_id, 1000000), 'token_count', NULL, NULL, CASE WHEN tokens IS NOT NULL AND cardinality(tokens) > 0 THEN CAST(list_sum(map_values(tokens)) AS BIGINT) END FROM t)
+    SELECT thread_id, arg_max(model, spot) FILTER (WHERE kind = 'turn_context' AND model IS NOT NULL) AS model, arg_min(text, spot) FILTER (WHERE kind = 'user_message' AND trim(text, ' ') <> '') AS first_user_message,
+      substr(arg_min(text, spot) FILTER (WHERE kind = 'user_message' AND trim(text, ' ') <> ''), 1, 60) AS title, greatest(0, coalesce(arg_max(tokens, spot) FILTER (WHERE kind = 'token_count' AND tokens IS NOT NULL), 0)) AS tokens_used FROM r GROUP BY 1""",
+)
 def metadata_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return store.metadata_fold(table(spark, sf_dir, "thread_items"))
+    """The traces of a thread as its rollout: models, what the user said, tokens."""
+    t = table(spark, sf_dir, "trajectory").where("thread_id is not null")
+    none = F.lit(None).cast("string")
+    row = lambda df, k, kind, model=none, text=none, tokens=None: df.select(
+        "thread_id", F.struct(F.col("start_ns").alias("a"), F.col("trace_id").alias("b"), F.lit(k).cast("int").alias("c") if isinstance(k, int) else k.cast("int").alias("c")).alias("at"), F.lit(kind).alias("kind"),
+        none.alias("meta_id"), model.alias("model"), text.alias("text"), (F.lit(None) if tokens is None else tokens).cast("bigint").alias("tokens"),
+    )
+    said = t.select("thread_id", "start_ns", "trace_id", F.posexplode("messages").alias("i", "m")).where("m.role = 'user'")
+    total = F.when(F.size("tokens") > 0, F.aggregate(F.map_values("tokens"), F.lit(0).cast("bigint"), lambda a, v: a + F.coalesce(v, F.lit(0))))
+    rows = row(t, 0, "turn_context", model=F.col("model")).unionByName(row(said, F.col("i") + 1, "user_message", text=F.col("m.content"))).unionByName(row(t, 1_000_000, "token_count", tokens=total))
+    return store.metadata_fold(rows)
 
 
 @query(
@@ -371,9 +393,16 @@ def thread_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.names(table(spark, sf_dir, "threads"), index)
 
 
-@query("thread_search")
+@query(
+    "thread_search",
+    rf"""WITH f AS (SELECT thread_id, rollout_ordinal AS o, trim(regexp_replace(item_json, '{_SPACE}', ' ', 'g'), ' ') AS x FROM thread_items), g AS (SELECT *, instr(lower(x), 'ledger') AS p FROM f),
+    h AS (SELECT thread_id, o, CASE WHEN p > 49 THEN '... ' ELSE '' END || substr(x, greatest(p - 48, 1), p + 102 - greatest(p - 48, 1)) || CASE WHEN p + 102 <= length(x) THEN ' ...' ELSE '' END AS snippet FROM g WHERE p > 0),
+    s AS (SELECT thread_id, arg_min(snippet, (o, snippet)) AS snippet, count(*) AS n_hits FROM h GROUP BY 1), l AS (SELECT id, CASE WHEN updated_at < 1577836800000 THEN updated_at * 1000 ELSE updated_at END AS updated_at FROM threads)
+    SELECT id, updated_at, snippet, n_hits FROM l JOIN s ON id = thread_id ORDER BY updated_at DESC, id DESC LIMIT 21""",
+)
 def thread_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return store.search(table(spark, sf_dir, "thread_items"), store.thread_times(table(spark, sf_dir, "threads")), "ledger", 20)
+    """A page of 20, and one row more that tells where the next begins."""
+    return store.search(table(spark, sf_dir, "thread_items"), store.thread_times(table(spark, sf_dir, "threads")), "ledger", 20).select("id", "updated_at", "snippet", "n_hits")
 
 
 @query(
@@ -450,7 +479,14 @@ def lifecycle_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.closed_by_turn(lifecycle.spans(starts, ends, "call", "at"), turns).select("call", "status", "closed_at")
 
 
-@query("job_transitions")
+@query(
+    "job_transitions",
+    """WITH RECURSIVE l AS (SELECT l_orderkey AS item, ['running', 'completed', 'failed', 'running'][l_linenumber % 4 + 1] AS t, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, ['running', 'completed', 'failed', 'running'][l_linenumber % 4 + 1]) AS n FROM lineitem),
+    s AS (SELECT item, CAST(0 AS BIGINT) AS n, 'pending' AS state, 0 AS attempts, 0 AS rejected FROM l WHERE n = 1
+      UNION ALL SELECT s.item, l.n, CASE WHEN ok THEN l.t ELSE s.state END, s.attempts + CASE WHEN ok AND l.t = 'running' THEN 1 ELSE 0 END, s.rejected + CASE WHEN ok THEN 0 ELSE 1 END
+      FROM s JOIN l ON l.item = s.item AND l.n = s.n + 1, LATERAL (SELECT (s.state IN ('pending', 'failed') AND l.t = 'running') OR (s.state = 'running' AND l.t IN ('completed', 'failed')) AS ok) x)
+    SELECT item, state, attempts, rejected FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY n DESC) AS k FROM s) y WHERE k = 1""",
+)
 def job_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     to = F.element_at(F.array(*map(F.lit, ("running", "completed", "failed", "running"))), (F.col("l_linenumber") % 4 + 1).cast("int"))
     log = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("item"), F.col("l_linenumber").alias("seq"), to.alias("to"))
@@ -474,7 +510,11 @@ def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "trajectory").where(F.size("messages") > 0).select(F.col("trace_id").alias("call"), F.transform(F.filter("messages", lambda m: m.isNotNull()), key).alias("keys"))
 
 
-@query("provisional_threads")
+@query(
+    "provisional_threads",
+    "WITH z AS (SELECT 1)" + _KEYS + """, a AS (SELECT 't' || substr(sha256(array_to_string(keys[1:p], chr(31))), 1, 12) AS thread, keys FROM c WHERE coalesce(p, 0) > 0), o AS (SELECT call, keys FROM c WHERE coalesce(p, 0) = 0)
+    SELECT call, CASE WHEN count(DISTINCT thread) = 1 THEN min(thread) END AS resolved FROM o LEFT JOIN a ON len(o.keys) <= len(a.keys) AND array_to_string(a.keys[1:len(o.keys)], chr(31)) = array_to_string(o.keys, chr(31)) GROUP BY 1""",
+)
 def provisional_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls = _calls(spark, sf_dir)
     return lifecycle.resolve_provisional(calls, lifecycle.message_thread_ids(calls))

@@ -158,7 +158,12 @@ def prompt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return system.select("trace_id", samples.flattened(kept).alias("prompt"), samples.fingerprint_of(kept).alias("fingerprint"))
 
 
-@query("prompt_pairs")
+@query(
+    "prompt_pairs",
+    _W + f""" SELECT c.id, 'Context:' || chr(10) || coalesce(b.text, '') || chr(10) || chr(10) || 'Request:' || chr(10) || coalesce(t.text, '') AS base,
+      'Context:' || chr(10) || coalesce(b.text, '') || chr(10) || chr(10) || 'Request:' || chr(10) || coalesce(t.text, '') || chr(10) || coalesce(c.text, '') AS treated
+    FROM (SELECT * FROM m WHERE {SQL_USER}) c JOIN (SELECT * FROM m WHERE {SQL_BOT}) b ON c.parent = b.id JOIN m t ON b.parent = t.id""",
+)
 def prompt_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each reply of a user to a bot as a pair of prompts over what both replied to."""
     m = messages(spark, sf_dir)
