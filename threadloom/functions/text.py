@@ -82,14 +82,23 @@ def merged_items(*cols: Column, joiner: str = "; ") -> Column:
     return F.array_join(F.array_distinct(items), joiner)
 
 
+# What counts as a number in a text, digits with joints or Chinese numerals.
+NUMBER = r"\d+(?:[.\-/→>~]\d+)*|[零一二三四五六七八九十百千万亿]+"
+
+
 def number_tokens(col: Column) -> Column:
-    """Numbers of at least two digits in a text."""
-    return F.array_distinct(F.regexp_extract_all(col, F.lit(r"(\d{2,}(?:\.\d+)?)"), 1))
+    """The distinct numbers in a text, joined ones such as ``276->318`` as one."""
+    return F.array_distinct(F.regexp_extract_all(col, F.lit(f"({NUMBER})"), 1))
+
+
+def leaked_numbers(principle: Column, source: Column) -> Column:
+    """The numbers of the case that a rule made from it repeats, sorted; none is clean."""
+    return F.array_sort(F.filter(number_tokens(F.coalesce(source, F.lit(""))), lambda t: F.contains(F.coalesce(principle, F.lit("")), t)))
 
 
 def leaks_numbers(principle: Column, source: Column) -> Column:
     """Whether a rule repeats a number of the case it came from."""
-    return F.exists(number_tokens(source), lambda t: F.contains(principle, t))
+    return F.size(leaked_numbers(principle, source)) > 0
 
 
 def pseudonym(col: Column, tag: str) -> Column:
@@ -105,9 +114,9 @@ def with_pseudonyms(col: Column, pattern: str, tag: str) -> Column:
 
 
 def rendered(template: Column, row: Column) -> Column:
-    """``{column}`` replaced from a map; doubled braces are literal ones."""
+    """``{column}`` replaced from a map; doubled braces, read from the left, are literal ones."""
     opened, closed = "\x01", "\x02"
-    hidden = F.regexp_replace(F.replace(template, F.lit("{{"), F.lit(opened)), r"\}\}(?!\})", closed)
+    hidden = F.replace(F.replace(template, F.lit("{{"), F.lit(opened)), F.lit("}}"), F.lit(closed))
     filled = F.aggregate(F.map_entries(row), hidden, lambda acc, e: F.replace(acc, F.concat(F.lit("{"), e["key"], F.lit("}")), F.coalesce(e["value"], F.lit(""))))
     return F.replace(F.replace(filled, F.lit(opened), F.lit("{")), F.lit(closed), F.lit("}"))
 
@@ -140,3 +149,40 @@ def first_match(col: Column, rules: list[tuple[str, str]], otherwise: str) -> Co
 def time_argument(col: Column) -> Column:
     """Whole seconds, or an RFC 3339 time, as seconds."""
     return F.coalesce(col.try_cast("bigint"), F.unix_timestamp(F.try_to_timestamp(col)))
+
+
+def _between(col: Column, tag: str) -> Column:
+    found = F.regexp_extract(col, rf"(?s)<{tag}>(.*?)</{tag}>", 1)
+    return F.when(F.regexp_like(col, F.lit(rf"(?s)<{tag}>.*?</{tag}>")), found)
+
+
+def split_request(content: Column, header: str, marker: str, request: str = "USER_REQUEST", metadata: str = "ADDITIONAL_METADATA") -> Column:
+    """(system, said, metadata) of a user message that a tool wrapped.
+
+    The body is what stands in the request tags, else all of it. With
+    ``header`` in it, what comes before ``marker`` is the system's; without the
+    marker all of it is, and the user said nothing.
+    """
+    whole = F.coalesce(content, F.lit(""))
+    body = F.trim(F.coalesce(_between(whole, request), whole))
+    injected, at = F.contains(body, F.lit(header)), F.instr(body, marker)
+    system = F.when(injected & (at > 0), F.trim(F.substring(body, F.lit(1), at - 1))).when(injected, body)
+    said = F.when(injected & (at > 0), F.trim(F.substr(body, at + len(marker)))).when(injected, F.lit("")).otherwise(body)
+    return F.struct(system.alias("system"), said.alias("said"), F.trim(_between(whole, metadata)).alias("metadata"))
+
+
+def top_objective(summaries: Column, opening: str = "<conversation_summaries>", closing: str = "</conversation_summaries>") -> Column:
+    """(title, objective) of the first block of a list of summaries, which is the newest; nulls without one."""
+    inside = F.when(F.contains(summaries, F.lit(opening)), F.split_part(F.substr(summaries, F.instr(summaries, opening) + len(opening)), F.lit(closing), F.lit(1)))
+    blocks = F.filter(F.split(F.concat(F.lit("\n"), inside), r"\n##\s+Conversation "), lambda b: F.trim(F.translate(b, "\n", "")) != "")
+    first = F.try_element_at(blocks, F.lit(1))
+    title = F.when(F.contains(first, F.lit(":")), F.trim(F.split_part(F.substr(first, F.instr(first, ":") + 1), F.lit("\n"), F.lit(1))))
+    mark = "### USER Objective:"
+    after = F.when(F.contains(first, F.lit(mark)), F.trim(F.split(F.btrim(F.substr(first, F.instr(first, mark) + len(mark)), F.lit(" \n")), r"\n##\s")[0]))
+    return F.struct(title.alias("title"), F.when(after != "", after).alias("objective"))
+
+
+def lane_name(lane: Column, group: str, main: str) -> Column:
+    """A lane without the group in front of it; the main one as MAIN."""
+    rest = F.regexp_replace(F.substr(lane, F.instr(lane, group) + len(group)), "^:+", "")
+    return F.when(lane == main, F.lit("MAIN")).when(F.contains(lane, F.lit(group)), rest).otherwise(lane)

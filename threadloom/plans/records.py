@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as T
-from threadloom.operators import evaluation, guards, lifecycle, similarity, store, trajectories
+from threadloom.operators import evaluation, guards, lifecycle, ordered, similarity, store, trajectories
 from threadloom.plans.core import query
 from threadloom.plans.views import SQL_BOT, SQL_MESSAGES, SQL_USER, messages
-from threadloom.session import table
+from threadloom.session import materialise, table
 
 _W = "WITH RECURSIVE " + SQL_MESSAGES
 _SPACE = r"[\s\x0B\x{85}\p{Z}]+"
@@ -48,13 +48,18 @@ def previews_and_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "chat_events").select("row_id", p["head"].alias("head"), p["n_chars"].alias("n_chars"), T.one_line(F.col("text"), 60).alias("line"))
 
 
+_NUMBER = r"'\d+(?:[.\-/→>~]\d+)*|[零一二三四五六七八九十百千万亿]+'"
+
+
 @query(
     "number_leaks",
-    r"SELECT row_id, array_to_string(list_distinct(regexp_extract_all(text, '(\d{2,}(?:\.\d+)?)', 1)), '|') IS NOT NULL AS seen, len(list_distinct(regexp_extract_all(text, '(\d{2,}(?:\.\d+)?)', 1))) AS n_numbers FROM chat_events",
+    _W + f""" SELECT c.id, array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all(coalesce(p.text, ''), {_NUMBER})), lambda t: contains(coalesce(c.text, ''), t))), '|') AS leaked FROM m c JOIN m p ON c.parent = p.id""",
 )
 def number_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.size(T.number_tokens(F.col("text")))
-    return table(spark, sf_dir, "chat_events").select("row_id", F.col("text").isNotNull().alias("seen"), F.when(F.col("text").isNotNull(), n).alias("n_numbers"))
+    """Each reply as a rule made from what it replies to: the numbers that it repeats."""
+    m = messages(spark, sf_dir, "parent", "text")
+    up = m.select(F.col("id").alias("p"), F.col("text").alias("source"))
+    return m.join(up, F.col("parent") == F.col("p")).select("id", F.array_join(T.leaked_numbers(F.col("text"), F.col("source")), "|").alias("leaked"))
 
 
 @query("pii_pseudonym", "SELECT row_id, CASE WHEN who IS NOT NULL THEN '<WHO_' || substr(sha1(who), 1, 8) || '>' END AS code FROM chat_events")
@@ -74,12 +79,12 @@ def pii_pseudonyms_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "row_templates",
-    "SELECT c_custkey, '{' || c_name || '} in ' || coalesce(c_mktsegment, '') || ' of nation ' || c_nationkey AS prompt FROM customer",
+    "SELECT c_custkey, '{{name}} is ' || c_name || ' in ' || coalesce(c_mktsegment, '') || ' of {nation} ' || c_nationkey AS prompt FROM customer",
 )
 def row_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     row = F.create_map(F.lit("name"), F.col("c_name"), F.lit("segment"), F.col("c_mktsegment"), F.lit("nation"), F.col("c_nationkey").cast("string"))
-    return c.select("c_custkey", T.rendered(F.lit("{{{name}}} in {segment} of nation {nation}"), row).alias("prompt"))
+    return c.select("c_custkey", T.rendered(F.lit("{{{name}}} is {name} in {segment} of {{nation}} {nation}"), row).alias("prompt"))
 
 
 @query(
@@ -122,28 +127,41 @@ def triples(m: DataFrame) -> DataFrame:
     return c.join(b, F.col("up") == F.col("anchor")).select("corrector", "anchor", "t0", quote.alias("quote"), "row_id")
 
 
+_STRONG = guards.OVERRIDE
 _GUARD = (
     _TRIPLES
-    + rf""", ms AS (SELECT *, {SQL_BOT} AS is_bot, {SQL_USER} AS is_user FROM m),
-    v AS (SELECT tr.*, a.id AS a_id, a.is_bot AS a_bot, a.text AS a_text, a.ts_us AS a_ts, c.id AS c_id, c.role AS c_role, c.is_user AS c_user, c.text AS c_text, c.ts_us AS c_ts,
-      regexp_replace(quote, '{_SPACE}', '', 'g') AS q, regexp_replace(a.text, '{_SPACE}', '', 'g') AS a_flat FROM tr LEFT JOIN ms a ON a.id = anchor LEFT JOIN ms c ON c.id = corrector),
+    + rf""", ms AS (SELECT *, {SQL_BOT} AS is_bot, {SQL_USER} AS is_user, {SQL_BOT} OR coalesce(regexp_matches(name, '(?i)(^|[^a-z])bot([^a-z]|$)'), false) AS bot_row FROM m),
+    np AS (SELECT id, thread, row_number() OVER (PARTITION BY thread ORDER BY ts_us, row_id) AS pos, {SQL_BOT} AND coalesce(regexp_matches(text, '{guards.ASKED_OUTPUT}'), false) AS asked FROM t),
+    pl AS (SELECT id AS pid, thread AS pth, pos AS ppos, max(CASE WHEN asked THEN pos END) OVER (PARTITION BY thread ORDER BY pos ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS found FROM np WHERE thread IS NOT NULL),
+    v AS (SELECT tr.*, a.id AS a_id, a.is_bot AS a_bot, a.text AS a_text, a.ts_us AS a_ts, c.id AS c_id, c.role AS c_role, c.is_user AS c_user, c.bot_row AS c_bot, c.text AS c_text, c.ts_us AS c_ts,
+      pa.pth = pc.pth AND pc.ppos > pa.ppos AND pc.found >= pa.ppos AS near,
+      regexp_replace(quote, '{_SPACE}', '', 'g') AS q, regexp_replace(a.text, '{_SPACE}', '', 'g') AS a_flat FROM tr LEFT JOIN ms a ON a.id = anchor LEFT JOIN ms c ON c.id = corrector LEFT JOIN pl pa ON pa.pid = anchor LEFT JOIN pl pc ON pc.pid = corrector),
     g AS (SELECT corrector, anchor, CASE WHEN a_id IS NULL THEN 'anchor_missing' WHEN NOT a_bot THEN 'anchor_not_bot' WHEN a_text IS NULL OR regexp_matches(a_text, '^\s*(\[[^\]]*\]|\(.*\)|\.\.\.|…|ok)\s*$') THEN 'anchor_placeholder'
       WHEN q IS NULL OR length(q) < 4 THEN 'quote_short' WHEN NOT contains(a_flat, q) THEN 'quote_absent' WHEN c_id IS NULL THEN 'corrector_missing' WHEN c_role IS NOT NULL AND NOT c_user THEN 'corrector_not_user'
-      WHEN c_text IS NULL OR regexp_matches(c_text, '^\s*(\[[^\]]*\]|\(.*\)|\.\.\.|…|ok)\s*$') THEN 'corrector_placeholder'
-      WHEN regexp_matches(c_text, '(?i)(also|additionally|one more|instead of|could you also)') AND NOT regexp_matches(c_text, '(?i)(wrong|not what|incorrect|correction)') THEN 'demand_change' WHEN c_ts <= a_ts THEN 'not_later' END AS drop_reason FROM v)"""
+      WHEN c_text IS NULL OR regexp_matches(c_text, '^\s*(\[[^\]]*\]|\(.*\)|\.\.\.|…|ok)\s*$') THEN 'corrector_placeholder' WHEN c_bot THEN 'corrector_is_bot'
+      WHEN regexp_matches(c_text, '{guards.DEMAND}') AND NOT regexp_matches(c_text, '{_STRONG}') THEN 'demand_change'
+      WHEN regexp_matches(c_text, '{guards.FEEDBACK}') AND NOT regexp_matches(c_text, '{_STRONG}') AND near THEN 'troubleshooting_feedback' WHEN c_ts <= a_ts THEN 'not_later' END AS drop_reason FROM v)"""
 )
 
 
 @query("guard_validation", _W + _GUARD + " SELECT corrector, anchor, drop_reason FROM g")
 def guard_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = messages(spark, sf_dir)
-    return guards.validate_triples(triples(m), m).select("corrector", "anchor", "drop_reason")
+    m = materialise(messages(spark, sf_dir), "messages")
+    return guards.validate_triples(triples(m), _with_requests(m)).select("corrector", "anchor", "drop_reason")
+
+
+def _with_requests(m: DataFrame) -> DataFrame:
+    """Messages with their place in the thread and that of a bot's request for output shortly before."""
+    placed = ordered.numbered(m.where("ts_us is not null").select("id", "role", "text", "ts_us", "row_id", F.coalesce("thread_id", "group_id").alias("thread")), ["thread"], ["ts_us", "row_id"])
+    asked = T.is_bot(F.col("role")) & F.coalesce(F.col("text").rlike(guards.ASKED_OUTPUT), F.lit(False))
+    near = guards.requested_before(placed.where("thread is not null"), ["thread"], asked).select(F.col("id").alias("p"), "thread", "pos", "asked_pos")
+    return m.join(near, F.col("id") == F.col("p"), "left").drop("p")
 
 
 @query("guard_validation_counts", _W + _GUARD + " SELECT coalesce(drop_reason, 'kept') AS reason, count(*) AS n FROM g GROUP BY 1")
 def guard_validation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = messages(spark, sf_dir)
-    return guards.reasons(guards.validate_triples(triples(m), m))
+    m = materialise(messages(spark, sf_dir), "messages")
+    return guards.reasons(guards.validate_triples(triples(m), _with_requests(m)))
 
 
 @query(
