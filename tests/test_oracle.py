@@ -20,4 +20,5 @@ def test_matches_sql(spark, con, name):
 
 @pytest.mark.parametrize("name", sorted(set(core.QUERIES) - set(core.ORACLE)))
 def test_runs(spark, name):
-    assert core.QUERIES[name](spark, SMALL).count() >= 0
+    """Queries that SQL does not state give rows; what they are is tested beside their operators."""
+    assert core.QUERIES[name](spark, SMALL).count() > 0

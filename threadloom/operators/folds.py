@@ -12,6 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.operators import forest, ordered
+from threadloom.session import materialise
+
 WINDOW_CHARS = 20_000
 OVERLAP_ROWS = 8
 
@@ -108,20 +111,48 @@ def routed_sessions(rows: DataFrame, key: str, order: list[str], judge: Callable
     return fold(rows.select(key, *order, "id", "parent", "text", "is_request"), [key], order, start, step, f"{key} string, id string, session bigint, reason string")
 
 
+def routed_plainly(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """As ``routed_sessions`` without a judge, and without a fold: every request that replies to nothing opens a session.
+
+    Each row then points at an earlier one, a reply at what it replies to and
+    other rows at the last request, and where the pointers end tells the
+    session. So a key of any size spreads over all tasks. Ids must be unique,
+    and the last column of ``order`` a number of its own for each row.
+    """
+    row = rows.select(key, *order, "id", "parent", "is_request")
+    placed = ordered.running(row, [key], order, {"__request": (ordered.LAST, F.when(F.col("is_request"), F.col("id")))})
+    known = materialise(placed.where("__request is not null"), "requests")
+    up = known.select(F.col("id").alias("__up"), F.col(key).alias("__key"), F.struct(*order).alias("__at"))
+    j = known.join(up, (F.col("parent") == F.col("__up")) & F.col(key).eqNullSafe(F.col("__key")) & (F.col("__at") < F.struct(*order)), "left")
+    opens = F.col("is_request") & F.col("__up").isNull()
+    target = F.when(~F.col("is_request"), F.col("__request")).otherwise(F.col("__up"))
+    j = ordered.running(j.select(key, *order, "id", "is_request", target.alias("__target"), opens.alias("__opens")), [key], order, {"__n": (ordered.SUM, F.col("__opens").cast("int"))})
+    j = materialise(j, "pointers")
+    ends = forest.resolve(j.select("id", F.col("__target").alias("parent"), F.col(order[-1]).cast("bigint").alias("pos"))).select("id", "root")
+    numbers = j.where("__opens").select(F.col("id").alias("root"), (F.col("__n") - 1).cast("bigint").alias("session"))
+    reason = F.when(~F.col("is_request"), "inherited").when(~F.col("__opens"), "reply").when(F.col("__n") == 1, "opener").otherwise("new")
+    return j.join(ends, "id").join(numbers, "root").select(key, "id", "session", reason.alias("reason"))
+
+
 def reconciled_items(snapshots: DataFrame, key: str, full: bool = True) -> DataFrame:
     """(key, snapshot, idx, item_id): ids of items that stay the same from snapshot to snapshot.
 
     An equal item at the same place keeps its id; in full snapshots else the
     first equal item of the previous one that is not used yet; else it is new.
-    In incremental mode a different item at a known place is an error.
+    In incremental mode a different item at a known place is an error. Rows
+    with a true ``installed``, if there is such a column, are a compaction: they
+    replace what the next snapshot is compared with, and give ids themselves.
     """
 
     def start():
-        return {"previous": [], "current": [], "snapshot": None, "next": 0, "used": set()}
+        return {"previous": [], "current": [], "snapshot": None, "next": 0, "used": set(), "by_item": {}}
 
     def step(s, row):
         if row["snapshot"] != s["snapshot"]:
             s["previous"], s["current"], s["used"], s["snapshot"] = s["current"], [], set(), row["snapshot"]
+            s["by_item"] = {}
+            for x, i in reversed(s["previous"]):
+                s["by_item"].setdefault(x, []).append(i)
         before = s["previous"]
         at, item = row["idx"], row["item"]
         found = None
@@ -130,7 +161,11 @@ def reconciled_items(snapshots: DataFrame, key: str, full: bool = True) -> DataF
         elif not full and at < len(before):
             raise ValueError(f"item {at} of snapshot {row['snapshot']} changed")
         elif full:
-            found = next((i for x, i in before if x == item and i not in s["used"]), None)
+            # Equal items wait in line under their value, so a snapshot is read once.
+            line = s["by_item"].get(item, ())
+            while line and line[-1] in s["used"]:
+                line.pop()
+            found = line[-1] if line else None
         if found is None:
             found = s["next"]
             s["next"] += 1

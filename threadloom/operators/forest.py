@@ -47,7 +47,7 @@ def messages(events: DataFrame, id_col: str = "msg_id", parent_col: str = "paren
         F.struct(F.col(order_col).alias("pos"), parent_identifier(F.col(parent_col)).alias("parent"), *(c.alias(n) for n, c in extra.items())).alias("r"),
     ).where("id is not null")
     first = rows.groupBy("id").agg(F.min("r").alias("r"))
-    return first.select("id", "r.parent", F.coalesce(F.col("r.pos").cast("bigint"), -1 - F.pmod(F.xxhash64("id"), F.lit(1 << 40))).alias("pos"), *(f"r.{n}" for n in names))
+    return first.select("id", "r.parent", F.coalesce(F.col("r.pos").cast("bigint"), -1 - F.pmod(F.xxhash64("id"), F.lit(1 << 30))).alias("pos"), *(f"r.{n}" for n in names))
 
 
 def _contract(ids: np.ndarray, targets: np.ndarray, kinds: np.ndarray, hops: np.ndarray, best: np.ndarray, paths: list | None) -> tuple:

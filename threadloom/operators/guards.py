@@ -69,6 +69,20 @@ def leaks(context: DataFrame, limits: DataFrame) -> DataFrame:
     )
 
 
+def leaks_among(anchors: DataFrame, members: DataFrame, limits: DataFrame) -> DataFrame:
+    """As ``leaks`` where the context of an anchor is a whole group, without pairing its members.
+
+    ``anchors`` has anchor and place, ``members`` id, place and ts_us, ``limits``
+    anchor, limit_us and corrector. The latest member of a place, and whether
+    the corrector is a member of it, tell the same.
+    """
+    per = members.groupBy("place").agg(F.count("*").alias("n"), F.max("ts_us").alias("latest"))
+    where = members.select(F.col("id").alias("corrector"), F.col("place").alias("c_place")).distinct()
+    j = anchors.join(per, "place").join(limits, "anchor").join(where, "corrector", "left")
+    late = F.coalesce(F.col("latest") >= F.col("limit_us"), F.lit(False)) | F.coalesce(F.col("c_place") == F.col("place"), F.lit(False))
+    return j.groupBy("anchor").agg(F.max(late).alias("needs_review"), F.sum("n").alias("n_context"))
+
+
 def reasons(validated: DataFrame) -> DataFrame:
     """How many rows each reason dropped; ``kept`` for the rest."""
     return validated.groupBy(F.coalesce(F.substring_index("drop_reason", "(", 1), F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))

@@ -55,6 +55,25 @@ def reanchored_by_quote(candidates: DataFrame, rows: DataFrame, is_bot: Column)
     return j.select(*(c for c in candidates.columns if c != "anchor"), F.coalesce("__pick", "anchor").alias("anchor"), F.coalesce(F.col("__pick") != F.col("anchor"), F.lit(False)).alias("moved"))
 
 
+def t0_lookup(requests: DataFrame, rows: DataFrame) -> DataFrame:
+    """``requests`` (key, t0, text) with ``found`` and ``how``: by id, by text, or not at all.
+
+    Without an id that exists, the one of ``rows`` (id, text) counts whose text
+    contains that of the request or is contained in it, without white space and
+    punctuation; if several do it is ambiguous. Equal texts are compared once,
+    and texts of less than four characters find nothing.
+    """
+    named = requests.join(rows.select(F.col("id").alias("by_id")), F.col("t0") == F.col("by_id"), "left")
+    keys = named.where("by_id is null").select(T.without_punctuation(F.col("text")).alias("k")).where("k is not null").distinct()
+    said = rows.select("id", T.without_punctuation(F.col("text")).alias("e")).where("e is not null").groupBy("e").agg(F.count("*").alias("n"), F.min("id").alias("one"))
+    inside = quoted_in(keys.select(F.col("k").alias("q")), said.select(F.col("e").alias("flat")), []).select(F.col("q").alias("k"), F.col("flat").alias("e"))
+    around = quoted_in(said.select(F.col("e").alias("q")), keys.select(F.col("k").alias("flat")), []).select(F.col("flat").alias("k"), F.col("q").alias("e"))
+    per = inside.unionByName(around).distinct().join(said, "e").groupBy("k").agg(F.sum("n").alias("n"), F.min("one").alias("one"))
+    j = named.withColumn("__k", T.without_punctuation(F.col("text"))).join(per, F.col("__k") == F.col("k"), "left")
+    how = F.when(F.col("by_id").isNotNull(), "id").when(F.col("n") == 1, "text").when(F.col("n") > 1, "ambiguous").otherwise("missing")
+    return j.select(*requests.columns, F.coalesce("by_id", F.when(F.col("n") == 1, F.col("one"))).alias("found"), how.alias("how"))
+
+
 def detected(windows: DataFrame, model, task: providers.Task = providers.TASKS["detect"], least_chars: int = 40) -> DataFrame:
     """(thread, window, k, anchor, corrector, quote): what a detector lists for each window of text.
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +29,8 @@ def rendered_context(rows: DataFrame, keys: list[str], order: list[str], cap: in
     """One text per key: its last ``cap`` rows as ``M<i> [role/name] text``, numbered in order.
 
     Rows without text are numbered too but not shown. ``cap`` bounds what a
-    replay may see; the rows are those nearest the end.
+    replay may see; the rows are those nearest the end. The rank is only asked
+    for its first ``cap`` rows, so each task passes on no more of a key.
     """
     last = Window.partitionBy(*keys).orderBy(*(F.col(o).desc() for o in order))
     kept = rows.withColumn("__k", F.row_number().over(last)).where(F.col("__k") <= cap)
@@ -103,8 +107,8 @@ def truncated_marks(rows: DataFrame, by: list[str], order: list[str]) -> DataFra
 
 
 def outlier_ids(text: Column) -> Column:
-    """Ids written in mixed forms, ``1``, ``#3`` or ``#4,5``, as numbers."""
-    return F.transform(F.regexp_extract_all(text, F.lit(r"(\d+)"), 1), lambda x: x.try_cast("int"))
+    """Ids written in mixed forms, ``1``, ``#3`` or ``#4,5``, in order, without leading zeros and of any length."""
+    return F.transform(F.regexp_extract_all(text, F.lit(r"(\d+)"), 1), lambda x: F.regexp_replace(x, r"^0+(\d)", "$1"))
 
 
 def diff_lines(diffs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -138,17 +142,17 @@ def item_sizes(items: DataFrame, kind: Column) -> DataFrame:
 
 def fnv_sampled(ids: DataFrame, id_col: str, every: int = 100) -> DataFrame:
     """The sample of ids whose 64-bit FNV-1a hash is divisible by ``every``: a sampling operator."""
-    import pyarrow as pa
-
     def run(batches):
         for batch in batches:
-            keep = []
-            for text in batch[id_col].to_pylist():
-                h = 0xCBF29CE484222325
-                for byte in (text or "").encode():
-                    h = (h ^ byte) * 0x100000001B3 & 0xFFFFFFFFFFFFFFFF
-                keep.append(text is not None and h % every == 0)
-            yield batch.filter(pa.array(keep))
+            texts = batch[id_col].cast(pa.binary())
+            raw, sizes = texts.to_pylist(), pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+            joined = np.frombuffer(b"".join(x for x in raw if x), np.uint8)
+            begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            h = np.full(len(sizes), 0xCBF29CE484222325, np.uint64)
+            for k in range(int(sizes.max(initial=0))):
+                at = np.flatnonzero(sizes > k)
+                h[at] = (h[at] ^ joined[begins[at] + k]) * np.uint64(0x100000001B3)
+            yield batch.filter(pa.array(texts.is_valid().to_numpy(zero_copy_only=False) & (h % np.uint64(every) == 0)))
 
     return ids.select(id_col).mapInArrow(run, f"`{id_col}` string")
 

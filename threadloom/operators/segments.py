@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.operators.ordered import COUNT, LAG, LAST, LEAD, MAX, SUM, ranged, running, whole
+from threadloom.session import materialise
 
 GAP_SECONDS = 1800
 
@@ -96,11 +97,34 @@ def next_ordinals(known: DataFrame, new: DataFrame, key: str, ordinal: str, orde
 
 
 def unique_ids(rows: DataFrame, id_col: str, order: list[str]) -> DataFrame:
-    """Adds ``unique_id``: repeats get -2, -3 and on; blanks get row-<n>."""
+    """Adds ``unique_id``: in order, a repeat gets the next suffix from -2 that is free; blanks get row-<n>.
+
+    Only where another id looks like a repeat's must what was given be looked
+    up; such ids go to one task by what is left without their suffixes.
+    """
+    from threadloom.operators import folds
+
     n = running(rows.withColumn("__all", F.lit(0)), ["__all"], order, {"__row": (COUNT, F.lit(1))}).drop("__all")
     named = n.withColumn("__base", F.when(F.trim(F.coalesce(F.col(id_col), F.lit(""))) == "", F.concat(F.lit("row-"), F.col("__row").cast("bigint").cast("string"))).otherwise(F.col(id_col)))
-    k = running(named, ["__base"], ["__row"], {"__k": (COUNT, F.lit(1))})
-    return k.withColumn("unique_id", F.when(F.col("__k") == 1, F.col("__base")).otherwise(F.concat("__base", F.lit("-"), F.col("__k").cast("bigint").cast("string")))).drop("__row", "__base", "__k")
+    named = materialise(named.withColumns({"__row": F.col("__row").cast("bigint"), "__stem": F.regexp_replace("__base", r"(-[0-9]+)+$", "")}), "ids")
+    per = named.groupBy("__stem", "__base").agg(F.count("*").alias("k")).groupBy("__stem").agg(F.max("k").alias("most"), F.count("*").alias("bases"))
+    unsure = per.where("most > 1 and bases > 1").select("__stem")
+    plain = named.join(unsure, "__stem", "left_anti")
+    k = running(plain, ["__base"], ["__row"], {"__k": (COUNT, F.lit(1))})
+    given = k.select("__row", F.when(F.col("__k") == 1, F.col("__base")).otherwise(F.concat("__base", F.lit("-"), F.col("__k").cast("bigint").cast("string"))).alias("unique_id"))
+
+    def step(state, row):
+        name, suffix = row["__base"], state["next"].get(row["__base"], 2)
+        while name in state["seen"]:
+            name = f"{row['__base']}-{suffix}"
+            suffix += 1
+        state["next"][row["__base"]] = suffix
+        state["seen"].add(name)
+        return [{"__row": row["__row"], "unique_id": name}]
+
+    some = named.join(unsure, "__stem", "left_semi").select("__stem", "__row", "__base")
+    looked = folds.fold(some, ["__stem"], ["__row"], lambda: {"seen": set(), "next": {}}, step, "__row bigint, unique_id string")
+    return named.join(given.unionByName(looked), "__row").drop("__row", "__base", "__stem")
 
 
 def atomic_segments(rows: DataFrame, keys: list[str], order: list[str], seconds: Column, topic: str, gap: int = GAP_SECONDS) -> DataFrame:

@@ -69,17 +69,33 @@ def context_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchors.chosen_context(rows.join(roots, F.col("id") == F.col("r"), "left").drop("r"), ["thread"])
 
 
-@query("char_windows")
+@query(
+    "char_windows",
+    _W + """, n AS (SELECT thread, row_number() OVER (PARTITION BY thread ORDER BY ts_us, row_id) - 1 AS pos, length(coalesce(text, '')) AS c FROM t),
+    s AS (SELECT thread, pos, CAST(0 AS BIGINT) AS win, [{'p': pos, 'c': c}] AS held, [pos] AS shown FROM n WHERE pos = 0
+      UNION ALL SELECT n.thread, n.pos, CASE WHEN cut THEN win + 1 ELSE win END, list_append(CASE WHEN cut THEN held[-8:] ELSE held END, {'p': n.pos, 'c': n.c}), CASE WHEN cut THEN list_append(list_transform(held[-8:], lambda h: h.p), n.pos) ELSE [n.pos] END
+      FROM s JOIN n ON n.thread IS NOT DISTINCT FROM s.thread AND n.pos = s.pos + 1, LATERAL (SELECT list_sum(list_transform(held, lambda h: h.c)) + n.c > 20000 AS cut) x)
+    SELECT thread, unnest(shown) AS pos, win AS "window" FROM s""",
+)
 def char_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = threaded(spark, sf_dir).select("thread", "ts_us", "row_id", F.length(F.coalesce("text", F.lit(""))).alias("n_chars"))
     return folds.char_windows(rows, "thread", ["ts_us", "row_id"], "n_chars")
 
 
-@query("session_routing")
+@query(
+    "session_routing",
+    _W + f""", r AS (SELECT group_id, id, parent, {SQL_USER} AS is_request, row_number() OVER (PARTITION BY group_id ORDER BY ts_us, row_id) AS pos FROM t),
+    f AS (SELECT group_id, min(pos) AS first FROM r WHERE is_request GROUP BY 1), a AS (SELECT r.*, first FROM r JOIN f ON f.group_id IS NOT DISTINCT FROM r.group_id AND r.pos >= first),
+    p AS (SELECT a.*, q.id AS up FROM a LEFT JOIN a q ON q.group_id IS NOT DISTINCT FROM a.group_id AND q.id = a.parent AND q.pos < a.pos),
+    o AS (SELECT *, CASE WHEN NOT is_request THEN 'inherited' WHEN up IS NOT NULL THEN 'reply' WHEN pos = first THEN 'opener' ELSE 'new' END AS reason, max(CASE WHEN is_request THEN (pos, id) END) OVER (PARTITION BY group_id ORDER BY pos) AS lastr FROM p),
+    k AS (SELECT *, CASE WHEN reason = 'inherited' THEN lastr[2] WHEN reason = 'reply' THEN up END AS target, sum(CASE WHEN reason IN ('opener', 'new') THEN 1 ELSE 0 END) OVER (PARTITION BY group_id ORDER BY pos) - 1 AS own FROM o),
+    z(group_id, id, session) AS (SELECT group_id, id, CAST(own AS BIGINT) FROM k WHERE target IS NULL UNION ALL SELECT k.group_id, k.id, z.session FROM k JOIN z ON z.group_id IS NOT DISTINCT FROM k.group_id AND z.id = k.target)
+    SELECT z.group_id, z.id, z.session, k.reason FROM z JOIN k ON k.group_id IS NOT DISTINCT FROM z.group_id AND k.id = z.id""",
+)
 def session_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without a judge: requests that reply to nothing open a session."""
-    rows = threaded(spark, sf_dir, "role", "parent", "group_id", "text").withColumn("is_request", T.is_user(F.col("role")))
-    return folds.routed_sessions(rows, "group_id", ["ts_us", "row_id"])
+    rows = threaded(spark, sf_dir, "role", "parent", "group_id").withColumn("is_request", T.is_user(F.col("role")))
+    return folds.routed_plainly(rows, "group_id", ["ts_us", "row_id"])
 
 
 @query("snapshot_reconcile")

@@ -44,6 +44,24 @@ def quote_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packs.reanchored_by_quote(candidates, rows, T.is_bot(F.col("role"))).select("corrector", "anchor", "moved")
 
 
+_BARE = r"substr(regexp_replace(lower({0}), '[\s\x0B\x{{85}}\p{{Z}}\p{{P}}]+', '', 'g'), 1, 800)"
+
+
+@query(
+    "t0_lookup",
+    _W + _TRIPLES + f""", q AS (SELECT tr.corrector AS key, CASE WHEN tr.row_id % 4 <> 0 THEN tr.t0 END AS t0, substr(p.text, 1, 40) AS text FROM tr LEFT JOIN m p ON p.id = tr.t0), u AS (SELECT id, {_BARE.format('text')} AS e FROM m WHERE {SQL_USER} AND text IS NOT NULL),
+    r AS (SELECT q.key, q.text, i.id AS by_id, {_BARE.format('q.text')} AS k FROM q LEFT JOIN (SELECT id FROM m WHERE {SQL_USER}) i ON i.id = q.t0), d AS (SELECT DISTINCT k FROM r WHERE by_id IS NULL AND k IS NOT NULL),
+    h AS (SELECT k, count(*) AS n, min(id) AS one FROM d JOIN u ON (length(k) >= 4 AND contains(e, k)) OR (length(e) >= 4 AND contains(k, e)) GROUP BY 1)
+    SELECT r.key, coalesce(by_id, CASE WHEN n = 1 THEN one END) AS found, CASE WHEN by_id IS NOT NULL THEN 'id' WHEN n = 1 THEN 'text' WHEN n > 1 THEN 'ambiguous' ELSE 'missing' END AS how FROM r LEFT JOIN h ON h.k = r.k""",
+)
+def t0_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instructions of corrections, a quarter of them known by their text only."""
+    m = materialise(messages(spark, sf_dir), "messages")
+    text = m.select(F.col("id").alias("p"), F.substring("text", 1, 40).alias("text"))
+    t = triples(m).join(text, F.col("t0") == F.col("p"), "left").select(F.col("corrector").alias("key"), F.when(F.col("row_id") % 4 != 0, F.col("t0")).alias("t0"), "text")
+    return packs.t0_lookup(t, m.where(T.is_user(F.col("role"))).select("id", "text")).select("key", "found", "how")
+
+
 class _LineDetector:
     """Answers a detection prompt: each line (id, parent, text) that corrects what it replies to."""
 

@@ -180,12 +180,11 @@ def red_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def leakage_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contexts of the siblings of each anchor, checked against its time and its correction."""
-    m = messages(spark, sf_dir)
+    m = materialise(messages(spark, sf_dir), "messages")
     t = triples(m)
     limits = t.join(m.select(F.col("id").alias("anchor"), F.col("ts_us").alias("limit_us")), "anchor").select("anchor", "corrector", "limit_us")
-    kin = m.select(F.col("id").alias("anchor"), F.col("parent").alias("p")).join(m.select("id", "ts_us", F.col("parent").alias("q")), F.col("p") == F.col("q"))
-    found = guards.leaks(kin.select("anchor", "id", "ts_us"), limits)
-    return found.withColumn("needs_review", F.coalesce("needs_review", F.lit(False)))
+    placed = m.where("parent is not null").select("id", F.col("parent").alias("place"), "ts_us")
+    return guards.leaks_among(placed.select(F.col("id").alias("anchor"), "place"), placed, limits)
 
 
 # --- evaluation ---------------------------------------------------------------

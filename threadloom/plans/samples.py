@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as T
-from threadloom.operators import replies, samples, trajectories
+from threadloom.operators import samples, trajectories
 from threadloom.plans.core import query
 from threadloom.plans.views import SQL_BOT, SQL_MESSAGES, SQL_USER, messages, threaded
 from threadloom.session import table
@@ -83,13 +83,12 @@ def subtask_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "id_lists_in_text",
-    r"SELECT row_id, list_sum(list_transform(regexp_extract_all(text, '(\d+)', 1), lambda x: try_cast(x AS INT)))::BIGINT AS total FROM chat_events WHERE text IS NOT NULL AND len(regexp_extract_all(text, '(\d+)', 1)) > 0",
+    r"SELECT row_id, array_to_string(list_transform(regexp_extract_all(text, '(\d+)', 1), lambda x: regexp_replace(x, '^0+(\d)', '\1')), ',') AS ids FROM chat_events WHERE text IS NOT NULL AND len(regexp_extract_all(text, '(\d+)', 1)) > 0",
 )
 def id_lists_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers in texts, in whatever form, added up; those beyond 32 bits are none."""
+    """Numbers in texts, in whatever form, in their order and as often as they stand there."""
     rows = table(spark, sf_dir, "chat_events").where("text is not null").select("row_id", samples.outlier_ids(F.col("text")).alias("x")).where("size(x) > 0")
-    known = F.filter("x", lambda v: v.isNotNull())
-    return rows.select("row_id", F.when(F.size(known) > 0, F.aggregate(known, F.lit(0).cast("bigint"), lambda a, v: a + v)).alias("total"))
+    return rows.select("row_id", F.array_join("x", ",").alias("ids"))
 
 
 @query(
@@ -100,7 +99,10 @@ def item_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.item_sizes(table(spark, sf_dir, "thread_items"), F.substring("item_id", 1, 4))
 
 
-@query("fnv_sample")
+@query(
+    "fnv_sample",
+    "SELECT c_name FROM (SELECT c_name, list_reduce(list_transform(range(strlen(c_name)), lambda i: CAST(ascii(substr(c_name, CAST(i + 1 AS INT), 1)) AS HUGEINT)), lambda h, b: (xor(h, b) * 1099511628211) % 18446744073709551616, 14695981039346656037::HUGEINT) AS h FROM customer) x WHERE h % 100 = 0",
+)
 def fnv_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One in a hundred customers by the hash of their name: a sampling operator."""
     return samples.fnv_sampled(table(spark, sf_dir, "customer"), "c_name")
@@ -149,7 +151,12 @@ def read_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus", v.alias("verdict")).agg(F.count("*").alias("n"))
 
 
-@query("prompt_fingerprints")
+@query(
+    "prompt_fingerprints",
+    """WITH u AS (SELECT trace_id, unnest(messages) AS m, generate_subscripts(messages, 1) AS pos FROM trajectory), s AS (SELECT trace_id, list(m.content ORDER BY pos) AS blocks FROM u WHERE m.role = 'system' GROUP BY 1),
+    k AS (SELECT trace_id, list_filter(blocks, lambda b: NOT coalesce(starts_with(b, 'After '), false)) AS kept FROM s)
+    SELECT trace_id, coalesce(array_to_string(list_filter(kept, lambda b: b IS NOT NULL), chr(10)), '') AS prompt, sha256('{"col1":' || CAST(to_json(kept) AS VARCHAR) || '}') AS fingerprint FROM k""",
+)
 def prompt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of the prompts of traces: their system texts, volatile ones aside."""
     m = trajectories.message_rows(table(spark, sf_dir, "trajectory"))
@@ -173,14 +180,3 @@ def prompt_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = c.join(b, F.col("parent") == F.col("b")).join(t, F.col("t0") == F.col("t"))
     pair = samples.prompt_pair(F.col("answer"), F.col("request"), F.col("comment"))
     return j.select("id", pair["base"].alias("base"), pair["treated"].alias("treated"))
-
-
-@query(
-    "components_by_tree",
-    _W + """, e AS (SELECT c.id AS a, p.id AS b FROM m c JOIN m p ON c.parent = p.id WHERE c.id <> p.id UNION SELECT p.id, c.id FROM m c JOIN m p ON c.parent = p.id WHERE c.id <> p.id),
-      r(id, reach) AS (SELECT DISTINCT a, a FROM e UNION SELECT r.id, e.b FROM r JOIN e ON r.reach = e.a)
-      SELECT id, min(reach) AS component FROM r GROUP BY id""",
-)
-def components_by_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The components of reply edges from the trees they form; only cycles need label rounds."""
-    return replies.tree_components(messages(spark, sf_dir))

@@ -277,7 +277,8 @@ def edge_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT id, min(reach) AS component FROM r GROUP BY id""",
 )
 def reply_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replies.components(replies.edges(messages(spark, sf_dir)))
+    """Trees are components already; only what hangs on a cycle goes through label rounds."""
+    return replies.tree_components(messages(spark, sf_dir, "parent"))
 
 
 @query(

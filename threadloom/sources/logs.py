@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadloom.session import names_in, path_exists
+
 SPAN = "trace_id string, span_id string, parent_span_id string, name string, start_ns bigint, end_ns bigint, attributes map<string,string>, events array<struct<name:string,time_ns:bigint>>"
 LOG = "time_ns bigint, severity string, body string, attributes map<string,string>"
 CALL = "ts double, session_id string, sha string, status int, request string, response string"
@@ -134,6 +136,22 @@ def read_job_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("multiLine", True).option("escape", '"').option("enforceSchema", True).csv(path).dropna(how="all")
 
 
+# What a job adds to the columns of its input.
+JOB_COLUMNS = ("job_id", "item_id", "row_index", "source_id", "status", "attempt_count", "last_error", "result_json", "reported_at", "completed_at")
+
+
+def job_rows(rows: DataFrame, items: DataFrame, order: str = "row_index") -> DataFrame:
+    """The input columns and the ten of the job; times as in RFC 3339, in UTC.
+
+    ``items`` has the job columns, ``rows`` the input under the same
+    ``order``. Times are microseconds since 1970; what is null stays empty.
+    """
+    time = lambda c: F.date_format(F.timestamp_micros(F.col(c)), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    job = items.select(F.col(order).alias("__o"), *(time(c).alias(f"job_{c}") if c.endswith("_at") else F.col(c).alias(f"job_{c}") for c in JOB_COLUMNS))
+    j = rows.join(job, F.col(order) == F.col("__o"))
+    return j.select(order, *(c for c in rows.columns if c != order), *(F.col(f"job_{c}").alias(c if c not in rows.columns else f"job_{c}") for c in JOB_COLUMNS if c != order))
+
+
 def write_job_csv(rows: DataFrame, path: str, order: str) -> None:
     """In the order of ``order``, quoted by the usual rules."""
     rows.orderBy(order).drop(order).write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
@@ -154,3 +172,59 @@ def append_daily(rows: DataFrame, path: str, ts_us: str) -> None:
 def publish(rows: DataFrame, path: str) -> None:
     """By source, role and date; rows without a role are not published."""
     rows.where(F.trim(F.coalesce("role", F.lit(""))) != "").write.mode("append").partitionBy("source", "role", "date").json(path)
+
+
+def read_tolerant(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines without those that do not parse; a path that is not there is empty."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return read_lines(spark, path, schema)[0].drop("file")
+
+
+def read_wire(spark: SparkSession, path: str, schema: str, id_pattern: str = r"([^/]+)/[^/]+$") -> tuple[DataFrame, DataFrame]:
+    """(rows with ``source_id``, bad lines per source) of plain or gzipped logs; the id is the folder's name.
+
+    Bytes that are no UTF-8 become replacement characters.
+    """
+    rows, bad = read_lines(spark, path, schema)
+    named = F.regexp_extract("file", id_pattern, 1)
+    return rows.withColumn("source_id", named).drop("file"), bad.withColumn("source_id", named).drop("file")
+
+
+def history_at(history: DataFrame, log_id: int, offset: int) -> DataFrame:
+    """The entry at a place of a history; none for another log or a place beyond its end."""
+    return history.where((F.col("log_id") == log_id) & (F.col("pos") == offset))
+
+
+def write_state(state: DataFrame, path: str) -> int:
+    """Writes the next version of a state; it counts once all of it is there. Gives its number."""
+    spark = state.sparkSession
+    number = max((int(n) for n in names_in(spark, path) if n.isdigit()), default=-1) + 1
+    state.select(*sorted(state.columns)).write.json(f"{path}/{number}")
+    return number
+
+
+def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The last version that was written to its end; empty when there is none."""
+    done = [int(n) for n in names_in(spark, path) if n.isdigit() and "_SUCCESS" in names_in(spark, f"{path}/{n}")]
+    return spark.read.schema(schema).json(f"{path}/{max(done)}") if done else spark.createDataFrame([], schema)
+
+
+def export_tasks(tasks: DataFrame, members: DataFrame, path: str) -> None:
+    """Tasks for people: a text per task, their members as JSON lines by task, and an index.
+
+    ``tasks`` has task, title, status; ``members`` task, pos, role, text.
+    """
+    line = F.concat(F.lit("- ["), F.coalesce("role", F.lit("")), F.lit("] "), F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", " "))
+    body = members.groupBy("task").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", line.alias("line")))), lambda r: r["line"]), "\n").alias("body"))
+    j = tasks.join(body, "task", "left")
+    text = F.concat(F.lit("# "), F.coalesce("title", F.lit("untitled")), F.lit("\n\n"), F.coalesce("body", F.lit("")))
+    j.select("task", text.alias("value")).write.mode("overwrite").partitionBy("task").text(f"{path}/texts")
+    members.write.mode("overwrite").partitionBy("task").json(f"{path}/members")
+    n = members.groupBy("task").agg(F.count("*").alias("n_members"))
+    tasks.join(n, "task", "left").withColumn("n_members", F.coalesce("n_members", F.lit(0))).coalesce(1).write.mode("overwrite").json(f"{path}/index")
+
+
+def task_messages(messages: DataFrame, task: str) -> DataFrame:
+    """What a message source gives for one task: (ts, role, who, text, msg_id) in order of time."""
+    return messages.where(F.col("task_id") == task).select("ts", "role", "who", "text", "msg_id").orderBy("ts", "msg_id")

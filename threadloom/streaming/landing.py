@@ -44,6 +44,16 @@ def newest(log: DataFrame, n: int, id_col: str = "id") -> DataFrame:
     return log.orderBy(F.col(id_col).desc()).limit(n).orderBy(id_col)
 
 
+def newest_files(files: DataFrame, k: int) -> DataFrame:
+    """The ``k`` files written last, by time and then path: a top-k report."""
+    return files.orderBy(F.col("mtime").desc(), F.col("path").desc()).limit(k)
+
+
+def accepted(batch: DataFrame, capacity: int, order: str) -> DataFrame:
+    """What a bounded queue takes of a batch: the oldest ``capacity`` rows; the newest are dropped when it is full."""
+    return batch.orderBy(order).limit(capacity)
+
+
 def name_index(entries: DataFrame) -> DataFrame:
     """The latest entry of each id; a removal or a blank as the latest takes it out."""
     last = entries.groupBy("id").agg(F.max(F.struct("pos", "name", "removed")).alias("e"))
