@@ -61,10 +61,13 @@ def control_target(text: Column) -> Column:
     return F.when(found != "", found.cast("int"))
 
 
-def late_evidence(corrections: DataFrame, anchors: DataFrame, limit_us: str) -> DataFrame:
+EVIDENCE = r"(?i)(fail|broke|error|lost|result|finished|失败|结果)"
+
+
+def late_evidence(corrections: DataFrame, anchors: DataFrame, limit_us: str, words: str = EVIDENCE) -> DataFrame:
     """Corrections whose anchor lies at or after the limit and whose text tells of a result or a failure."""
     j = corrections.join(anchors.select(F.col("id").alias("__a"), F.col("ts_us").alias("anchor_us")), F.col("anchor") == F.col("__a")).drop("__a")
-    return j.where((F.col("anchor_us") >= F.col(limit_us)) & F.col("text").rlike(r"(?i)(fail|broke|error|lost|result|finished|失败|结果)"))
+    return j.where((F.col("anchor_us") >= F.col(limit_us)) & F.col("text").rlike(words))
 
 
 def with_content(rows: DataFrame, steps: str) -> DataFrame:
@@ -89,9 +92,15 @@ def rough_tokens(text: Column) -> Column:
 
 
 def group_sizes(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Groups with their sizes."""
     return rows.groupBy(*by).agg(F.count("*").alias("n"))
 
 
+def largest_groups(rows: DataFrame, by: list[str], k: int) -> DataFrame:
+    """The ``k`` largest groups, those of one size by their keys: a top-k report."""
+    return group_sizes(rows, by).orderBy(F.col("n").desc(), *by).limit(k)
+
+
 def outcome_stats(rows: DataFrame, outcome: str, tokens: str, states: tuple[str, ...]) -> DataFrame:
     """Counts by outcome and the tokens used, null where nobody reported any."""
     return rows.agg(*(F.count_if(F.col(outcome) == s).alias(f"n_{s.lower()}") for s in states), F.sum(tokens).alias("tokens"))

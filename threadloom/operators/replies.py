@@ -100,6 +100,13 @@ def upsert_edges(edges_: DataFrame, child: str = "child", order: str = "row_id")
     return last.select(child, "r.*")
 
 
+def with_status(edges_: DataFrame, updates: DataFrame, child: str = "child", order: str = "row_id") -> DataFrame:
+    """Edges with the last status that ``updates`` (child, status, order) gives; unknown children change nothing."""
+    last = updates.groupBy(F.col(child).alias("__c")).agg(F.max(F.struct(order, "status"))["status"].alias("__status"))
+    j = edges_.join(last, F.col(child) == F.col("__c"), "left")
+    return j.withColumn("status", F.coalesce("__status", "status")).drop("__c", "__status")
+
+
 def descendants(spawn: DataFrame, top: DataFrame, status: str | None = None) -> DataFrame:
     """(top, id, depth) breadth first, to the last level; a status filter holds for every edge passed.
 

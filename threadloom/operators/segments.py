@@ -90,7 +90,8 @@ def terminal_flags(clusters: DataFrame, keys: list[str], closing: Column) -> Dat
 
 
 def next_ordinals(known: DataFrame, new: DataFrame, key: str, ordinal: str, order: list[str]) -> DataFrame:
-    """New rows numbered on from the last ordinal of their key."""
+    """New rows numbered on from the last ordinal of their key; a known row without one is fatal."""
+    known = known.withColumn(ordinal, F.coalesce(F.col(ordinal), F.raise_error(F.lit("a known row has no ordinal")).cast("bigint")))
     top = known.groupBy(F.col(key).alias("__k")).agg(F.max(ordinal).alias("__top"))
     n = running(new, [key], order, {"__n": (COUNT, F.lit(1))})
     return n.join(top, F.col(key) == F.col("__k"), "left").withColumn("ordinal", (F.coalesce(F.col("__top") + 1, F.lit(0)) + F.col("__n") - 1).cast("bigint")).drop("__k", "__top", "__n")

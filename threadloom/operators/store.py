@@ -24,9 +24,18 @@ def keyset_page(rows: DataFrame, keys: list[str], after: tuple | None, size: int
     return rows.orderBy(*order).limit(size + 1)
 
 
-def log_filter(level: Column, least: str | None = None, since: Column | None = None, until: Column | None = None, ts: Column | None = None, any_like: list[Column] | None = None) -> Column:
-    """One condition out of those given; levels are those at or above ``least``."""
+def log_filter(level: Column, least: str | None = None, since: Column | None = None, until: Column | None = None, ts: Column | None = None, any_like: list[Column] | None = None,
+               thread: Column | None = None, threads: list[str] | None = None, threadless: bool = False, id_: Column | None = None, after_id: int | None = None) -> Column:
+    """One condition out of those given; levels are those at or above ``least``.
+
+    ``threads`` keeps their rows, ``threadless`` those of none, both together
+    either; ``after_id`` keeps what came after that row.
+    """
     out = F.lit(True)
+    if thread is not None and (threads is not None or threadless):
+        out &= F.coalesce(thread.isin(*(threads or [])), F.lit(False)) | (thread.isNull() if threadless else F.lit(False))
+    if id_ is not None and after_id is not None:
+        out &= id_ > after_id
     if least:
         out &= F.upper(level).isin(*LEVELS[LEVELS.index(least) :])
     if ts is not None and since is not None:
@@ -44,6 +53,21 @@ def thread_times(threads: DataFrame) -> DataFrame:
     return threads.withColumns({c: ms(c) for c in ("created_at", "updated_at", "archived_at")})
 
 
+def listing(threads: DataFrame, archived: bool = False, sources: tuple[str, ...] = (), providers: tuple[str, ...] = (), term: str | None = None) -> DataFrame:
+    """Threads of an archive state, and of sources, providers and a word in the title where these are given."""
+    out = threads.where(F.col("archived") == int(archived))
+    out = out.where(F.col("source").isin(*sources)) if sources else out
+    out = out.where(F.col("model_provider").isin(*providers)) if providers else out
+    return out if term is None else out.where(F.contains(F.lower(F.coalesce("title", F.lit(""))), F.lit(term.lower())))
+
+
+def item_page(items: DataFrame, status: str | None, after: int | None, size: int) -> DataFrame:
+    """Items of a job by ``row_index``, of one status if given, after a place; one row more tells of the next page."""
+    rows = items if status is None else items.where(F.col("status") == status)
+    rows = rows if after is None else rows.where(F.col("row_index") > after)
+    return rows.orderBy("row_index").limit(size + 1)
+
+
 def metadata_fold(rows: DataFrame) -> DataFrame:
     """(thread_id, model, first_user_message, title, tokens_used) folded from the ordered rows of a rollout.
 
@@ -82,6 +106,15 @@ def new_files(candidates: DataFrame, ledger: DataFrame) -> DataFrame:
     return unseen.join(ledger.select("digest").distinct(), "digest", "left_anti")
 
 
+def archived_as_found(found: DataFrame, now: Column) -> DataFrame:
+    """``found`` with archived and archived_at by where its file lies: below an archive folder it is archived, else not.
+
+    What was archived keeps its time.
+    """
+    there = F.col("rollout_path").rlike(r"(^|/)archived[^/]*/")
+    return found.withColumns({"archived_at": F.when(there, F.coalesce("archived_at", now)), "archived": there.cast("int")})
+
+
 def reconcile(existing: DataFrame, found: DataFrame) -> DataFrame:
     """Upsert of thread rows: git facts and an explicit title that exist are kept."""
     e = existing.select(*(F.col(c).alias(f"e_{c}") for c in existing.columns))

@@ -155,9 +155,14 @@ def assistant_text(output: Column) -> Column:
     return F.when(v.isNotNull(), F.array_join(texts, "\n")).otherwise(output)
 
 
-def hard_example(status: Column, errors: Column, reworked: Column) -> Column:
-    """Why a sample is hard: a correction before a tool error before rework; null when it is not."""
-    return F.when(F.coalesce(status == "corrected", F.lit(False)), "corrected").when(F.size(errors) > 0, "tool_error").when(F.coalesce(reworked, F.lit(False)), "rework")
+def hard_example(status: Column, steps: Column, reworked: Column) -> Column:
+    """(reason, error_step_idx): why a sample is hard, a correction before a tool error before rework; null when it is not.
+
+    The first step with an error is told for each of the three; an empty error is none.
+    """
+    failed = F.filter(F.transform(steps, lambda s, i: F.when(s["error"].isNotNull() & (s["error"] != ""), i)), lambda i: i.isNotNull())
+    reason = F.when(F.coalesce(status == "corrected", F.lit(False)), "corrected").when(F.size(failed) > 0, "tool_error").when(F.coalesce(reworked, F.lit(False)), "rework")
+    return F.struct(reason.alias("reason"), F.when(reason.isNotNull(), F.try_element_at(failed, F.lit(1))).alias("error_step_idx"))
 
 
 def chat_steps(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:

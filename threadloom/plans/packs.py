@@ -446,3 +446,149 @@ def objectives_and_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = T.top_objective(block)
     lane = F.when(F.col("archived") == 1, F.lit("g7:main")).otherwise(F.concat(F.lit("g7:"), F.coalesce("source", F.lit("-"))))
     return t.select("id", top["title"].alias("title"), top["objective"].alias("objective"), T.lane_name(lane, "g7", "g7:main").alias("lane"))
+
+
+# --- small operators, each over a whole table -----------------------------------
+
+
+@query("noise_rows", _W + rf""" SELECT id, text IS NULL OR regexp_matches(text, '^\s*(\[[^\]]*\]|\(.*\)|\.\.\.|…|ok)\s*$') OR starts_with(text, '[card]') OR contains(text, '<at>') AS is_noise FROM m""")
+def noise_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages(spark, sf_dir, "text").select("id", guards.is_noise(F.col("text")).alias("is_noise"))
+
+
+@query("demand_changes", _W + f""" SELECT id, coalesce(regexp_matches(text, '{guards.DEMAND}') AND NOT regexp_matches(text, '{_STRONG}'), false) AS asks_more FROM m""")
+def demand_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages(spark, sf_dir, "text").select("id", guards.asks_more(F.col("text")).alias("asks_more"))
+
+
+@query("control_commands", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 50 AS INT) END AS target FROM events")
+def control_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as commands, every third with a target."""
+    from threadloom.operators import jobs
+
+    text = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(" /Stop q"), F.col("event_id") % 50)).otherwise(F.concat(F.lit("please /stop "), F.col("event_type")))
+    return table(spark, sf_dir, "events").select("event_id", jobs.control_target(text).alias("target"))
+
+
+@query(
+    "late_evidence",
+    _W + _TRIPLES + """ SELECT tr.corrector FROM tr JOIN m b ON b.id = tr.anchor JOIN m c ON c.id = tr.corrector WHERE b.ts_us >= 1750000000000000 AND regexp_matches(c.text, '(?i)(fail|broke|error|lost|result|finished|失败|结果)')""",
+)
+def late_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrections whose anchor lies after a fixed time and that tell of a result."""
+    from threadloom.operators import jobs
+
+    m = materialise(messages(spark, sf_dir), "messages")
+    c = triples(m).join(m.select(F.col("id").alias("corrector"), "text"), "corrector").withColumn("limit_us", F.lit(1_750_000_000_000_000))
+    return jobs.late_evidence(c, m.select("id", "ts_us"), "limit_us").select("corrector")
+
+
+@query("persisted_items", "SELECT left(item_id, 6) AS prefix, count(*) AS n FROM thread_items WHERE json_valid(item_json) AND json_type(item_json) = 'OBJECT' AND item_json ->> '$.type' IN ('agent_message', 'error') GROUP BY 1")
+def persisted_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from threadloom.operators import jobs
+
+    kind = F.try_variant_get(F.try_parse_json("item_json"), "$.type", "string")
+    rows = table(spark, sf_dir, "thread_items").where(jobs.persisted(kind, ("agent_message", "error")))
+    return jobs.group_sizes(rows.select(F.substring("item_id", 1, 6).alias("prefix")), ["prefix"])
+
+
+@query("largest_threads", "SELECT thread_id, count(*) AS n FROM thread_items GROUP BY 1 ORDER BY n DESC, thread_id LIMIT 10")
+def largest_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from threadloom.operators import jobs
+
+    return jobs.largest_groups(table(spark, sf_dir, "thread_items"), ["thread_id"], 10)
+
+
+@query("stale_items", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O' AND epoch_us(o_orderdate) <= 1700000000000000 - 86400000000")
+def stale_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open orders as running items whose day is over at a fixed time."""
+    from threadloom.operators import jobs
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "O", "running").otherwise("done").alias("status"), F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("at"))
+    return jobs.stale(o, "at", 1_700_000_000_000_000, 86_400).select("o_orderkey")
+
+
+@query(
+    "sessions_with_files",
+    """WITH f AS (SELECT thread_id AS session, min(trace_id) AS path, arg_min(coalesce(model, ''), (start_ns, trace_id)) AS prompt, count(DISTINCT coalesce(model, '')) AS n, list(coalesce(model, '') ORDER BY start_ns, trace_id) AS v FROM trajectory WHERE thread_id IS NOT NULL GROUP BY 1)
+    SELECT t.id AS session, f.path, f.prompt, CASE WHEN f.n > 1 THEN array_to_string(v, ',') END AS variants FROM threads t LEFT JOIN f ON f.session = t.id""",
+)
+def sessions_with_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threads with their first trace as transcript and the models as captured prompts."""
+    from threadloom.operators import jobs
+
+    t = table(spark, sf_dir, "trajectory").where("thread_id is not null")
+    s = table(spark, sf_dir, "threads").select(F.col("id").alias("session"))
+    files = t.select(F.col("thread_id").alias("session"), F.col("trace_id").alias("path"))
+    captures = t.select(F.col("thread_id").alias("session"), F.struct("start_ns", "trace_id").alias("ts"), F.coalesce("model", F.lit("")).alias("prompt"))
+    return jobs.with_captures(jobs.with_transcript(s, files), captures).withColumn("variants", F.array_join("variants", ","))
+
+
+@query(
+    "interaction_edges",
+    """WITH f AS (SELECT thread_id, arg_min(item_id, (rollout_ordinal, item_id)) AS item FROM thread_items GROUP BY 1) SELECT coalesce(source, '-') AS parent, t.id AS child, coalesce(f.item, 'thread:' || t.id) AS target FROM threads t LEFT JOIN f ON f.thread_id = t.id""",
+)
+def interaction_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from threadloom.operators import jobs
+
+    spawns = table(spark, sf_dir, "threads").select(F.coalesce("source", F.lit("-")).alias("parent"), F.col("id").alias("child"))
+    items = table(spark, sf_dir, "thread_items").select(F.col("thread_id").alias("thread"), F.col("item_id").alias("item"), F.struct("rollout_ordinal", "item_id").alias("pos"))
+    return jobs.interaction_edges(spawns, items)
+
+
+@query(
+    "hard_examples",
+    """WITH s AS (SELECT trace_id, steps, list_filter(list_transform(coalesce(steps, []), lambda s, i: CASE WHEN s.error IS NOT NULL AND s.error <> '' THEN i - 1 END), lambda i: i IS NOT NULL) AS e, (source = 'cli') AS corrected, len(steps) > 8 AS reworked FROM trajectory),
+    r AS (SELECT trace_id, e, CASE WHEN coalesce(corrected, false) THEN 'corrected' WHEN len(e) > 0 THEN 'tool_error' WHEN coalesce(reworked, false) THEN 'rework' END AS reason FROM s) SELECT trace_id, reason, CASE WHEN reason IS NOT NULL THEN CAST(e[1] AS INT) END AS error_step_idx FROM r""",
+)
+def hard_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from threadloom.operators import trajectories
+
+    status = F.when(F.col("source") == "cli", "corrected")
+    h = trajectories.hard_example(status, F.coalesce("steps", F.array().cast(table(spark, sf_dir, "trajectory").schema["steps"].dataType)), F.size("steps") > 8)
+    return table(spark, sf_dir, "trajectory").select("trace_id", h["reason"].alias("reason"), h["error_step_idx"].alias("error_step_idx"))
+
+
+@query(
+    "text_helpers",
+    r"""SELECT row_id, regexp_replace(regexp_replace(coalesce(text, ''), '[^0-9A-Za-z一-鿿]+', '-', 'g'), '^-+|-+$', '', 'g') = '' AS untitled, CASE WHEN row_id % 2 = 0 THEN row_id ELSE 1735689600 + row_id END AS at,
+    list_reduce(list_transform(string_split(coalesce(text, ''), '```'), lambda x, i: CASE WHEN i % 2 = 1 THEN replace(x, '`', '') ELSE x END), lambda a, b: a || '```' || b) AS plain, array_to_string(list_filter([kind, CASE WHEN role <> kind OR kind IS NULL THEN role END], lambda x: x IS NOT NULL), '; ') AS merged
+    FROM (SELECT row_id, text, nullif(trim(kind, ' '), '') AS kind, nullif(trim(replace(role, ';', ''), ' '), '') AS role FROM chat_events) x""",
+)
+def text_helpers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File-safe names, time arguments, code marks taken off outside of fences, and lists merged."""
+    e = table(spark, sf_dir, "chat_events")
+    at = F.when(F.col("row_id") % 2 == 0, F.col("row_id").cast("string")).otherwise(F.date_format(F.timestamp_seconds(F.lit(1_735_689_600) + F.col("row_id")), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return e.select(
+        "row_id", (T.slug(F.coalesce("text", F.lit(""))) == "untitled").alias("untitled"), T.time_argument(at).alias("at"), T.unfenced(F.coalesce("text", F.lit(""))).alias("plain"),
+        T.merged_items(F.col("kind"), F.concat(F.lit(" "), F.replace("role", F.lit(";"), F.lit("")), F.lit("; ;"))).alias("merged"),
+    )
+
+
+@query("thread_filters", "SELECT id FROM threads WHERE archived = 0 AND source IN ('cli', 'vscode') AND contains(lower(coalesce(title, '')), 'the')")
+def thread_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from threadloom.operators import store
+
+    return store.listing(table(spark, sf_dir, "threads"), sources=("cli", "vscode"), term="The").select("id")
+
+
+@query("job_item_page", "SELECT o_orderkey AS row_index, o_orderstatus AS status FROM orders WHERE o_orderstatus = 'F' AND o_orderkey > 500 ORDER BY o_orderkey LIMIT 21")
+def job_item_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from threadloom.operators import store
+
+    return store.item_page(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_index"), F.col("o_orderstatus").alias("status")), "F", 500, 20)
+
+
+@query("edge_statuses", "WITH u AS (SELECT who AS child, arg_max(kind, row_id) FILTER (WHERE kind IS NOT NULL) AS k, max(row_id) AS r FROM chat_events WHERE who IS NOT NULL AND kind IS NOT NULL GROUP BY 1), e AS (SELECT who AS child, arg_max(group_id, row_id) AS parent FROM chat_events WHERE who IS NOT NULL GROUP BY 1) SELECT e.child, parent, coalesce(k, 'open') AS status FROM e LEFT JOIN u ON u.child = e.child")
+def edge_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges from groups to senders, the last kind of a sender being its status."""
+    e = table(spark, sf_dir, "chat_events").where("who is not null")
+    edges = replies.upsert_edges(e.select(F.col("who").alias("child"), F.col("group_id").alias("parent"), "row_id")).select("child", "parent", F.lit("open").alias("status"))
+    return replies.with_status(edges, e.where("kind is not null").select(F.col("who").alias("child"), F.col("kind").alias("status"), "row_id"))
+
+
+@query("archive_states", "SELECT id, CAST(rollout_path LIKE '%/archived%/%' OR rollout_path LIKE 'archived%/%' AS INT) AS archived, CASE WHEN rollout_path LIKE '%/archived%/%' OR rollout_path LIKE 'archived%/%' THEN coalesce(archived_at, 7) END AS archived_at FROM threads")
+def archive_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from threadloom.operators import store
+
+    return store.archived_as_found(table(spark, sf_dir, "threads").select("id", "rollout_path", "archived", "archived_at"), F.lit(7).cast("bigint")).select("id", "archived", "archived_at")

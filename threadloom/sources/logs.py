@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadloom.operators import ordered
 from threadloom.session import names_in, path_exists
 
 SPAN = "trace_id string, span_id string, parent_span_id string, name string, start_ns bigint, end_ns bigint, attributes map<string,string>, events array<struct<name:string,time_ns:bigint>>"
@@ -48,10 +49,34 @@ def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
     return kept.select(F.regexp_extract("file", r"([^/]+?)(?:\.jsonl)?$", 1).alias("session"), "message.role", "message.content", "timestamp")
 
 
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, at, value): lines with their place, whose order is that of the file.
+
+    Files are split as ever; a place is the split's and the line's within it.
+    """
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    return text.select("file", F.struct("block", F.monotonically_increasing_id().alias("line")).alias("at"), F.regexp_replace("value", "\r$", "").alias("value"))
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, value): lines of each file numbered from 1, read whole."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n", -1)).alias("i", "value"))
-    return whole.where(F.trim("value") != "").select("file", (F.col("i") + 1).cast("bigint").alias("line_no"), "value")
+    """(file, line_no, value): lines of each file numbered from 1; blank ones are counted and left out."""
+    numbered = ordered.numbered(placed_lines(spark, path), ["file"], ["at"], "line_no")
+    return numbered.where(F.trim("value") != "").select("file", "line_no", "value")
+
+
+def last_records(spark: SparkSession, path: str, schema: str, keep: F.Column | None = None) -> DataFrame:
+    """Of each file the last record that parses, and fulfils ``keep`` if given, with how many lines after it did not parse.
+
+    What a scan from the end would find first; it goes on past bad lines.
+    """
+    rows = placed_lines(spark, path).where(F.trim("value") != "").withColumn("ok", F.try_parse_json("value").isNotNull()).withColumn("r", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
+    good = rows.where("ok").select("file", "at", "r.*")
+    good = good if keep is None else good.where(keep)
+    names = [c for c in good.columns if c not in ("file", "at")]
+    last = good.groupBy("file").agg(F.max(F.struct("at", *names)).alias("l"))
+    bad = rows.where(~F.col("ok")).select(F.col("file").alias("f"), F.col("at").alias("bad_at"))
+    j = last.join(bad, (F.col("file") == F.col("f")) & (F.col("bad_at") > F.col("l.at")), "left")
+    return j.groupBy("file", "l").agg(F.count("bad_at").alias("n_bad_after")).select("file", *(F.col(f"l.{n}").alias(n) for n in names), "n_bad_after")
 
 
 def first_wins(sources: list[DataFrame], key: str, order: str) -> DataFrame:
@@ -79,8 +104,17 @@ def refreshed(cache: DataFrame, fetched: DataFrame, key: str, order: str) -> Dat
 
 
 def objects_in_text(col: F.Column) -> F.Column:
-    """The first JSON object in free text, as VARIANT, code fences aside; null when none parses."""
-    return F.try_parse_json(F.regexp_extract(F.regexp_replace(col, "```(?:json)?", ""), r"(?s)(\{.*\})", 1))
+    """The first JSON object in free text, as VARIANT, code fences aside; null when none parses.
+
+    From the first brace to the last, else what the first line with an object
+    holds up to a closing brace, the longest that parses.
+    """
+    bare = F.regexp_replace(col, "```(?:json)?", "")
+    whole = F.try_parse_json(F.regexp_extract(bare, r"(?s)(\{.*\})", 1))
+    lines = F.transform(F.split(bare, "\n"), lambda x: F.regexp_extract(x, r"(\{.*\})", 1))
+    short = F.transform(F.split(bare, "\n"), lambda x: F.regexp_extract(x, r"(\{.*?\})(?:[^}]|$)", 1))
+    found = F.filter(F.transform(F.concat(lines, short), lambda x: F.try_parse_json(F.when(x != "", x))), lambda v: v.isNotNull())
+    return F.coalesce(whole, F.try_element_at(found, F.lit(1)))
 
 
 def _assembled(text: str) -> dict:

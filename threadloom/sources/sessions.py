@@ -39,11 +39,12 @@ def response_items(items: DataFrame) -> DataFrame:
 
 
 def read_rollouts(spark: SparkSession, root: str) -> DataFrame:
-    """Per rollout file below ``root``: its thread, counts, bad lines, first user text, last model."""
-    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(root).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    """Per rollout file below ``root``: its thread, counts, bad lines, first user text, last model, by the order of lines."""
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(root)
+    text = text.select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
     v = F.try_parse_json("value")
     get = lambda p: F.try_variant_get(v, p, "string")
-    rows = text.where(F.trim("value") != "").select("file", v.isNull().alias("bad"), get("$.timestamp").alias("at"), get("$.type").alias("kind"), get("$.payload.id").alias("id"), get("$.payload.model").alias("model"), get("$.payload.message").alias("message"))
+    rows = text.where(F.trim("value") != "").select("file", "at", v.isNull().alias("bad"), get("$.type").alias("kind"), get("$.payload.id").alias("id"), get("$.payload.model").alias("model"), get("$.payload.message").alias("message"))
     said = (F.col("kind") == "user_message") & F.col("message").isNotNull()
     return rows.groupBy("file").agg(
         F.min_by("id", F.when((F.col("kind") == "session_meta") & F.col("id").isNotNull(), F.col("at"))).alias("thread_id"), F.count("*").alias("n_lines"), F.count_if("bad").alias("n_bad"),
@@ -70,6 +71,12 @@ def summarised_sessions(spark: SparkSession, path: str) -> DataFrame:
     return s.where("cwd is not null and first is not null and last_at is not null").select("file", "cwd", F.coalesce("own", "made", F.substring("first", 1, 60)).alias("title"), "last_at")
 
 
+def adjudication_sections(notes: DataFrame, text_col: str) -> DataFrame:
+    """(card, note): a text of many notes cut at its headings ``## Card n``; what stands before the first is left out."""
+    cut = notes.select(F.explode(F.split(text_col, r"(?m)^(?=## Card \d+)")).alias("s")).where(F.col("s").startswith("## Card "))
+    return cut.select(F.regexp_extract("s", r"^## Card (\d+)", 1).cast("int").alias("card"), F.regexp_replace("s", r"^## Card \d+[^\n]*\n?", "").alias("note"))
+
+
 def adjudications(notes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, accepted, labels): label pairs like ``T0: m1`` of a note, and whether it says accept."""
     pairs = F.regexp_extract_all(text_col, F.lit(r"(T0|B|C)\s*[:：]\s*(\S+)"), 0)
