@@ -55,7 +55,7 @@ def test_names():
     at = lambda x: [(k, x[a:b]) for a, b, k in pii.find_in_name(x)]
     assert at("Ann Lee <ann.lee@mail.example>") == [("NAME", "Ann Lee"), ("EMAIL", "ann.lee@mail.example")]
     assert at("Dr. Ann van Lee (on leave)") == [("NAME", "Ann van Lee")]
-    for nobody in ("release-crew", "Lane Keeper Bot", "整理助手", "intake form", "oncall", "relay-bot (server)", ""):
+    for nobody in ("release-crew", "Lane Keeper Bot", "整理助手", "intake form", "oncall", "relay-bot (server)", "Data Intake", "Build Alerts", ""):
         assert at(nobody) == []
 
 

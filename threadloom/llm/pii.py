@@ -194,7 +194,7 @@ _ORDINARY = frozenset(
     manager policy admin operator customer customers client support everyone everybody folks guys friend friends colleague colleagues sir madam boss reviewer author maintainer request ticket default
     design documentation spec contract agreement usual kollege kollegen zusammen world welt mundo kunde leiter cliente equipo jefe todos compañeros""".split()
 )
-_BOTS = re.compile(r"(?i)(?:^|[\s_-])(?:bots?|crew|team|runner|helper|agent|assistant|server|service|system|form|oncall|on-call|desk|queue|ledger)(?:$|[\s_-])|助手|机器人|群")
+_BOTS = re.compile(r"(?i)(?:^|[\s_-])(?:bots?|crew|team|runner|helper|agent|assistant|server|service|system|form|intake|inbox|dispatch|notifications?|alerts?|mailer|gateway|pipeline|oncall|on-call|desk|queue|ledger)(?:$|[\s_-])|助手|机器人|群")
 
 
 def _case(token: str) -> str:
