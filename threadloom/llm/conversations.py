@@ -147,7 +147,7 @@ def _sort_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rows.select(["root", "part", "id", "who", "said"]).append_column("rank", pa.array(ranks, pa.int64())).to_batches()
 
 
-def _by_ranges(rows: DataFrame, n_rows: int, bucket_rows: int) -> DataFrame:
+def _by_ranges(rows: DataFrame, n_rows: int, n_roots: int, bucket_rows: int) -> DataFrame:
     """Conversations of any size, by Kahn's algorithm over ranges of their order.
 
     A message's position is its rank in its own range plus the messages of the
@@ -165,6 +165,7 @@ def _by_ranges(rows: DataFrame, n_rows: int, bucket_rows: int) -> DataFrame:
         F.max(F.when(user, F.col("pos"))).alias("last_user"), F.max(F.when(bot, F.col("pos"))).alias("last_bot"), F.max(user & F.col("said")).alias("asked"), F.min("rank").alias("least")
     )
     kept = ends.where("asked and last_bot > last_user and least > 0").select("root")
+    kept = broadcast_if_small(kept, n_roots * 128)
     return placed.join(kept, "root").select(F.col("root").alias("root_id"), "pos", F.col("id").alias("msg_id"), "who")
 
 
@@ -184,7 +185,7 @@ def spoken(events: DataFrame, groups: DataFrame, bucket_rows: int = BUCKET_ROWS,
     some = some.select(F.pmod(F.xxhash64("root"), F.lit(buckets)).alias("bucket"), "root", "id", "up", "value", "who", "said")
     out = some.groupBy("bucket").applyInArrow(_sort_bucket, _PLACED)
     if found["roots"]:
-        out = out.unionByName(_by_ranges(rows.join(named, "root", "left_semi"), found["n"], bucket_rows))
+        out = out.unionByName(_by_ranges(rows.join(named, "root", "left_semi"), found["n"], found["roots"], bucket_rows))
     return out
 
 

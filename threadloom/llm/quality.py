@@ -2,8 +2,10 @@
 
 All counts are taken over whole batches of code points: class tables give
 letters, digits, symbols and white space, and sums between line starts give the
-statistics of each line and each document. Fixed thresholds then decide, and
-every rule that a document fails is recorded by name.
+statistics of each line and each document. The published fixed thresholds are
+applied and every rule that a document fails is recorded by name; as they do
+not tell prose, lists, tables and junk apart, the kind is that of the lines
+with most of a document's characters.
 """
 
 from __future__ import annotations
@@ -29,18 +31,49 @@ MIN_ALPHA_WORDS = 0.8
 MIN_COMMON_WORDS = 2
 MIN_TERMINAL_LINES = 0.12
 
-# What makes a line a log entry, a cell row and so on.
+# Our own values for the kinds of lines, which the published rules do not tell
+# apart. No publication stands behind them, and nothing is recorded of how the
+# single values were set; what they do on the test tables stands in the README.
 MAX_TOKEN = 40
 """Mean length of white-space separated pieces beyond which a line is encoded data."""
 MAX_TURNS = 0.18
 """Share of characters after which case or digits change inside a piece."""
-MAX_MOJIBAKE = 0.3
-MAX_SYMBOLS = 0.4
-MIN_SALAD_WORDS = 10
-MIN_COMMON_SHARE = 0.08
-MAX_REPEATS = 0.5
-FULL_LINE = 0.6
-"""Lines this near to the longest count as wrapped, not as items."""
+MIN_ENCODED = 16
+"""Characters of the shortest line that counts as encoded."""
+MAX_MOJIBAKE, MIN_GARBLED = 0.3, 8
+"""Share of characters that wrong decoding gives, and the shortest line it is asked of."""
+MAX_SYMBOLS, MAX_SYMBOL_WORDS = 0.4, 6
+"""Share of symbols beyond which a line of fewer words is noise."""
+MIN_SALAD_WORDS, MIN_COMMON_SHARE = 10, 0.08
+"""A line of so many words with fewer common ones is words without sentences."""
+BARE_WORDS, MAX_BARE_COMMON, WORDS_A_MARK = (7, 16), 0.12, 10
+"""So is a line of bare words with hardly a mark."""
+WIDE_SALAD, WIDE_PIECES, WIDE_PIECE = 20, 8, 8
+"""Characters, pieces and characters a piece of such a line in scripts without spaces."""
+MIN_SEPARATORS, PIECES_A_COMMA = 2, 4
+"""Separators of a row, and pieces that a row of commas may have for each."""
+MAX_CELL = 40
+"""Mean visible characters of a cell between gaps."""
+MIN_GAPPED = 0.6
+"""Share of a text's lines with a gap that makes one gap a row."""
+MIN_CELL_TEXT = 0.2
+"""Share of letters and digits in a row."""
+MENU_PIPES = 3
+MAX_QUOTES, MIN_QUOTES, MIN_STRUCTURE = 0.12, 6, 0.25
+"""Share and number of quotes and brackets, and share of symbols, of machine data."""
+MAX_REPEATS, MIN_LOOP_PIECES = 0.5, 8
+MAX_SAME_CHARS, MIN_LOOP_CHARS = 0.5, 16
+"""Shares of a text that repeats itself, and the shortest it is asked of."""
+FULL_LINE, MIN_WRAPPED = 0.6, 0.6
+"""Lines this near to the longest count as wrapped, not as items; the share of them in wrapped text."""
+LONG_LINE, LONG_WIDE_LINE = 72, 33
+"""Characters of a written line, and of one in scripts without spaces."""
+MIN_ITEMS, SHORTEST_SENTENCE, LONGEST_SENTENCE = 3, 5, 60
+"""Lines of the shortest list, and the words of sentences."""
+ENDED_ITEMS = 0.6
+"""Sentence ends a line below which short lines are items."""
+MIN_PROSE_COMMON, MIN_READ_COMMON, MIN_READ_WORDS = 0.12, 0.05, 20
+"""Shares of common words in wrapped prose and in anything read, and how many words tell."""
 
 PROSE, LIST, TABLE, JUNK = 0, 1, 2, 3
 KINDS = ("prose", "list", "table", "junk")
@@ -184,29 +217,29 @@ class Scorer:
         log = self._log(lead)
 
         # Lines, most telling rule first.
-        row = (pipe >= 2) & np.isin(lead[:, 0], _PIPES) | (tabs >= 2) | (semicolons >= 2) & (enders == 0) & (quotes < 4) | (tight_commas >= 2) & (quotes < 4) & (pieces <= tight_commas * 4 + 4)
+        row = (pipe >= MIN_SEPARATORS) & np.isin(lead[:, 0], _PIPES) | (tabs >= MIN_SEPARATORS) | (semicolons >= MIN_SEPARATORS) & (enders == 0) & (quotes < 4) | (tight_commas >= MIN_SEPARATORS) & (quotes < 4) & (pieces <= (tight_commas + 1) * PIECES_A_COMMA)
         full = np.maximum(1, vis)
-        row |= (gaps >= 2) & (enders == 0) & (vis / (gaps + 1) < 40)
+        row |= (gaps >= MIN_SEPARATORS) & (enders == 0) & (vis / (gaps + 1) < MAX_CELL)
         # A table with empty cells: most lines of the document have a gap.
         gapped = by_doc(line_doc[(gaps >= 1) & (enders == 0)]) / np.maximum(1, by_doc(line_doc[vis > 0]))
-        row |= (gaps >= 1) & (enders == 0) & (gapped >= 0.6)[line_doc] & (vis / (gaps + 1) < 40)
+        row |= (gaps >= 1) & (enders == 0) & (gapped >= MIN_GAPPED)[line_doc] & (vis / (gaps + 1) < MAX_CELL)
         ruled = per_line(np.isin(points, (45, 58, 61, 43, 0x2500, 0x2550, 0x253C)) | t["pipe"][points]) == vis
-        row &= ((vis - others) / full >= 0.2) | (ruled & (pipe + gaps >= 2))
-        navigation = (pipe >= 3) & ~np.isin(lead[:, 0], _PIPES)
+        row &= ((vis - others) / full >= MIN_CELL_TEXT) | (ruled & (pipe + gaps >= 2))
+        navigation = (pipe >= MENU_PIPES) & ~np.isin(lead[:, 0], _PIPES)
         hexadecimal = self._hexadecimal(points, line_at, vis)
         encoded = (vis / np.maximum(1, pieces) > MAX_TOKEN) & (wides * 2 < vis)
         upper = narrow & (_lower()[points] != points)
         number = kind == _NUMBER
         turn = narrow & ~upper & following(upper, False) | number & following(narrow, False) | narrow & following(number, False)
-        encoded |= (per_line(turn) / full > MAX_TURNS) & (vis >= 16) & (commons == 0)
-        structured = (quotes / full > 0.12) & (quotes >= 6) & (others / full > 0.25)
-        garbled = (mojibake / full > MAX_MOJIBAKE) & (vis >= 8)
-        symbols = (others / full > MAX_SYMBOLS) & ~row & ~ruled & ~marked & (wides == 0) & (words < 6)
+        encoded |= (per_line(turn) / full > MAX_TURNS) & (vis >= MIN_ENCODED) & (commons == 0)
+        structured = (quotes / full > MAX_QUOTES) & (quotes >= MIN_QUOTES) & (others / full > MIN_STRUCTURE)
+        garbled = (mojibake / full > MAX_MOJIBAKE) & (vis >= MIN_GARBLED)
+        symbols = (others / full > MAX_SYMBOLS) & ~row & ~ruled & ~marked & (wides == 0) & (words < MAX_SYMBOL_WORDS)
         rare = commons / np.maximum(1, words)
         salad = (words >= MIN_SALAD_WORDS) & (rare < MIN_COMMON_SHARE) & (wides * 3 < vis)
         # Short lines of bare words, without marks between them.
-        salad |= (words >= 7) & (words < 16) & (rare < 0.12) & (others * 10 <= words) & (wides * 3 < vis)
-        salad |= (wides >= 20) & (pieces >= 8) & (wide_commas == 0) & (enders == 0) & (wides / np.maximum(1, pieces) < 8)
+        salad |= (words >= BARE_WORDS[0]) & (words < BARE_WORDS[1]) & (rare < MAX_BARE_COMMON) & (others * WORDS_A_MARK <= words) & (wides * 3 < vis)
+        salad |= (wides >= WIDE_SALAD) & (pieces >= WIDE_PIECES) & (wide_commas == 0) & (enders == 0) & (wides / np.maximum(1, pieces) < WIDE_PIECE)
         junk = log | (navigation & ~row) | hexadecimal | (structured & ~row) | garbled | symbols | (encoded & ~row)
         junk |= salad & ~row & ~marked & (tabs + semicolons < 2)
         item = marked & ~junk & ~row
@@ -229,22 +262,22 @@ class Scorer:
         left_common = by_doc(line_doc[left], (commons + wide_common)[left]) / np.maximum(1, left_words)
         mean_line = left_chars / np.maximum(1, n_left)
         wide_doc = by_doc(line_doc, wides) * 3 > by_doc(line_doc, vis)
-        long_line = np.where(wide_doc, 33, 72)
+        long_line = np.where(wide_doc, LONG_WIDE_LINE, LONG_LINE)
         sentence = left_words / np.maximum(1, left_enders)
-        even = (wrapped >= 0.6) & (left_enders > 0) & (sentence <= 60) & (left_common >= 0.12)
-        short = (n_left >= 3) & (mean_line < long_line) & ~even & (by_doc(line_doc[inner]) >= 2)
-        short &= (sentence < 5) | (left_enders < 0.6 * n_left) | (left_common < 0.05)
+        even = (wrapped >= MIN_WRAPPED) & (left_enders > 0) & (sentence <= LONGEST_SENTENCE) & (left_common >= MIN_PROSE_COMMON)
+        short = (n_left >= MIN_ITEMS) & (mean_line < long_line) & ~even & (by_doc(line_doc[inner]) >= 2)
+        short &= (sentence < SHORTEST_SENTENCE) | (left_enders < ENDED_ITEMS * n_left) | (left_common < MIN_READ_COMMON)
         klass[left & short[line_doc]] = LIST
         # Long lines without sentence ends or common words are no sentences.
-        unread = ~short & (left_words >= 20) & (left_enders == 0) & (left_common < 0.05)
+        unread = ~short & (left_words >= MIN_READ_WORDS) & (left_enders == 0) & (left_common < MIN_READ_COMMON)
         klass[left & unread[line_doc]] = JUNK
 
         mass = np.stack([by_doc(line_doc[klass == k], vis[klass == k]) for k in range(4)])
         doc_vis = np.maximum(1, mass.sum(0))
-        looping = ((repeats > MAX_REPEATS) & (n_pieces >= 8)) | (same_char / doc_vis > 0.5) & (doc_vis >= 16)
+        looping = ((repeats > MAX_REPEATS) & (n_pieces >= MIN_LOOP_PIECES)) | (same_char / doc_vis > MAX_SAME_CHARS) & (doc_vis >= MIN_LOOP_CHARS)
         mass[JUNK] = np.where(looping, doc_vis + 1, mass[JUNK])
         # Rows of cells repeat few values by nature.
-        mass[JUNK] = np.where(looping & (mass[TABLE] > doc_vis * 0.5) & (same_char / doc_vis <= 0.5), 0, mass[JUNK])
+        mass[JUNK] = np.where(looping & (mass[TABLE] > doc_vis * 0.5) & (same_char / doc_vis <= MAX_SAME_CHARS), 0, mass[JUNK])
         best = mass.argmax(0)
 
         total_words = by_doc(line_doc, words) + by_doc(line_doc, wides) / 2
