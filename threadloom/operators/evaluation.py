@@ -110,3 +110,21 @@ def majority_labels(rows: DataFrame, by: list[str], label: str, order: str) -> D
     counts = rows.where(F.col(label).isNotNull()).groupBy(*by, label).agg(F.count("*").alias("n"), F.min(order).alias("first"))
     best = counts.groupBy(*by).agg(F.min(F.struct((-F.col("n")).alias("m"), "first", label)).alias("b"))
     return best.select(*by, F.col(f"b.{label}").alias(label), (-F.col("b.m")).alias("n"))
+
+
+def carried_titles(old: DataFrame, new: DataFrame, least: float = 0.6) -> DataFrame:
+    """(new, title, containment): the title that each new cluster takes over, if any.
+
+    ``old`` has old, pos, title and id, ``new`` new and id, both a row per
+    member. A cluster takes the title of the old one that it holds the largest
+    share of, at least ``least``, the earliest of equals. Clusters share no
+    member, so above one half an old cluster can only go to one new one and
+    none is used twice. Old clusters without title carry nothing.
+    """
+    if least <= 0.5:
+        raise ValueError("below one half an old cluster could go to two new ones")
+    titled = old.where(F.trim(F.coalesce("title", F.lit(""))) != "")
+    shares = containment(titled.select("old", "id"), new).where(F.col("containment") >= least)
+    named = titled.groupBy("old").agg(F.min(F.struct("pos", "title")).alias("t"))
+    best = shares.join(named, "old").groupBy("new").agg(F.max(F.struct("containment", (-F.col("t.pos")).alias("p"), "t.title")).alias("b"))
+    return best.select("new", "b.title", "b.containment")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -25,6 +28,34 @@ def fingerprint_of(*parts: Column) -> Column:
     return F.sha2(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}).cast("binary"), 256)
 
 
+def identities(payloads: DataFrame, id_col: str, prefix: str) -> DataFrame:
+    """(id, identity): the SHA-256 of what stays the same from call to call, system and tools as canonical JSON.
+
+    ``payloads`` has system and tools as JSON text. Blocks of the system whose
+    text begins with the volatile ``prefix`` are left out. Canonical is what
+    Python writes with sorted keys. Text that is no JSON counts as a string.
+    """
+
+    def parsed(text):
+        try:
+            return None if text is None else json.loads(text)
+        except ValueError:
+            return text
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for system, tools in zip(batch["system"].to_pylist(), batch["tools"].to_pylist(), strict=True):
+                system = parsed(system)
+                if isinstance(system, list):
+                    system = [b for b in system if not (isinstance(b, dict) and str(b.get("text") or "").startswith(prefix))]
+                text = json.dumps({"system": system, "tools": parsed(tools)}, ensure_ascii=False, sort_keys=True)
+                out.append(hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch[id_col], pa.array(out, pa.string())], [id_col, "identity"])
+
+    return payloads.select(id_col, "system", "tools").mapInArrow(run, f"`{id_col}` {payloads.schema[id_col].dataType.simpleString()}, identity string")
+
+
 def rendered_context(rows: DataFrame, keys: list[str], order: list[str], cap: int = 80) -> DataFrame:
     """One text per key: its last ``cap`` rows as ``M<i> [role/name] text``, numbered in order.
 

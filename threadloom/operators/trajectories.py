@@ -90,6 +90,21 @@ def tool_bindings(messages: DataFrame) -> DataFrame:
     return flat.select("trace_id", F.col("r.pos").alias("pos"), F.when(F.col("r.call").isNotNull(), F.concat(F.lit("call_"), F.col("r.call").cast("string"))).alias("call_id"))
 
 
+def chat_samples(messages: DataFrame, least_calls: int = 1) -> DataFrame:
+    """(trace_id, pos, role, content, call_id): what a chat sample keeps of each trace.
+
+    The first system message, the first of a user with text, and all of
+    assistant and tools; tool messages have the id of their call. Traces with
+    less than ``least_calls`` calls are left out.
+    """
+    m = messages.select("trace_id", "pos", "role", "content", F.greatest(F.size(F.coalesce("tool_calls", F.array())), F.lit(0)).alias("n"))
+    said = (F.col("role") == "user") & (F.trim(F.coalesce("content", F.lit(""))) != "")
+    g = m.groupBy("trace_id").agg(F.min(F.when(F.col("role") == "system", F.col("pos"))).alias("s"), F.min(F.when(said, F.col("pos"))).alias("u"), F.sum(F.when(F.col("role") == "assistant", F.col("n")).otherwise(0)).alias("calls"))
+    kept = m.join(g.where(F.col("calls") >= least_calls), "trace_id").where((F.col("pos") == F.col("s")) | (F.col("pos") == F.col("u")) | F.col("role").isin("assistant", "tool"))
+    bound = tool_bindings(messages).select(F.col("trace_id").alias("t"), F.col("pos").alias("p"), "call_id")
+    return kept.join(bound, (F.col("trace_id") == F.col("t")) & (F.col("pos") == F.col("p")), "left").select("trace_id", "pos", "role", "content", "call_id")
+
+
 def completion_start(messages: DataFrame) -> DataFrame:
     """Where the output begins: the first message after the last one that is not an assistant's."""
     return messages.groupBy("trace_id").agg(

@@ -319,6 +319,19 @@ def title_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.containment(old, new)
 
 
+@query(
+    "carried_titles",
+    _W + """, o AS (SELECT id, coalesce(task_id, '-') AS old FROM m WHERE row_id % 3 <> 0), n AS (SELECT id, coalesce(thread_id, '-') AS new FROM m WHERE row_id % 3 <> 1), z AS (SELECT old, count(*) AS size FROM o WHERE trim(old, ' ') <> '' GROUP BY 1),
+    s AS (SELECT old, new, round(count(*) / max(size), 6) AS c FROM o JOIN n ON o.id = n.id JOIN z USING (old) GROUP BY 1, 2 HAVING round(count(*) / max(size), 6) >= 0.6) SELECT new, arg_max(old, (c, -length(old), old)) AS title, max(c) AS containment FROM s GROUP BY 1""",
+)
+def carried_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threads as new clusters that take over the titles of tasks, shorter ones ahead of longer."""
+    m = messages(spark, sf_dir, "task_id", "thread_id")
+    old = m.where("row_id % 3 <> 0").select("id", F.coalesce("task_id", F.lit("-")).alias("old"))
+    new = m.where("row_id % 3 <> 1").select("id", F.coalesce("thread_id", F.lit("-")).alias("new"))
+    return evaluation.carried_titles(old.withColumns({"title": F.col("old"), "pos": F.length("old")}), new)
+
+
 _PAIRS = """WITH s AS (SELECT a.vec_id AS query, b.vec_id AS vec_id, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim,
       CASE WHEN a.label >= 0 AND b.label >= 0 THEN a.label = b.label END AS same, abs(b.vec_id - a.vec_id) = 1 AS adjacent FROM embeddings a JOIN embeddings b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)"""
 _VECTORS = ("vec_id", "embedding", "label")

@@ -180,3 +180,16 @@ def prompt_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = c.join(b, F.col("parent") == F.col("b")).join(t, F.col("t0") == F.col("t"))
     pair = samples.prompt_pair(F.col("answer"), F.col("request"), F.col("comment"))
     return j.select("id", pair["base"].alias("base"), pair["treated"].alias("treated"))
+
+
+@query(
+    "prompt_identities",
+    """WITH u AS (SELECT trace_id, unnest(messages) AS m, generate_subscripts(messages, 1) AS pos FROM trajectory), s AS (SELECT trace_id, list('{"text": ' || CASE WHEN m.content IS NULL THEN 'null' ELSE CAST(to_json(m.content) AS VARCHAR) END || '}' ORDER BY pos) FILTER (WHERE NOT coalesce(starts_with(m.content, 'After '), false)) AS b FROM u WHERE m.role = 'system' GROUP BY 1)
+    SELECT trace_id, sha256('{"system": [' || coalesce(array_to_string(b, ', '), '') || '], "tools": null}') AS identity FROM s""",
+)
+def prompt_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """System texts of traces as a payload of blocks, hashed as canonical JSON without the volatile ones."""
+    m = trajectories.message_rows(table(spark, sf_dir, "trajectory"))
+    blocks = m.where("role = 'system'").groupBy("trace_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "content"))), lambda r: F.struct(r["content"].alias("text"))).alias("b"))
+    payloads = blocks.select("trace_id", F.to_json("b", {"ignoreNullFields": "false"}).alias("system"), F.lit(None).cast("string").alias("tools"))
+    return samples.identities(payloads, "trace_id", "After ")

@@ -189,18 +189,29 @@ def step_aggregation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trajectories.turns(trajectories.step_rows(table(spark, sf_dir, "trajectory"))).select("trace_id", "pos", "type", "turn", "k", "tool_name")
 
 
-@query(
-    "tool_call_binding",
-    """WITH RECURSIVE x AS (SELECT trace_id, unnest(messages) AS m, generate_subscripts(messages, 1) - 1 AS pos FROM trajectory), y AS (SELECT trace_id, pos, m.role AS role, coalesce(len(m.tool_calls), 0) AS n, row_number() OVER (PARTITION BY trace_id ORDER BY pos) AS k FROM x WHERE m IS NOT NULL),
+_BIND = """WITH RECURSIVE x AS (SELECT trace_id, unnest(messages) AS m, generate_subscripts(messages, 1) - 1 AS pos FROM trajectory), y AS (SELECT trace_id, pos, m.role AS role, coalesce(len(m.tool_calls), 0) AS n, row_number() OVER (PARTITION BY trace_id ORDER BY pos) AS k FROM x WHERE m IS NOT NULL),
     s AS (SELECT trace_id, CAST(0 AS BIGINT) AS k, 0 AS made, 0 AS nxt, 0 AS fin, CAST(NULL AS BIGINT) AS pos, CAST(NULL AS INT) AS call FROM y WHERE k = 1
       UNION ALL SELECT s.trace_id, y.k, CASE WHEN role = 'assistant' AND n > 0 THEN made + n ELSE made END, CASE WHEN role = 'assistant' AND n > 0 THEN made WHEN role = 'tool' THEN least(nxt + 1, fin) ELSE nxt END,
         CASE WHEN role = 'assistant' AND n > 0 THEN made + n ELSE fin END, CASE WHEN role = 'tool' THEN y.pos END, CASE WHEN role = 'tool' AND nxt < fin THEN nxt END FROM s JOIN y ON y.trace_id = s.trace_id AND y.k = s.k + 1)
-    SELECT trace_id, pos, CASE WHEN call IS NOT NULL THEN 'call_' || call END AS call_id FROM s WHERE pos IS NOT NULL""",
-)
+"""
+
+
+@query("tool_call_binding", _BIND + " SELECT trace_id, pos, CASE WHEN call IS NOT NULL THEN 'call_' || call END AS call_id FROM s WHERE pos IS NOT NULL")
 def tool_call_binding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trajectories.tool_bindings(trajectories.message_rows(table(spark, sf_dir, "trajectory")))
 
 
+@query(
+    "chat_samples",
+    _BIND + """, q AS (SELECT trace_id, pos, m.role AS role, m.content AS content, coalesce(len(m.tool_calls), 0) AS n FROM x WHERE m IS NOT NULL),
+    g AS (SELECT trace_id, min(CASE WHEN role = 'system' THEN pos END) AS s, min(CASE WHEN role = 'user' AND trim(coalesce(content, ''), ' ') <> '' THEN pos END) AS u, sum(CASE WHEN role = 'assistant' THEN n ELSE 0 END) AS calls FROM q GROUP BY 1)
+    SELECT q.trace_id, q.pos, q.role, q.content, CASE WHEN b.call IS NOT NULL THEN 'call_' || b.call END AS call_id FROM q JOIN g ON g.trace_id = q.trace_id AND calls >= 1 LEFT JOIN (SELECT * FROM s WHERE pos IS NOT NULL) b ON b.trace_id = q.trace_id AND b.pos = q.pos
+    WHERE q.pos = g.s OR q.pos = g.u OR role IN ('assistant', 'tool')""",
+)
+def chat_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trajectories.chat_samples(trajectories.message_rows(table(spark, sf_dir, "trajectory")))
+
+
 @query(
     "completion_boundary",
     "WITH " + _MSGS + " SELECT trace_id, coalesce(max(CASE WHEN role <> 'assistant' THEN pos END), -1) + 1 AS completion_start_index, count(*) AS n_messages FROM g GROUP BY 1",
