@@ -93,9 +93,9 @@ def raw(spark, *rows):
 
 
 def test_event_logs_become_entities(spark):
-    log = raw(spark, ("r", 1, "inference_started", "i"), ("r", 2, "tool_call_started", "c"), ("r", 3, "inference_cancelled", "i"), ("r", 4, "tool_call_ended", "c", "failed"), ("r", 5, "tool_call_started", "d"), ("r", 6, "other", None))
+    log = raw(spark, ("r", 1, "inference_started", "i"), ("r", 2, "tool_call_started", "c"), ("r", 3, "inference_cancelled", "i"), ("r", 4, "tool_call_ended", "c", "failed"), ("r", 5, "tool_call_started", "d"), ("r", 6, "other", None), ("r", 7, "agent_turn_started", "u"), ("r", 8, "turn_ended", "u", "completed"))
     got = {(r.entity, r.ref): (r.started_seq, r.ended_seq, r.status) for r in reduction.reduced(log).collect()}
-    assert got == {("inference", "i"): (1, 3, "cancelled"), ("tool_call", "c"): (2, 4, "failed"), ("tool_call", "d"): (5, None, "running")}
+    assert got == {("inference", "i"): (1, 3, "cancelled"), ("tool_call", "c"): (2, 4, "failed"), ("tool_call", "d"): (5, None, "running"), ("turn", "u"): (7, 8, "completed")}
     assert len(reduction.KINDS) == 25 and reduction.reduced(log.limit(0)).count() == 0
 
 

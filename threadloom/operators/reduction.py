@@ -10,7 +10,7 @@ SCHEMA_VERSION = 1
 ENTITIES: dict[str, tuple[str, dict[str, str | None]]] = {
     "rollout": ("rollout_started", {"rollout_ended": None}),
     "thread": ("thread_started", {"thread_ended": None}),
-    "turn": ("codex_turn_started", {"codex_turn_ended": None}),
+    "turn": ("turn_started", {"turn_ended": None}),
     "inference": ("inference_started", {"inference_completed": "completed", "inference_failed": "failed", "inference_cancelled": "cancelled"}),
     "tool_call": ("tool_call_started", {"tool_call_ended": None}),
     "tool_runtime": ("tool_call_runtime_started", {"tool_call_runtime_ended": None}),
@@ -22,6 +22,11 @@ KINDS = (*(k for start, ends in ENTITIES.values() for k in (start, *ends)), *NOT
 RUNNING = "running"
 
 
+def _plain_kinds(events: DataFrame) -> DataFrame:
+    """Kinds of turns without the name that a writer may put before them."""
+    return events.withColumn("kind", F.regexp_replace("kind", r"^[a-z]+_(turn_(?:started|ended))$", "$1"))
+
+
 def faults(events: DataFrame) -> DataFrame:
     """(fault, n): what makes a log unfit for replay.
 
@@ -29,6 +34,7 @@ def faults(events: DataFrame) -> DataFrame:
     entity. Unknown kinds and versions, numbers given twice, entities started
     twice or ended without a start or before it are faults.
     """
+    events = _plain_kinds(events)
     entity = _entity(F.col("kind"))
     marked = events.withColumns({"entity": entity, "starts": F.col("kind").isin(*(s for s, _ in ENTITIES.values()))})
     simple = marked.agg(F.count_if(~F.coalesce(F.col("kind").isin(*KINDS), F.lit(False))).alias("unknown_kind"), F.count_if(F.col("schema_version") != SCHEMA_VERSION).alias("schema_version"))
@@ -58,6 +64,7 @@ def reduced(events: DataFrame, strict: bool = True) -> DataFrame:
         found = {r["fault"]: r["n"] for r in faults(events).collect()}  # one row per kind of fault
         if found:
             raise ValueError(f"the log cannot be replayed: {found}")
+    events = _plain_kinds(events)
     status = F.col("status")
     for _, ends in ENTITIES.values():
         for kind, own in ends.items():
