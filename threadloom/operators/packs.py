@@ -23,8 +23,9 @@ def quoted_in(quotes: DataFrame, texts: DataFrame, keys: list[str]) -> DataFrame
 
     Texts are indexed by their pieces of ``GRAM`` characters, of four for
     shorter quotes, and only those that share a quote's first piece are
-    compared, so the work grows with the length of the texts and not with the
-    pairs. Quotes of less than four characters find nothing.
+    compared. That spares most pairs, but where many quotes begin with a piece
+    that many texts hold, each of these is compared with each. Quotes of less
+    than four characters find nothing.
     """
     out = None
     for size, some in ((GRAM, quotes.where(F.length("q") >= GRAM)), (4, quotes.where((F.length("q") >= 4) & (F.length("q") < GRAM)))):
