@@ -61,6 +61,26 @@ def test_quotes_find_every_text_that_holds_them(spark):
     assert got == sorted((x, i) for x in quotes if x and len(x) >= 4 for i, y in enumerate(texts) if y and x in y)
 
 
+def test_pieces_are_found_once_per_text(spark):
+    texts = ["abcdefghijklmnop", "xabcdefghijklmx abcdefghijklm", "abcd abcd", "", None, "aaaaaaaaaaaaaaaa", "日本語の文章です"]
+    quotes = ["abcdefghijklm", "abcdefghijklmn", "abcd", "abc", "aaaa", "aaaaaaaaaaaaa", "語の文章", None, "abcd"]
+    q, t = spark.createDataFrame([(x,) for x in quotes], "q string"), spark.createDataFrame(list(enumerate(texts)), "i int, flat string")
+    want = sorted({(x, i) for x in quotes if x and len(x) >= 4 for i, y in enumerate(texts) if y and x in y})
+    for limit in (1 << 20, packs.ENTRY_BYTES):
+        assert sorted((r.q, r.i) for r in packs.pieces(q, t, limit=limit).collect()) == want
+    first = packs.pieces(q, t, start=True)
+    assert sorted((r.q, r.i) for r in first.collect()) == [(x, i) for x, i in want if texts[i].startswith(x)]
+
+
+def test_many_equal_quotes_meet_many_equal_texts(spark):
+    n = 20_000
+    rows = spark.range(n).select(F.concat(F.lit("b"), "id").alias("id"), F.lit("bot").alias("role"), F.lit("it is done").alias("text"), (F.col("id") * 2).alias("ts_us"), F.lit("t").alias("thread"))
+    rows = rows.unionByName(spark.range(n).select(F.concat(F.lit("c"), "id").alias("id"), F.lit("user").alias("role"), F.lit("no").alias("text"), (F.col("id") * 2 + 1).alias("ts_us"), F.lit("t").alias("thread")))
+    asked = spark.range(n).select(F.lit("x").alias("anchor"), F.concat(F.lit("c"), "id").alias("corrector"), F.lit("t").alias("thread"), F.lit("it is done").alias("quote"))
+    found = packs.reanchored_by_quote(asked, rows, F.col("role") == "bot")
+    assert found.where(F.col("moved") & (F.substring("anchor", 2, 9) == F.substring("corrector", 2, 9))).count() == n
+
+
 def test_anchor_is_the_latest_before_the_corrector(spark):
     rows = spark.createDataFrame([("a", "bot", "it is done", 1, "t"), ("b", "bot", "it  is done now", 2, "t"), ("c", "user", "no, it is done", 3, "t"), ("d", "bot", "it is done", 4, "t"), ("e", "bot", "it is done", 2, "u")], "id string, role string, text string, ts_us bigint, thread string")
     make = lambda *r: spark.createDataFrame(list(r), "anchor string, corrector string, thread string, quote string")

@@ -6,35 +6,54 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as T
-from threadloom.operators import context, guards, providers, replies
+from threadloom.operators import context, guards, ordered, providers, replies
+from threadloom.session import BROADCAST_LIMIT, materialise
 
 CONTEXT_ROWS = 80
 GRAM = 12
 """Characters by which quotes are looked up in texts."""
+ENTRY_BYTES = 128
+"""What one quote takes in the two broadcasts of ``pieces``."""
 
 
-def _grams(rows: DataFrame, text: str, size: int) -> DataFrame:
-    at = F.sequence(F.lit(1), F.length(text) - size + 1)
-    return rows.where(F.length(text) >= size).withColumn("__gram", F.explode(F.array_distinct(F.transform(at, lambda i: F.substr(F.col(text), i, F.lit(size))))))
+def pieces(quotes: DataFrame, texts: DataFrame, start: bool = False, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """``texts`` (flat, ...) without ``flat``, with ``q``: each piece of a text that is one of ``quotes`` (q), once per text.
+
+    At each place of a text, or with ``start`` only at its first, the next
+    ``GRAM`` characters, four for shorter quotes, tell whether and in which
+    lengths quotes begin so; only pieces of these lengths are looked up. Both
+    look-ups are broadcasts of hashes, several in turn where the quotes take
+    more than ``limit`` bytes, so no text is shuffled and what comes out is as
+    long as the list of what is found. Quotes of less than four characters find
+    nothing. By a collision of 64-bit hashes a piece may come out that is no
+    quote; joining by ``q`` leaves it out.
+    """
+    rest = [c for c in texts.columns if c != "flat"]
+    some = quotes.select("q").where(F.length("q") >= 4).distinct()
+    known = materialise(some.select(F.when(F.length("q") >= GRAM, GRAM).otherwise(4).alias("__size"), "q").select("__size", F.xxhash64(F.substr("q", F.lit(1), F.col("__size"))).alias("__head"), F.length("q").alias("__n"), F.xxhash64("q").alias("__whole")), "quotes")
+    n_known = {r["__size"]: r["n"] for r in known.groupBy("__size").agg(F.count("*").alias("n")).collect()}
+    out = texts.select(*rest, F.col("flat").alias("q")).limit(0)
+    for size in sorted(n_known):
+        long = texts.where(F.length("flat") >= size)
+        last = F.lit(1) if start else F.length("flat") - size + 1
+        at = long.withColumn("__at", F.explode(F.sequence(F.lit(1), last))).withColumn("__head", F.xxhash64(F.substr("flat", F.col("__at"), F.lit(size))))
+        turns = -(-n_known[size] * ENTRY_BYTES // limit)
+        for turn in range(turns):
+            mine = known.where((F.col("__size") == size) & (F.pmod("__head", F.lit(turns)) == turn))
+            met = at.join(F.broadcast(mine.select("__head", "__n").distinct()), "__head").where(F.col("__at") + F.col("__n") - 1 <= F.length("flat"))
+            met = met.withColumn("q", F.substr("flat", F.col("__at"), F.col("__n"))).withColumn("__whole", F.xxhash64("q"))
+            met = met.join(F.broadcast(mine.select("__whole")), "__whole", "left_semi").where(F.instr("flat", F.col("q")) == F.col("__at"))
+            out = out.unionByName(met.select(*rest, "q"))
+    return out
 
 
 def quoted_in(quotes: DataFrame, texts: DataFrame, keys: list[str]) -> DataFrame:
     """``quotes`` (keys, q, ...) joined with each of ``texts`` (keys, flat, ...) that contains ``q``.
 
-    Texts are indexed by their pieces of ``GRAM`` characters, of four for
-    shorter quotes, and only those that share a quote's first piece are
-    compared. That spares most pairs, but where many quotes begin with a piece
-    that many texts hold, each of these is compared with each. Quotes of less
-    than four characters find nothing.
+    The pairs are as many as they are: where many quotes are equal and many
+    texts hold them, reduce the ``pieces`` of the texts by ``q`` instead.
     """
-    out = None
-    for size, some in ((GRAM, quotes.where(F.length("q") >= GRAM)), (4, quotes.where((F.length("q") >= 4) & (F.length("q") < GRAM)))):
-        first = some.withColumn("__gram", F.substring("q", 1, size))
-        wanted = first.select(*keys, "__gram").distinct()
-        found = _grams(texts, "flat", size).join(wanted, [*keys, "__gram"], "left_semi")
-        pairs = first.join(found, [*keys, "__gram"]).where(F.contains("flat", F.col("q"))).drop("__gram")
-        out = pairs if out is None else out.unionByName(pairs)
-    return out
+    return quotes.join(pieces(quotes, texts.withColumn("__flat", F.col("flat"))).withColumnRenamed("__flat", "flat"), [*keys, "q"])
 
 
 def reanchored_by_quote(candidates: DataFrame, rows: DataFrame, is_bot: Column) -> DataFrame:
@@ -44,16 +63,18 @@ def reanchored_by_quote(candidates: DataFrame, rows: DataFrame, is_bot: Column)
     space, the latest before the corrector is taken, else the latest of all; a
     quote of less than four characters, or that nobody said, changes nothing.
     Doing it again changes nothing. Among equal times the larger id counts.
+    Quotes and messages that hold them are merged by time, never paired.
     """
-    said = rows.where(is_bot).select("thread", T.without_space(F.col("text")).alias("flat"), F.col("id").alias("found"), F.col("ts_us").alias("found_us"))
-    when = rows.select(F.col("id").alias("corrector"), F.col("ts_us").alias("c_us"))
-    quotes = candidates.select("anchor", "corrector", "thread", "quote").distinct().withColumn("q", T.without_space(F.col("quote"))).join(when, "corrector", "left")
-    hits = quoted_in(quotes, said, ["thread"])
-    best = F.max(F.struct(F.coalesce(F.col("found_us") < F.col("c_us"), F.lit(False)).alias("e"), "found_us", "found"))["found"]
-    same = ["anchor", "corrector", "thread", "quote"]
-    picked = hits.groupBy(*same).agg(best.alias("__pick")).select(*(F.col(c).alias(f"__{c}") for c in same), "__pick")
-    j = candidates.join(picked, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in same], "left")
-    return j.select(*(c for c in candidates.columns if c != "anchor"), F.coalesce("__pick", "anchor").alias("anchor"), F.coalesce(F.col("__pick") != F.col("anchor"), F.lit(False)).alias("moved"))
+    said = rows.where(is_bot & F.col("thread").isNotNull()).select("thread", T.without_space(F.col("text")).alias("flat"), F.col("id").alias("found"), F.col("ts_us").alias("found_us"))
+    when = rows.select(F.col("id").alias("corrector"), F.col("ts_us").alias("__us"))
+    asked = materialise(candidates.join(when, "corrector", "left").select(*candidates.columns, T.without_space(F.col("quote")).alias("q"), "__us", F.lit(None).cast("string").alias("found")), "asked")
+    hits = materialise(pieces(asked, said), "hits")
+    timed = hits.where("found_us is not null").select("thread", "q", F.col("found_us").alias("__us"), "found")
+    before = ordered.as_of(asked, timed, ["thread", "q"], "__us", ["found"], "found", strict=True)
+    latest = hits.groupBy("thread", "q").agg(F.max(F.struct("found_us", "found"))["found"].alias("__latest"))
+    j = before.join(latest, ["thread", "q"], "left")
+    pick = F.coalesce("asof_found", "__latest")
+    return j.select(*(c for c in candidates.columns if c != "anchor"), F.coalesce(pick, "anchor").alias("anchor"), F.coalesce(pick != F.col("anchor"), F.lit(False)).alias("moved"))
 
 
 def t0_lookup(requests: DataFrame, rows: DataFrame) -> DataFrame:

@@ -38,8 +38,9 @@ def _placed(m: DataFrame) -> DataFrame:
     SELECT q.corrector, coalesce(h.pick, q.anchor) AS anchor, coalesce(h.pick <> q.anchor, false) AS moved FROM q LEFT JOIN h ON h.corrector = q.corrector AND h.anchor = q.anchor""",
 )
 def quote_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = materialise(messages(spark, sf_dir), "messages")
-    rows = m.where("ts_us is not null").select("id", "role", "text", "ts_us", F.coalesce("thread_id", "group_id").alias("thread"))
+    m = messages(spark, sf_dir, "parent", "row_id", "role", "text", "ts_us", "thread_id", "group_id")
+    m = materialise(m.select("id", "parent", "row_id", "role", "text", "ts_us", F.coalesce("thread_id", "group_id").alias("thread")), "messages")
+    rows = m.where("ts_us is not null")
     candidates = triples(m).join(rows.select(F.col("id").alias("corrector"), "thread"), "corrector").select("anchor", "corrector", "thread", "quote")
     return packs.reanchored_by_quote(candidates, rows, T.is_bot(F.col("role"))).select("corrector", "anchor", "moved")
 

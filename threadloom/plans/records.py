@@ -122,8 +122,8 @@ _TRIPLES = """, tr AS (SELECT c.id AS corrector, b.id AS anchor, b.parent AS t0,
 def triples(m: DataFrame) -> DataFrame:
     """Replies as (corrector, anchor, quote): some quotes too short, some absent."""
     c = m.select(F.col("id").alias("corrector"), F.col("parent").alias("up"), "row_id")
-    b = m.select(F.col("id").alias("anchor"), F.col("parent").alias("t0"), F.col("text").alias("b_text"))
-    quote = F.when(F.col("row_id") % 11 == 0, "zz").when(F.col("row_id") % 13 == 0, "not there at all").otherwise(F.substring("b_text", 1, 14))
+    b = m.select(F.col("id").alias("anchor"), F.col("parent").alias("t0"), F.substring("text", 1, 14).alias("said"))
+    quote = F.when(F.col("row_id") % 11 == 0, "zz").when(F.col("row_id") % 13 == 0, "not there at all").otherwise(F.col("said"))
     return c.join(b, F.col("up") == F.col("anchor")).select("corrector", "anchor", "t0", quote.alias("quote"), "row_id")
 
 

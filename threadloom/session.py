@@ -99,16 +99,30 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
     A block of ``scratch`` deletes it at its end; else it stays in the folder.
     The table survives the loss of an executor, and later stages start from it
-    rather than from the plan that made it.
+    rather than from the plan that made it, so the shuffle files of that plan
+    go as soon as the table is written.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     if _WRITTEN:
         _WRITTEN[-1].append(path)
-    df.write.option("compression", "zstd").parquet(path)
+    with _shuffles_removed(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """Queries that end inside the block take their shuffle files with them."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def broadcast_if_small(df: DataFrame, n_bytes: int, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Broadcast ``df`` only when its measured size is under ``limit``."""
     return F.broadcast(df) if n_bytes <= limit else df
