@@ -91,6 +91,16 @@ def test_anchor_is_the_latest_before_the_corrector(spark):
     assert {r.quote: r.anchor for r in again.collect()} == {k: v[0] for k, v in got.items()}
 
 
+def test_many_requests_and_texts_that_begin_alike(spark):
+    n = 20_000
+    text = lambda c: F.concat(F.lit("Please run the export now, number "), F.lpad(c.cast("string"), 6, "0"))
+    rows = spark.range(n).select(F.concat(F.lit("m"), "id").alias("id"), text(F.col("id")).alias("text"))
+    asked = spark.range(n).select("id", F.lit(None).cast("string").alias("t0"), text(F.col("id")).alias("text")).withColumnRenamed("id", "key")
+    found = packs.t0_lookup(asked, rows.unionByName(rows.where("id = 'm7'").withColumn("id", F.lit("again"))))
+    got = {r.how: r.n for r in found.groupBy(F.when(F.concat(F.lit("m"), "key") == F.col("found"), "own").otherwise(F.col("how")).alias("how")).agg(F.count("*").alias("n")).collect()}
+    assert got == {"own": n - 1, "ambiguous": 1}
+
+
 def test_lines_of_a_sheet_are_resolved_by_their_card(spark):
     rows = spark.createDataFrame([("m1", "Ann", "please run the export", 1), ("m2", "Bot", "the export ran", 2), ("m8", "Ann", "please run the export", 8), ("m9", "Bot", "another answer here", 9), ("s1", "Cy", "the same words", 3), ("s2", "Cy", "the same words", 1)], "id string, name string, flat string, pos bigint")
     sheet = spark.createDataFrame([(1, "intro\n## Card 1\nT0 [user/Ann] please run the export\nB [bot/Bot] the export ran\nC [user/Cy] the same words\n## Card 2\nT0 [user/Ann] please run\nB [bot/Bot] another answer\nL9 [x/Nobody] nothing\nL8 [x/Ann] ⋯ cut")], "sheet int, text string")

@@ -83,15 +83,20 @@ def t0_lookup(requests: DataFrame, rows: DataFrame) -> DataFrame:
     Without an id that exists, the one of ``rows`` (id, text) counts whose text
     contains that of the request or is contained in it, without white space and
     punctuation; if several do it is ambiguous. Equal texts are compared once,
-    and texts of less than four characters find nothing.
+    and texts of less than four characters find nothing. What a text holds is
+    counted by request as it is found, so no list of pairs is kept.
     """
-    named = requests.join(rows.select(F.col("id").alias("by_id")), F.col("t0") == F.col("by_id"), "left")
-    keys = named.where("by_id is null").select(T.without_punctuation(F.col("text")).alias("k")).where("k is not null").distinct()
-    said = rows.select("id", T.without_punctuation(F.col("text")).alias("e")).where("e is not null").groupBy("e").agg(F.count("*").alias("n"), F.min("id").alias("one"))
-    inside = quoted_in(keys.select(F.col("k").alias("q")), said.select(F.col("e").alias("flat")), []).select(F.col("q").alias("k"), F.col("flat").alias("e"))
-    around = quoted_in(said.select(F.col("e").alias("q")), keys.select(F.col("k").alias("flat")), []).select(F.col("flat").alias("k"), F.col("q").alias("e"))
-    per = inside.unionByName(around).distinct().join(said, "e").groupBy("k").agg(F.sum("n").alias("n"), F.min("one").alias("one"))
-    j = named.withColumn("__k", T.without_punctuation(F.col("text"))).join(per, F.col("__k") == F.col("k"), "left")
+    ids = rows.select(F.col("id").alias("by_id"))
+    named = materialise(requests.join(ids, F.col("t0") == F.col("by_id"), "left").withColumn("__k", T.without_punctuation(F.col("text"))), "named")
+    keys = materialise(named.where("by_id is null and __k is not null").select(F.col("__k").alias("k")).distinct(), "keys")
+    said = materialise(rows.select("id", T.without_punctuation(F.col("text")).alias("e")).where("e is not null").groupBy("e").agg(F.count("*").alias("n"), F.min("id").alias("one")), "said")
+    longest = keys.agg(F.max(F.length("k")).alias("n")).first()["n"] or 0
+    inside = pieces(keys.select(F.col("k").alias("q")), said.withColumnRenamed("e", "flat")).select(F.col("q").alias("k"), "n", "one")
+    short = said.where(F.length("e") <= longest)
+    around = pieces(short.select(F.col("e").alias("q")), keys.withColumn("flat", F.col("k"))).where("q <> k")
+    around = around.join(short, F.col("q") == F.col("e")).select("k", "n", "one")
+    per = inside.unionByName(around).groupBy("k").agg(F.sum("n").alias("n"), F.min("one").alias("one"))
+    j = named.join(per, F.col("__k") == F.col("k"), "left")
     how = F.when(F.col("by_id").isNotNull(), "id").when(F.col("n") == 1, "text").when(F.col("n") > 1, "ambiguous").otherwise("missing")
     return j.select(*requests.columns, F.coalesce("by_id", F.when(F.col("n") == 1, F.col("one"))).alias("found"), how.alias("how"))
 

@@ -57,7 +57,7 @@ _BARE = r"substr(regexp_replace(lower({0}), '[\s\x0B\x{{85}}\p{{Z}}\p{{P}}]+', '
 )
 def t0_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Instructions of corrections, a quarter of them known by their text only."""
-    m = materialise(messages(spark, sf_dir), "messages")
+    m = materialise(messages(spark, sf_dir, "parent", "row_id", "role", "text"), "messages")
     text = m.select(F.col("id").alias("p"), F.substring("text", 1, 40).alias("text"))
     t = triples(m).join(text, F.col("t0") == F.col("p"), "left").select(F.col("corrector").alias("key"), F.when(F.col("row_id") % 4 != 0, F.col("t0")).alias("t0"), "text")
     return packs.t0_lookup(t, m.where(T.is_user(F.col("role"))).select("id", "text")).select("key", "found", "how")
