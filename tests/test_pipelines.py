@@ -2,6 +2,7 @@
 
 import itertools
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,6 +109,22 @@ def test_lines_of_a_sheet_are_resolved_by_their_card(spark):
     assert got == {(1, "T0"): ("m1", "nearest"), (1, "B"): ("m2", "ok"), (1, "C"): (None, "ambiguous"), (2, "T0"): ("m8", "nearest"), (2, "B"): ("m9", "ok"), (2, "L9"): (None, "missing")}
 
 
+def test_lines_take_the_nearest_row_as_a_search_of_all_rows_does(spark):
+    dice = random.Random(5)
+    rows = [(f"r{i}", dice.choice(["A", "B"]), dice.choice(["the first text", "the first", "another line", f"sure line {i:03d}", "tiny"]), dice.randrange(40)) for i in range(120)]
+    lines = [(s, c, f"L{k}", r[1], r[2][: dice.choice([6, 9, 99])]) for s in range(30) for c in (1, 2) for k, r in enumerate(dice.choices(rows, k=4))]
+    want = {}
+    hits = {x[:3]: [r for r in rows if r[1] == x[3] and len(x[4]) >= 4 and r[2].startswith(x[4])] for x in lines}
+    for key, found in hits.items():
+        near = [h[0][3] for k, h in hits.items() if k[:2] == key[:2] and len(h) == 1]
+        away = sorted((max(min(near) - r[3], r[3] - max(near), 0), r[0]) for r in found) if near else []
+        nearest = away[0][1] if away and (len(away) == 1 or away[1][0] > away[0][0]) else None
+        want[key] = (None, "missing") if not found else (found[0][0], "ok") if len(found) == 1 else (nearest, "nearest" if nearest else "ambiguous")
+    got = packs.resolved_lines(spark.createDataFrame(lines, "sheet int, card int, label string, name string, prefix string"), spark.createDataFrame(rows, "id string, name string, flat string, pos bigint"))
+    assert {(r.sheet, r.card, r.label): (r.id, r.status) for r in got.collect()} == want
+    assert {s for _, s in want.values()} >= {"ok", "nearest", "ambiguous"}
+
+
 def test_secrets_found_once_are_replaced_everywhere(spark):
     rows = spark.createDataFrame([(1, "key=hunter2 here", None), (2, "say hunter2 or hunter22", "hunter2"), (3, None, None)], "k int, a string, b string")
     got = {r.k: r for r in packs.scrubbed(rows, "k", ["a", "b"], r"key=(\w+)", r"\w+").collect()}

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as T
 from threadloom.operators import context, guards, ordered, providers, replies
-from threadloom.session import BROADCAST_LIMIT, materialise
+from threadloom.session import BROADCAST_LIMIT, broadcast_if_small, materialise
 
 CONTEXT_ROWS = 80
 GRAM = 12
@@ -24,7 +24,8 @@ def pieces(quotes: DataFrame, texts: DataFrame, start: bool = False, limit: int
     lengths quotes begin so; only pieces of these lengths are looked up. Both
     look-ups are broadcasts of hashes, several in turn where the quotes take
     more than ``limit`` bytes, so no text is shuffled and what comes out is as
-    long as the list of what is found. Quotes of less than four characters find
+    long as the list of what is found. With ``start`` a text has one place, so
+    beyond that limit it is joined in one shuffle. Quotes of less than four characters find
     nothing. By a collision of 64-bit hashes a piece may come out that is no
     quote; joining by ``q`` leaves it out.
     """
@@ -37,13 +38,15 @@ def pieces(quotes: DataFrame, texts: DataFrame, start: bool = False, limit: int
         long = texts.where(F.length("flat") >= size)
         last = F.lit(1) if start else F.length("flat") - size + 1
         at = long.withColumn("__at", F.explode(F.sequence(F.lit(1), last))).withColumn("__head", F.xxhash64(F.substr("flat", F.col("__at"), F.lit(size))))
-        turns = -(-n_known[size] * ENTRY_BYTES // limit)
+        bytes_ = n_known[size] * ENTRY_BYTES
+        turns = 1 if start else -(-bytes_ // limit)
         for turn in range(turns):
             mine = known.where((F.col("__size") == size) & (F.pmod("__head", F.lit(turns)) == turn))
-            met = at.join(F.broadcast(mine.select("__head", "__n").distinct()), "__head").where(F.col("__at") + F.col("__n") - 1 <= F.length("flat"))
+            look = lambda df: broadcast_if_small(df, bytes_ // turns, limit)  # noqa: B023, E731
+            met = at.join(look(mine.select("__head", "__n").distinct()), "__head").where(F.col("__at") + F.col("__n") - 1 <= F.length("flat"))
             met = met.withColumn("q", F.substr("flat", F.col("__at"), F.col("__n"))).withColumn("__whole", F.xxhash64("q"))
-            met = met.join(F.broadcast(mine.select("__whole")), "__whole", "left_semi").where(F.instr("flat", F.col("q")) == F.col("__at"))
-            out = out.unionByName(met.select(*rest, "q"))
+            met = met.join(look(mine.select("__whole")), "__whole", "left_semi").where(F.instr("flat", F.col("q")) == F.col("__at")).select(*rest, "q")
+            out = out.unionByName(materialise(met, "turn") if turns > 1 else met)
     return out
 
 
@@ -178,21 +181,45 @@ def resolved_lines(lines: DataFrame, rows: DataFrame) -> DataFrame:
     A line is the one row of its name whose flat text begins with its prefix.
     Where several do, and other lines of the card are sure, the row nearest to
     these is taken unless two are as near. ``rows`` has id, name, flat and pos.
+    Rows are counted by name, prefix and position; a line meets these counts
+    and, if it stays open, the positions around its card, never all its rows.
     """
-    keys = ["sheet", "card", "label"]
-    cut = lines.withColumn("q", F.col("prefix"))
-    named = rows.select(F.coalesce("name", F.lit("")).alias("name"), "flat", "id", "pos")
-    hits = quoted_in(cut, named, ["name"]).where(F.col("flat").startswith(F.col("q")))
-    counted = hits.groupBy(*keys).agg(F.count("*").alias("n"), F.min("id").alias("only"), F.min("pos").alias("at"))
-    sure = counted.where("n = 1").groupBy("sheet", "card").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
-    open_ = hits.join(counted.where("n > 1").select(*keys), keys).join(sure, ["sheet", "card"])
-    away = F.when(F.col("pos").between(F.col("lo"), F.col("hi")), F.lit(0)).otherwise(F.least(F.abs(F.col("pos") - F.col("lo")), F.abs(F.col("pos") - F.col("hi"))))
-    far = open_.withColumn("away", away)
-    least = far.groupBy(*keys).agg(F.min("away").alias("least"))
-    near = far.join(least, keys).where("away = least").groupBy(*keys).agg(F.count("*").alias("m"), F.min("id").alias("nearest")).where("m = 1").drop("m")
-    j = lines.join(counted.drop("at"), keys, "left").join(near, keys, "left")
-    status = F.when(F.col("n").isNull(), "missing").when(F.col("n") == 1, "ok").when(F.col("nearest").isNotNull(), "nearest").otherwise("ambiguous")
-    return j.select(*lines.columns, F.when(F.col("n") == 1, F.col("only")).otherwise(F.col("nearest")).alias("id"), status.alias("status"))
+    keys, same = ["sheet", "card", "label"], ["name", "q"]
+    named = rows.select(F.coalesce("name", F.lit("")).alias("name"), "flat", "id", F.col("pos").cast("bigint").alias("pos"))
+    spots = pieces(lines.select(F.col("prefix").alias("q")), named, start=True).groupBy(*same, "pos").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    spots = materialise(spots, "spots")
+    spot = F.struct("pos", "n", "id")
+    per = spots.groupBy(*same).agg(F.sum("n").alias("__n"), F.min("id").alias("__only"), F.min("pos").alias("__at"), F.min(F.when(F.col("pos").isNotNull(), spot)).alias("__head"))
+    card, line = Window.partitionBy("sheet", "card"), Window.partitionBy(*keys)
+    met = lines.withColumn("q", F.col("prefix")).join(per, same, "left").repartition("sheet", "card")
+    met = met.withColumn("__hit", F.col("__n").isNotNull()).withColumns({"__n": F.sum("__n").over(line), "__only": F.min("__only").over(line), "__at": F.min("__at").over(line)})
+    sure = F.when(F.col("__n") == 1, F.col("__at"))
+    met = met.withColumns({"__lo": F.min(sure).over(card), "__hi": F.max(sure).over(card), "__line": F.monotonically_increasing_id()})
+    met = materialise(met, "met")
+    open_ = F.coalesce((F.col("__n") > 1) & F.col("__lo").isNotNull(), F.lit(False))
+    asked = met.where(open_ & F.col("__hit"))
+    places = ordered.running(spots.where("pos is not null").join(asked.select(*same).distinct(), same, "left_semi"), same, ["pos"], {"upto": (ordered.SUM, F.col("n")), "next": (ordered.LEAD, spot)})
+    ends = F.explode(F.array(F.struct(F.lit(False).alias("end"), (F.col("__lo") - 1).alias("pos")), F.struct(F.lit(True).alias("end"), F.col("__hi").alias("pos"))))
+    sought = asked.select("__line", *same, ends.alias("e")).select("__line", *same, "e.end", "e.pos")
+    found = ordered.as_of(sought, places, same, "pos", ["pos", "n", "id", "upto", "next"], "q")
+    last = F.struct(*(F.col(f"asof_{c}").alias(c) for c in ("pos", "n", "id", "upto", "next")))
+    ended = found.groupBy("__line").agg(F.max(F.when(F.col("end"), last)).alias("hi"), F.max(F.when(~F.col("end"), F.col("asof_upto"))).alias("before"))
+    j = asked.join(ended, "__line")
+    inside = F.coalesce(F.col("hi.upto"), F.lit(0)) - F.coalesce("before", F.lit(0))
+    above = F.when(F.col("hi.pos").isNull(), F.col("__head")).otherwise(F.col("hi.next"))
+    j = j.withColumns({"inside": inside, "above": above, "down": F.col("__lo") - F.col("hi.pos"), "up": above["pos"] - F.col("__hi")})
+    lower, upper = F.col("down") <= F.col("up"), F.col("up") <= F.col("down")
+    down, up = F.coalesce(lower, F.col("up").isNull()), F.coalesce(upper, F.col("down").isNull())
+    m = F.when(F.col("inside") > 0, F.col("inside")).otherwise(F.when(down, F.coalesce("hi.n", F.lit(0))).otherwise(0) + F.when(up, F.coalesce("above.n", F.lit(0))).otherwise(0))
+    away = F.when(F.col("inside") > 0, F.lit(0)).otherwise(F.least("down", "up"))
+    j = j.where((F.col("inside") > 0) | F.col("hi.pos").isNotNull() | F.col("above.pos").isNotNull())
+    each = j.select(*keys, away.alias("away"), m.alias("m"), F.when((F.col("inside") > 0) | down, F.col("hi.id")).otherwise(F.col("above.id")).alias("id"))
+    by_away = each.groupBy(*keys, "away").agg(F.sum("m").alias("m"), F.min("id").alias("id"))
+    near = by_away.groupBy(*keys).agg(F.min(F.struct("away", "m", "id")).alias("r")).where("r.m = 1").select(*keys, F.col("r.id").alias("nearest"))
+    done = met.where(open_).join(near, keys, "left").select(*lines.columns, "__n", "__only", "nearest")
+    done = done.unionByName(met.where(~open_).select(*lines.columns, "__n", "__only", F.lit(None).cast("string").alias("nearest")))
+    status = F.when(F.col("__n").isNull(), "missing").when(F.col("__n") == 1, "ok").when(F.col("nearest").isNotNull(), "nearest").otherwise("ambiguous")
+    return done.select(*lines.columns, F.when(F.col("__n") == 1, F.col("__only")).otherwise(F.col("nearest")).alias("id"), status.alias("status"))
 
 
 def gold_rows(resolved: DataFrame, verdicts: DataFrame) -> DataFrame:

@@ -364,18 +364,18 @@ def memory_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def gold_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review sheets written from corrections, read back, and told by their notes whether they count."""
-    m = materialise(messages(spark, sf_dir), "messages")
-    rows = materialise(_placed(m).withColumn("flat", F.concat(F.lit("#"), "id", F.lit(" "), T.one_line(F.coalesce("text", F.lit("")), 60))), "placed")
-    side = lambda p: rows.select(F.col("id").alias(f"{p}_id"), F.concat(F.lit("["), F.coalesce("role", F.lit("")), F.lit("/"), F.regexp_replace(F.coalesce("name", F.lit("")), r"\]", ""), F.lit("] "), "flat").alias(f"{p}_line"))
-    t = triples(m)
-    for label, column in (("t0", "t0"), ("b", "anchor"), ("c", "corrector")):
-        t = t.join(side(label), F.col(column) == F.col(f"{label}_id"), "left")
+    m = messages(spark, sf_dir, "parent", "row_id", "role", "name", "text", "ts_us", "thread_id", "group_id")
+    flat = F.concat(F.lit("#"), "id", F.lit(" "), T.one_line(F.coalesce("text", F.lit("")), 60))
+    m = materialise(m.select("id", "parent", "row_id", "role", F.regexp_replace(F.coalesce("name", F.lit("")), r"\]", "").alias("name"), "ts_us", F.coalesce("thread_id", "group_id").alias("thread"), flat.alias("flat")), "messages")
+    line = F.when(F.col("ts_us").isNotNull(), F.concat(F.lit("["), F.coalesce("role", F.lit("")), F.lit("/"), "name", F.lit("] "), "flat"))
+    side = lambda p, *more: m.select(F.col("id").alias(f"{p}_id"), line.alias(f"{p}_line"), *more)
+    t = side("c", F.col("parent").alias("up"), "row_id").join(side("b", F.col("parent").alias("t0")), F.col("up") == F.col("b_id")).join(side("t0"), F.col("t0") == F.col("t0_id"), "left")
     lines = F.concat_ws("\n", F.concat(F.lit("## Card "), F.col("row_id")), *(F.concat(F.lit(f"{label.upper()} "), F.col(f"{label}_line")) for label in ("t0", "b", "c")))
-    sheet = t.select(F.col("row_id").alias("sheet"), lines.alias("text"))
+    sheet = materialise(packs.review_lines(t.select(F.col("row_id").alias("sheet"), lines.alias("text"))), "lines")
     notes = t.select(F.col("row_id").alias("card"), F.when(F.col("row_id") % 5 == 0, "no").otherwise("accept").alias("note"))
     verdicts = S.adjudications(notes, "card", "note").select(F.col("card").cast("int").alias("card"), "accepted")
-    named = rows.select("id", F.regexp_replace(F.coalesce("name", F.lit("")), r"\]", "").alias("name"), "flat", "pos")
-    gold = packs.gold_rows(packs.resolved_lines(packs.review_lines(sheet), named), verdicts)
+    named = ordered.numbered(m.where("ts_us is not null").select("id", "thread", "ts_us", "row_id", "name", "flat"), ["thread"], ["ts_us", "row_id"]).select("id", "name", "flat", "pos")
+    gold = packs.gold_rows(packs.resolved_lines(sheet, named), verdicts)
     return gold.select("card", F.when(F.col("status").startswith("missing"), "incomplete").otherwise(F.col("status")).alias("status"))
 
 
