@@ -102,6 +102,15 @@ def test_many_requests_and_texts_that_begin_alike(spark):
     assert got == {"own": n - 1, "ambiguous": 1}
 
 
+def test_whole_texts_are_looked_up(spark):
+    long, end = "Lange Wörter, 長い文章. " * 10_000, "and then export the ledger"
+    rows = [("m1", "x" * 900 + " first end"), ("m2", "x" * 900 + " second end"), ("m3", long + end), ("m4", long), ("m5", "tiny part")]
+    asked = [("1", "x" * 900 + " second end"), ("2", "Export the ledger"), ("3", "second end"), ("4", "y" * 1000 + " tiny part, and more"), ("5", "x" * 900), ("6", "x" * 900 + " third end")]
+    asked = spark.createDataFrame([(k, None, t) for k, t in asked], "key string, t0 string, text string")
+    got = {r.key: (r.found, r.how) for r in packs.t0_lookup(asked, spark.createDataFrame(rows, "id string, text string")).collect()}
+    assert got == {"1": ("m2", "text"), "2": ("m3", "text"), "3": ("m2", "text"), "4": ("m5", "text"), "5": (None, "ambiguous"), "6": (None, "missing")}
+
+
 def test_lines_of_a_sheet_are_resolved_by_their_card(spark):
     rows = spark.createDataFrame([("m1", "Ann", "please run the export", 1), ("m2", "Bot", "the export ran", 2), ("m8", "Ann", "please run the export", 8), ("m9", "Bot", "another answer here", 9), ("s1", "Cy", "the same words", 3), ("s2", "Cy", "the same words", 1)], "id string, name string, flat string, pos bigint")
     sheet = spark.createDataFrame([(1, "intro\n## Card 1\nT0 [user/Ann] please run the export\nB [bot/Bot] the export ran\nC [user/Cy] the same words\n## Card 2\nT0 [user/Ann] please run\nB [bot/Bot] another answer\nL9 [x/Nobody] nothing\nL8 [x/Ann] ⋯ cut")], "sheet int, text string")

@@ -33,8 +33,8 @@ def without_space(col: Column) -> Column:
     return F.regexp_replace(col, r"(?U)\s+", "")
 
 
-def without_punctuation(col: Column, cap: int = 800) -> Column:
-    return F.substring(F.regexp_replace(F.lower(col), r"(?U)[\s\p{Punct}\p{IsPunctuation}]+", ""), 1, cap)
+def without_punctuation(col: Column) -> Column:
+    return F.regexp_replace(F.lower(col), r"(?U)[\s\p{Punct}\p{IsPunctuation}]+", "")
 
 
 def without_emphasis(col: Column) -> Column:

@@ -11,7 +11,7 @@ from threadloom.session import BROADCAST_LIMIT, broadcast_if_small, materialise
 
 CONTEXT_ROWS = 80
 GRAM = 12
-"""Characters by which quotes are looked up in texts."""
+"""Bytes by which quotes are looked up in texts."""
 ENTRY_BYTES = 128
 """What one quote takes in the two broadcasts of ``pieces``."""
 
@@ -20,32 +20,36 @@ def pieces(quotes: DataFrame, texts: DataFrame, start: bool = False, limit: int
     """``texts`` (flat, ...) without ``flat``, with ``q``: each piece of a text that is one of ``quotes`` (q), once per text.
 
     At each place of a text, or with ``start`` only at its first, the next
-    ``GRAM`` characters, four for shorter quotes, tell whether and in which
-    lengths quotes begin so; only pieces of these lengths are looked up. Both
-    look-ups are broadcasts of hashes, several in turn where the quotes take
-    more than ``limit`` bytes, so no text is shuffled and what comes out is as
-    long as the list of what is found. With ``start`` a text has one place, so
+    ``GRAM`` bytes, four for shorter quotes, tell whether and in which
+    lengths quotes begin so; only pieces of these lengths are looked up. Places
+    and lengths are in bytes, as a character of a long text is reached only by
+    way of all before it. Both look-ups are broadcasts of hashes, several in
+    turn where the quotes take more than ``limit`` bytes, so no text is shuffled
+    and what comes out is as long as the list of what is found. With ``start`` a text has one place, so
     beyond that limit it is joined in one shuffle. Quotes of less than four characters find
     nothing. By a collision of 64-bit hashes a piece may come out that is no
     quote; joining by ``q`` leaves it out.
     """
     rest = [c for c in texts.columns if c != "flat"]
     some = quotes.select("q").where(F.length("q") >= 4).distinct()
-    known = materialise(some.select(F.when(F.length("q") >= GRAM, GRAM).otherwise(4).alias("__size"), "q").select("__size", F.xxhash64(F.substr("q", F.lit(1), F.col("__size"))).alias("__head"), F.length("q").alias("__n"), F.xxhash64("q").alias("__whole")), "quotes")
+    some = some.select(F.when(F.octet_length("q") >= GRAM, GRAM).otherwise(4).alias("__size"), F.col("q").cast("binary").alias("q"))
+    known = materialise(some.select("__size", F.xxhash64(F.substr("q", F.lit(1), F.col("__size"))).alias("__head"), F.octet_length("q").alias("__n"), F.xxhash64("q").alias("__whole")), "quotes")
     n_known = {r["__size"]: r["n"] for r in known.groupBy("__size").agg(F.count("*").alias("n")).collect()}
     out = texts.select(*rest, F.col("flat").alias("q")).limit(0)
     for size in sorted(n_known):
-        long = texts.where(F.length("flat") >= size)
-        last = F.lit(1) if start else F.length("flat") - size + 1
-        at = long.withColumn("__at", F.explode(F.sequence(F.lit(1), last))).withColumn("__head", F.xxhash64(F.substr("flat", F.col("__at"), F.lit(size))))
+        long = texts.where(F.octet_length("flat") >= size)
+        raw = F.col("flat").cast("binary") if start else F.col("__raw")
+        at = long.withColumn("__at", F.lit(1)) if start else long.withColumn("__raw", F.col("flat").cast("binary")).withColumn("__at", F.explode(F.sequence(F.lit(1), F.octet_length("flat") - size + 1)))
+        at = at.withColumn("__head", F.xxhash64(F.substr(raw, F.col("__at"), F.lit(size))))
         bytes_ = n_known[size] * ENTRY_BYTES
         turns = 1 if start else -(-bytes_ // limit)
         for turn in range(turns):
             mine = known.where((F.col("__size") == size) & (F.pmod("__head", F.lit(turns)) == turn))
             look = lambda df: broadcast_if_small(df, bytes_ // turns, limit)  # noqa: B023, E731
-            met = at.join(look(mine.select("__head", "__n").distinct()), "__head").where(F.col("__at") + F.col("__n") - 1 <= F.length("flat"))
-            met = met.withColumn("q", F.substr("flat", F.col("__at"), F.col("__n"))).withColumn("__whole", F.xxhash64("q"))
-            met = met.join(look(mine.select("__whole")), "__whole", "left_semi").where(F.instr("flat", F.col("q")) == F.col("__at")).select(*rest, "q")
+            met = at.join(look(mine.select("__head", "__n").distinct()), "__head").where(F.col("__at") + F.col("__n") - 1 <= F.octet_length("flat"))
+            met = met.withColumn("q", F.substr(raw, F.col("__at"), F.col("__n")).cast("string")).withColumn("__whole", F.xxhash64(F.col("q").cast("binary")))
+            before = F.substr(raw, F.lit(1), F.col("__at") + F.col("__n") - 2).cast("string")
+            met = met.join(look(mine.select("__whole")), "__whole", "left_semi").where(~F.contains(before, F.col("q"))).select(*rest, "q")
             out = out.unionByName(materialise(met, "turn") if turns > 1 else met)
     return out
 
@@ -84,8 +88,8 @@ def t0_lookup(requests: DataFrame, rows: DataFrame) -> DataFrame:
     """``requests`` (key, t0, text) with ``found`` and ``how``: by id, by text, or not at all.
 
     Without an id that exists, the one of ``rows`` (id, text) counts whose text
-    contains that of the request or is contained in it, without white space and
-    punctuation; if several do it is ambiguous. Equal texts are compared once,
+    contains that of the request or is contained in it, both whole, without
+    white space and punctuation; if several do it is ambiguous. Equal texts are compared once,
     and texts of less than four characters find nothing. What a text holds is
     counted by request as it is found, so no list of pairs is kept.
     """

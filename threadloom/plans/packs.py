@@ -45,7 +45,7 @@ def quote_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packs.reanchored_by_quote(candidates, rows, T.is_bot(F.col("role"))).select("corrector", "anchor", "moved")
 
 
-_BARE = r"substr(regexp_replace(lower({0}), '[\s\x0B\x{{85}}\p{{Z}}\p{{P}}]+', '', 'g'), 1, 800)"
+_BARE = r"regexp_replace(lower({0}), '[\s\x0B\x{{85}}\p{{Z}}\p{{P}}]+', '', 'g')"
 
 
 @query(
